@@ -43,9 +43,30 @@ def unescape(c: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute in an opening tag, any namespace prefix allowed; '' when absent."""
-    pattern = rf"""(?is)\A<[^\s>]+(?:\s+[^\s=>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?\s+(?:[\w.-]+:)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    value = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
-    return unescape(value)
+    pattern = (
+        rf"""(?is)\A<[^\s>]+(?:\s+[^\s=>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?"""
+        rf"""\s+(?:[\w.-]+:)?{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    )
+    quoted = F.regexp_extract(tag, pattern, 1)
+    return unescape(F.regexp_replace(quoted, r"""\A["']|["']\z""", ""))
+
+
+def escape_text(c: Column) -> Column:
+    """Escape what may not stand in text: ampersand and angle brackets."""
+    out = F.replace(c, F.lit("&"), F.lit("&amp;"))
+    for old, new in (("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return out
+
+
+def escape_attribute(c: Column) -> Column:
+    return F.replace(escape_text(c), F.lit('"'), F.lit("&quot;"))
+
+
+def unwrap_cdata(c: Column) -> Column:
+    """Literal sections become ordinary escaped text."""
+    inner = lambda t: escape_text(F.regexp_extract(t, r"(?s)\A<!\[CDATA\[(.*)\]\]>\z", 1))
+    return map_tokens(c, r"(?s)<!\[CDATA\[.*?\]\]>", inner)
 
 
 def tag_text(markup: Column, separator: str = " ") -> Column:
@@ -67,10 +88,21 @@ def interleave(segments: Column, tokens: Column) -> Column:
     )
 
 
+# A Unicode noncharacter, never part of interchanged text, marks token borders.
+BORDER = "\uffff"
+
+
+def pieces(text: Column, pattern: str) -> Column:
+    """Text cut at its tokens: [text, token, text, ..., text], in one regex pass."""
+    return F.split(F.regexp_replace(text, pattern, f"{BORDER}$0{BORDER}"), BORDER)
+
+
 def map_tokens(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
     """Replace every match of ``pattern`` by ``change(match)``, in place."""
-    tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return interleave(F.split(text, pattern), F.transform(tokens, change))
+    changed = F.transform(
+        pieces(text, pattern), lambda piece, i: F.when(i % 2 == 1, change(piece)).otherwise(piece)
+    )
+    return F.array_join(changed, "")
 
 
 def normalize_newlines(c: Column) -> Column:

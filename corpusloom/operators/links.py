@@ -52,9 +52,9 @@ def tokens(
 ) -> DataFrame:
     """One row per match of ``pattern`` in a document: key, 1-based pos, tok."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return df.select(key, *carry, F.posexplode(found).alias("pos", "tok")).withColumn(
-        "pos", (F.col("pos") + 1).cast("bigint")
-    )
+    # The outer form keeps the optimizer from running the regex again in a filter.
+    rows = df.select(key, *carry, F.posexplode_outer(found).alias("pos", "tok"))
+    return rows.filter("pos IS NOT NULL").withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 
 
 def link_inventory(df: DataFrame, key: str, html: str, carry: Sequence[str] = ()) -> DataFrame:
@@ -81,8 +81,8 @@ def targets(df: DataFrame, key: str, html: Column, carry: Sequence[str] = ()) ->
 
 
 def block_table(df: DataFrame, key: str, html: str) -> DataFrame:
-    found = H.blocks(F.col(html))
-    return df.select(key, F.posexplode(found).alias("pos", "tok")).select(
+    rows = df.select(key, F.posexplode_outer(H.blocks(F.col(html))).alias("pos", "tok"))
+    return rows.filter("pos IS NOT NULL").select(
         key,
         (F.col("pos") + 1).cast("bigint").alias("pos"),
         H.block_tag(F.col("tok")).alias("tag"),
@@ -123,7 +123,8 @@ def rewrite(
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("pos", "new"))).alias("_new"))
     )
-    rebuilt = H.interleave(F.split(text, pattern), F.col("_new.new"))
+    texts = F.filter(H.pieces(F.col(text), pattern), lambda _, i: i % 2 == 0)
+    rebuilt = H.interleave(texts, F.col("_new.new"))
     done = (
         df.join(pieces, key, "left")
         .withColumn(out or text, F.when(F.col("_new").isNull(), F.col(text)).otherwise(rebuilt))

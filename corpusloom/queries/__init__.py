@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "hierarchy"]
+MODULES = ["scalars", "hierarchy", "links", "validation"]
 
 
 def collect() -> tuple[dict, dict]:

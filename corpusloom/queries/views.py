@@ -67,6 +67,47 @@ SELECT 'user-' || cast(user_id AS string) AS page_id, cast(regexp_extract(props,
        CASE event_type WHEN 'view' THEN 'mirrored' WHEN 'click' THEN 'resumed' WHEN 'signup' THEN 'mirrored'
             WHEN 'purchase' THEN 'resumed' ELSE 'failed' END AS status
 FROM {events}""",
+    # Wiki storage markup of every document: text, one link, one image, one
+    # download address and one macro, each kind chosen by the document's space.
+    "v_markup": """
+SELECT id, external_id, title, lang, space, seq, link_kind, macro_kind, link_title,
+  '<p>' || replace(replace(replace(body, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS text_html,
+  CASE link_kind
+    WHEN 'page' THEN '<ac:link ac:anchor="top"><ri:page ri:space-key="' || upper(lang) || '" ri:content-title="' || link_title || '" /><ac:plain-text-link-body><![CDATA[see <' || space || '>]]></ac:plain-text-link-body></ac:link>'
+    WHEN 'missing' THEN '<ac:link><ri:page ri:content-title="' || link_title || '"/></ac:link>'
+    WHEN 'url' THEN '<ac:link><ri:url ri:value="https://ext.example.com/?a=1&amp;d=' || external_id || '" /><ac:link-body>go <b>there</b></ac:link-body></ac:link>'
+    WHEN 'attachment' THEN '<ac:link><ri:attachment ri:filename="file-' || external_id || '.pdf" /></ac:link>'
+    WHEN 'space' THEN '<ac:link><ri:space ri:space-key="' || upper(space) || '" /></ac:link>'
+    WHEN 'self' THEN '<ac:link><ac:link-body>' || lower(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')) || '</ac:link-body></ac:link>'
+    ELSE '<ac:link><ac:link-body>nowhere</ac:link-body></ac:link>' END AS link_html,
+  '<ac:image ac:width="10"><ri:attachment ri:filename="img ' || space || '.png" /></ac:image>' AS image_html,
+  '<a class="x" href="https://wiki.example.com/download/attachments/9/img%20' || space || '.png?version=1&amp;api=v2">img</a>' AS anchor_html,
+  CASE macro_kind
+    WHEN 'code' THEN '<ac:structured-macro ac:name="code"><ac:parameter ac:name="language">py</ac:parameter><ac:plain-text-body><![CDATA[if x < 1 && y: ' || lang || ']]></ac:plain-text-body></ac:structured-macro>'
+    WHEN 'info' THEN '<ac:structured-macro ac:name="info"><ac:rich-text-body><p>Note <b>bold</b> ' || lang || '</p></ac:rich-text-body></ac:structured-macro>'
+    WHEN 'status' THEN '<ac:structured-macro ac:name="status"><ac:parameter ac:name="colour">Green</ac:parameter><ac:parameter ac:name="title">DONE ' || lang || '</ac:parameter></ac:structured-macro>'
+    WHEN 'view-file' THEN '<ac:structured-macro ac:name="view-file"><ac:parameter ac:name="name"><ri:attachment ri:filename="file-' || external_id || '.pdf" /></ac:parameter></ac:structured-macro>'
+    WHEN 'drawio' THEN '<ac:structured-macro ac:name="drawio"><ac:parameter ac:name="diagramName">diagram ' || space || '</ac:parameter></ac:structured-macro>'
+    WHEN 'toc' THEN '<ac:structured-macro ac:name="toc" ac:schema-version="1" />'
+    WHEN 'nested' THEN '<ac:structured-macro ac:name="panel"><ac:rich-text-body><p>before</p><ac:structured-macro ac:name="jira"><ac:parameter ac:name="key">' || upper(lang) || '-1</ac:parameter></ac:structured-macro><p>after</p></ac:rich-text-body></ac:structured-macro>'
+    ELSE '' END AS macro_html
+FROM (SELECT *,
+  CASE WHEN space IN ('src17', 'src18', 'src19') THEN 'missing' WHEN space = 'src12' THEN 'url' WHEN space = 'src13' THEN 'attachment'
+       WHEN space = 'src14' THEN 'space' WHEN space = 'src15' AND title <> '' THEN 'self' WHEN space IN ('src15', 'src16') THEN 'none' ELSE 'page' END AS link_kind,
+  CASE WHEN space IN ('src17', 'src18') THEN 'CUSTOMER#' || lpad(external_id, 9, '0') WHEN space = 'src19' THEN 'Missing page'
+       ELSE 'NATION_' || replace(space, 'src', '') END AS link_title,
+  CASE WHEN space IN ('src0', 'src1') THEN 'code' WHEN space IN ('src2', 'src3') THEN 'info' WHEN space IN ('src4', 'src5') THEN 'status'
+       WHEN space IN ('src6', 'src7') THEN 'view-file' WHEN space IN ('src8', 'src9') THEN 'drawio' WHEN space IN ('src10', 'src11') THEN 'toc'
+       WHEN space IN ('src12', 'src13', 'src14') THEN 'nested' ELSE '' END AS macro_kind
+  FROM {v_article}) AS kinds""",
+    # Attachments of the documents; for one language the image exists twice.
+    "v_doc_attachment": """
+SELECT id AS page_id, external_id || '-a' AS id, 'file-' || external_id || '.pdf' AS title, 'x' || external_id AS filename, cast(1 AS bigint) AS seq,
+       CASE WHEN lang IN ('en', 'fr') THEN 'available' ELSE 'failed' END AS status FROM {v_article}
+UNION ALL SELECT id, external_id || '-b', 'img ' || space || '.png', '', 2, CASE WHEN lang = 'de' THEN 'missing' ELSE 'available' END FROM {v_article}
+UNION ALL SELECT id, external_id || '-c', 'diagram ' || space, '', 3, CASE WHEN lang = 'es' THEN 'failed' ELSE 'available' END FROM {v_article}
+UNION ALL SELECT id, external_id || '-d', 'diagram ' || space || '.png', '', 4, CASE WHEN lang IN ('en', 'es') THEN 'available' ELSE 'failed' END FROM {v_article}
+UNION ALL SELECT id, external_id || '-e', 'other', 'img ' || space || '.png', 5, 'available' FROM {v_article} WHERE lang = 'fr'""",
     # Import state of two destinations; three spaces were never imported.
     "v_state": """
 SELECT id, 'r-' || external_id AS remote_id,
