@@ -1,9 +1,10 @@
 """Row-level constraint checks on JSON records, with a full violation report.
 
 Records are checked as VARIANT, before any projection to a fixed struct, because
-a typed read would silently drop unknown keys and null out wrong types. All rules
-of a record are evaluated in one pass over its row; nothing is shuffled until the
-first violation per object is picked.
+a typed read would silently drop unknown keys and null out wrong types. A record
+is parsed once; every known path becomes a value column and a type column, and
+all rules read those columns in one projection. Array items are exploded and
+checked the same way. Nothing is shuffled until a first violation is picked.
 """
 
 from __future__ import annotations
@@ -13,16 +14,17 @@ from pyspark.sql import functions as F
 
 from ..schemas import RULES
 
-VIOLATION = "STRUCT<rule: STRING, path: ARRAY<STRING>, json_path: STRING, schema_path: ARRAY<STRING>, message: STRING>"
+FIELDS = "rule STRING, path ARRAY<STRING>, json_path STRING, schema_path ARRAY<STRING>, message STRING"
 
 
 def _type(value: Column) -> Column:
     """JSON type name of a VARIANT; whole-number decimals are integers, booleans are not."""
     tag = F.schema_of_variant(value)
     return (
-        F.when(tag == "VOID", "null")
-        .when(tag.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | tag.rlike(r"^DECIMAL\(\d+,0\)$"), "integer")
-        .when(tag.rlike(r"^(DECIMAL|DOUBLE|FLOAT)"), F.when(value.cast("double") == F.floor(value.cast("double")), "integer").otherwise("number"))
+        F.when(value.isNull(), F.lit(None).cast("string"))
+        .when(tag == "VOID", "null")
+        .when(tag.rlike(r"^(?:BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,0\))$"), "integer")
+        .when(tag.rlike(r"^(?:DECIMAL|DOUBLE|FLOAT)"), "number")
         .when(tag == "BOOLEAN", "boolean")
         .when(tag == "STRING", "string")
         .when(tag.startswith("ARRAY"), "array")
@@ -30,101 +32,110 @@ def _type(value: Column) -> Column:
     )
 
 
-def _violation(rule: str, test: Column, path: Column, json_path: Column, schema: list[str], message: Column) -> Column:
-    return F.when(
-        test,
-        F.struct(
-            F.lit(rule).alias("rule"),
-            path.alias("path"),
-            json_path.alias("json_path"),
-            F.array(*[F.lit(s) for s in schema]).cast("array<string>").alias("schema_path"),
-            message.alias("message"),
-        ),
-    )
+def _nodes(spec: dict, path: tuple = (), schema: tuple = ()) -> list[tuple]:
+    """(path, schema path, spec) of a record and of every object field below it."""
+    out = [(path, schema, spec)]
+    for key, child in spec.get("fields", {}).items():
+        out += _nodes(child, (*path, key), (*schema, "properties", key))
+    return out
 
 
-def _quoted(c: Column) -> Column:
-    return F.concat(F.lit("'"), c, F.lit("'"))
+def _path(parts) -> str:
+    return "$" + "".join(f".{p}" for p in parts)
+
+
+def _staged(df: DataFrame, nodes: list[tuple], value: str = "_v", tag: str = "") -> DataFrame:
+    """Add value, type and text columns per node, each computed once."""
+    get = {
+        f"{tag}v{i}": F.try_variant_get(F.col(value), _path(path), "variant") if path else F.col(value)
+        for i, (path, _, _) in enumerate(nodes)
+    }
+    kinds = {f"{tag}t{i}": _type(F.col(f"{tag}v{i}")) for i in range(len(nodes))}
+    texts = {
+        f"{tag}s{i}": F.when(
+            F.col(f"{tag}t{i}") == "string", F.concat(F.lit("'"), F.col(f"{tag}v{i}").cast("string"), F.lit("'"))
+        ).when(F.col(f"{tag}t{i}") != "object", F.to_json(F.col(f"{tag}v{i}")))
+        for i in range(len(nodes))
+    }
+    return df.withColumns(get).withColumns(kinds).withColumns(texts)
+
+
+def _tests(nodes: list[tuple], tag: str = "") -> list[tuple]:
+    """(rule, failing condition, message, path, schema path) over the staged columns."""
+    index = {path: i for i, (path, _, _) in enumerate(nodes)}
+    out = []
+    for i, (path, schema, spec) in enumerate(nodes):
+        value, kind, shown = (F.col(f"{tag}{x}{i}") for x in "vts")
+        is_text = kind == "string"
+        raw = F.substring(shown, F.lit(2), F.length(shown) - 2)  # text without its quotes
+
+        def add(rule, failing, message, key):
+            out.append((rule, kind.isNotNull() & failing, message, path, (*schema, key)))
+
+        types = spec.get("types")
+        if types:
+            named = ", ".join(f"'{t}'" for t in types)
+            printed = F.coalesce(shown, F.to_json(value))
+            add("type", ~kind.isin(types), F.concat(printed, F.lit(f" is not of type {named}")), "type")
+        if "const" in spec:
+            add("const", ~(is_text & (shown == f"'{spec['const']}'")), F.lit(f"'{spec['const']}' was expected"), "const")
+        if "enum" in spec:
+            allowed = [f"'{x}'" for x in spec["enum"]]
+            message = F.concat(F.coalesce(shown, F.to_json(value)), F.lit(f" is not one of [{', '.join(allowed)}]"))
+            add("enum", ~(is_text & shown.isin(allowed)), message, "enum")
+        if "min_length" in spec:
+            short = is_text & (F.char_length(shown) - 2 < spec["min_length"])
+            add("min_length", short, F.concat(shown, F.lit(" should be non-empty")), "minLength")
+        if "pattern" in spec:
+            message = F.concat(shown, F.lit(f" does not match '{spec['pattern']}'"))
+            add("pattern", is_text & ~raw.rlike(spec["pattern"]), message, "pattern")
+        if "minimum" in spec:
+            low = kind.isin("integer", "number") & (shown.try_cast("double") < spec["minimum"])
+            message = F.concat(shown, F.lit(f" is less than the minimum of {spec['minimum']}"))
+            add("minimum", F.coalesce(low, F.lit(False)), message, "minimum")
+        if spec.get("unique"):
+            listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.to_json(x))
+            repeats = (kind == "array") & (F.size(F.array_distinct(listed)) < F.size(listed))
+            add("unique", F.coalesce(repeats, F.lit(False)), F.concat(shown, F.lit(" has non-unique elements")), "uniqueItems")
+        if "fields" in spec:
+            for key in spec.get("required", []):
+                child = F.col(f"{tag}v{index[(*path, key)]}")
+                add("required", (kind == "object") & child.isNull(), F.lit(f"'{key}' is a required property"), "required")
+            if spec.get("closed"):
+                keys = F.json_object_keys(F.to_json(value))
+                extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in spec["fields"]])))
+                names = F.concat(F.lit("'"), F.array_join(extra, "', '"), F.lit("'"))
+                verb = F.when(F.size(extra) == 1, " was unexpected)").otherwise(" were unexpected)")
+                message = F.concat(F.lit("Additional properties are not allowed ("), names, verb)
+                add("extra_keys", (kind == "object") & (F.size(extra) > 0), message, "additionalProperties")
+    return out
 
 
-def _any_of(types: list[str]) -> str:
-    return ", ".join(f"'{t}'" for t in types)
+def _texts(parts) -> Column:
+    return F.array(*[F.lit(p) for p in parts]).cast("array<string>")
 
 
-def _checks(value: Column, spec: dict, path: Column, json_path: Column, schema: list[str]) -> list[Column]:
-    """Violation columns (null when fine) for one value and everything below it.
+def _report(df: DataFrame, tests: list[tuple], path: Column, json_path: Column) -> DataFrame:
+    """One row per failing test; paths are taken relative to the given ones."""
+    found = [
+        F.when(
+            failing,
+            F.struct(
+                F.lit(rule).alias("rule"),
+                F.concat(path, _texts(tail)).alias("path"),
+                F.concat(json_path, F.lit(_path(tail)[1:])).alias("json_path"),
+                _texts(schema).alias("schema_path"),
+                message.alias("message"),
+            ),
+        )
+        for rule, failing, message, tail, schema in tests
+    ]
+    rows = df.select("object_id", F.explode_outer(F.array_compact(F.array(*found))).alias("_x"))
+    return rows.filter("_x IS NOT NULL").select("object_id", "_x.*")
 
-    ``value`` is a VARIANT that is null when the key is absent; a present JSON
-    null is a non-null VARIANT.
-    """
-    present = value.isNotNull()
-    kind = _type(value)
-    shown = F.when(kind == "string", _quoted(value.cast("string"))).otherwise(F.to_json(value))
-    out: list[Column] = []
-
-    def add(rule: str, test: Column, message: Column, *tail: str) -> None:
-        out.append(_violation(rule, present & test, path, json_path, [*schema, *tail], message))
-
-    types = spec.get("types")
-    if types:
-        add("type", ~kind.isin(types), F.concat(shown, F.lit(f" is not of type {_any_of(types)}")), "type")
-    text = F.when(kind == "string", value.cast("string"))
-    if "const" in spec:
-        wrong = F.coalesce(text != spec["const"], F.lit(True))
-        add("const", wrong, F.lit(f"'{spec['const']}' was expected"), "const")
-    if "enum" in spec:
-        listed = "[" + ", ".join(f"'{x}'" for x in spec["enum"]) + "]"
-        wrong = F.coalesce(~text.isin(spec["enum"]), F.lit(True))
-        add("enum", wrong, F.concat(shown, F.lit(f" is not one of {listed}")), "enum")
-    if "min_length" in spec:
-        short = F.coalesce(F.char_length(text) < spec["min_length"], F.lit(False))
-        add("min_length", short, F.concat(shown, F.lit(" should be non-empty")), "minLength")
-    if "pattern" in spec:
-        wrong = F.coalesce(~text.rlike(spec["pattern"]), F.lit(False))
-        add("pattern", wrong, F.concat(shown, F.lit(f" does not match '{spec['pattern']}'")), "pattern")
-    if "minimum" in spec:
-        number = F.when(kind.isin("integer", "number"), value.cast("double"))
-        low = F.coalesce(number < spec["minimum"], F.lit(False))
-        add("minimum", low, F.concat(shown, F.lit(f" is less than the minimum of {spec['minimum']}")), "minimum")
-    if "fields" in spec:
-        is_object = kind == "object"
-        keys = F.when(is_object, F.json_object_keys(F.to_json(value)))
-        for key in spec.get("required", []):
-            missing = is_object & F.try_variant_get(value, f"$.{key}", "variant").isNull()
-            add("required", missing, F.lit(f"'{key}' is a required property"), "required")
-        if spec.get("closed"):
-            extra = F.array_except(keys, F.array(*[F.lit(k) for k in spec["fields"]]))
-            names = F.array_join(F.transform(F.array_sort(extra), _quoted), ", ")
-            verb = F.when(F.size(extra) == 1, F.lit(" was unexpected)")).otherwise(F.lit(" were unexpected)"))
-            message = F.concat(F.lit("Additional properties are not allowed ("), names, verb)
-            add("extra_keys", F.coalesce(F.size(extra) > 0, F.lit(False)), message, "additionalProperties")
-        for key, child in spec["fields"].items():
-            inner = F.when(is_object, F.try_variant_get(value, f"$.{key}", "variant"))
-            out += _checks(
-                inner, child, F.array_append(path, F.lit(key)), F.concat(json_path, F.lit(f".{key}")),
-                [*schema, "properties", key],
-            )
-    if "items" in spec or spec.get("unique"):
-        listed = F.when(kind == "array", F.try_variant_get(value, "$", "array<variant>"))
-        if spec.get("unique"):
-            texts = F.transform(listed, lambda x: F.to_json(x))
-            repeats = F.coalesce(F.size(F.array_distinct(texts)) < F.size(texts), F.lit(False))
-            add("unique", repeats, F.concat(shown, F.lit(" has non-unique elements")), "uniqueItems")
-        if "items" in spec:
-            # Items are checked inside the row: one nested list of violations per item.
-            def item(x: Column, i: Column) -> Column:
-                place = i.cast("string")
-                return F.array_compact(
-                    F.array(
-                        *_checks(
-                            x, spec["items"], F.array_append(path, place),
-                            F.concat(json_path, F.lit("["), place, F.lit("]")), [*schema, "items"],
-                        )
-                    )
-                )
-
-            out.append(F.flatten(F.transform(listed, item)))
-    return out
+
+def _item_lists(nodes: list[tuple]) -> list[tuple]:
+    return [(path, schema, spec["items"]) for path, schema, spec in nodes if "items" in spec]
 
 
 def violations(df: DataFrame, schema: str, json: str = "json", rules: list[str] | None = None) -> DataFrame:
@@ -133,31 +144,31 @@ def violations(df: DataFrame, schema: str, json: str = "json", rules: list[str]
     Unparsable text (or a repeated key) is reported as ``malformed_json``; an
     object without an id is reported under ``<unknown>``.
     """
-    value = F.try_parse_json(F.col(json))
-    parsed = df.select(F.col(json).alias("_json"), value.alias("_v"))
-    v = F.col("_v")
-    object_id = F.coalesce(F.try_variant_get(v, "$.id", "string"), F.lit("<unknown>"))
-    root = F.array().cast("array<string>")
-    found = _checks(v, RULES[schema], root, F.lit("$"), [])
-    malformed = F.when(
-        v.isNull(),
-        F.struct(
-            F.lit("malformed_json").alias("rule"), root.alias("path"), F.lit("$").alias("json_path"),
-            root.alias("schema_path"), F.lit("expected a JSON object").alias("message"),
-        ),
-    )
-    # Single checks and per-item lists become one list.
-    lists = [F.array(c) if not _is_list(c) else F.coalesce(c, F.array().cast(f"array<{VIOLATION}>")) for c in [malformed, *found]]
-    listed = F.array_compact(F.flatten(F.array(*lists)))
-    rows = parsed.select(object_id.alias("object_id"), F.explode_outer(listed).alias("_x")).filter("_x IS NOT NULL")
-    rows = rows.select(
-        "object_id", "_x.rule", "_x.path", "_x.json_path", "_x.schema_path", "_x.message", F.lit(schema).alias("schema_name")
-    )
-    return rows if rules is None else rows.filter(F.col("rule").isin(rules))
-
-
-def _is_list(c: Column) -> bool:
-    return "flatten" in str(c)[:20]
+    parsed = df.select(F.try_parse_json(F.col(json)).alias("_v"))
+    parsed = parsed.withColumn("object_id", F.coalesce(F.try_variant_get("_v", "$.id", "string"), F.lit("<unknown>")))
+    nodes = _nodes(RULES[schema])
+    root = _texts([])
+    tests = _tests(nodes)
+    tests.append(("malformed_json", F.col("_v").isNull(), F.lit("expected a JSON object"), (), ()))
+    found = _report(_staged(parsed, nodes), tests, root, F.lit("$"))
+    for path, schema_path, item in _item_lists(nodes):
+        # Items of one array: their place becomes part of the path.
+        items = parsed.select(
+            "object_id",
+            F.posexplode_outer(F.try_variant_get("_v", _path(path), "array<variant>")).alias("_i", "_v"),
+        ).filter("_i IS NOT NULL")
+        below = _nodes(item, (), (*schema_path, "items"))
+        place = F.col("_i").cast("string")
+        found = found.unionByName(
+            _report(
+                _staged(items, below),
+                _tests(below),
+                F.concat(_texts(path), F.array(place)),
+                F.concat(F.lit(_path(path) + "["), place, F.lit("]")),
+            )
+        )
+    found = found.withColumn("schema_name", F.lit(schema))
+    return found if rules is None else found.filter(F.col("rule").isin(rules))
 
 
 def first_violations(found: DataFrame) -> DataFrame:
@@ -170,26 +181,54 @@ def first_violations(found: DataFrame) -> DataFrame:
     )
 
 
-def json_path(parts: Column) -> Column:
-    """``$.a.b`` notation of a list of path parts."""
-    return F.concat(F.lit("$"), F.array_join(F.transform(parts, lambda p: F.concat(F.lit("."), p)), ""))
-
-
-def is_valid(json: Column, schema: str) -> Column:
-    """True when a JSON text meets every rule of its schema."""
-    v = F.try_parse_json(json)
-    tests = []
-    for check in _checks(v, RULES[schema], F.array().cast("array<string>"), F.lit("$"), []):
-        tests.append(F.coalesce(F.size(check) == 0, F.lit(True)) if _is_list(check) else check.isNull())
-    ok = v.isNotNull()
-    for test in tests:
-        ok = ok & test
-    return ok
+def _item_ok(x: Column, spec: dict) -> Column:
+    """Condition one array item must meet (items are texts, or flat records of texts)."""
+
+    def text_ok(v: Column, s: dict) -> Column:
+        text = v.try_cast("string")
+        ok = F.schema_of_variant(v) == "STRING" if "string" in s.get("types", []) else v.isNotNull()
+        if "min_length" in s:
+            ok = ok & (F.char_length(text) >= s["min_length"])
+        if "enum" in s:
+            ok = ok & text.isin(s["enum"])
+        if "pattern" in s:
+            ok = ok & text.rlike(s["pattern"])
+        if "minimum" in s:
+            ok = ok & (F.try_variant_get(v, "$", "double") >= s["minimum"])
+        return F.coalesce(ok, F.lit(False))
+
+    if "object" not in spec.get("types", []):
+        return text_ok(x, spec)
+    ok = F.schema_of_variant(x).startswith("OBJECT")
+    for key, child in spec.get("fields", {}).items():
+        ok = ok & text_ok(F.try_variant_get(x, f"$.{key}", "variant"), child)
+    if spec.get("closed"):
+        allowed = F.array(*[F.lit(k) for k in spec["fields"]])
+        ok = ok & (F.size(F.array_except(F.json_object_keys(F.to_json(x)), allowed)) == 0)
+    return F.coalesce(ok, F.lit(False))
+
+
+def _item_test(spec: dict):
+    return lambda x: _item_ok(x, spec)
+
+
+def flagged(df: DataFrame, schema: str, json: str = "json") -> DataFrame:
+    """Input rows with a boolean ``is_valid`` column, in one pass without a shuffle."""
+    nodes = _nodes(RULES[schema])
+    staged = _staged(df.withColumn("_v", F.try_parse_json(F.col(json))), nodes)
+    ok = F.col("_v").isNotNull()
+    for _, failing, *_ in _tests(nodes):
+        ok = ok & ~failing
+    for path, _, item in _item_lists(nodes):
+        listed = F.try_variant_get("_v", _path(path), "array<variant>")
+        ok = ok & F.coalesce(F.forall(listed, _item_test(item)), F.lit(True))
+    return staged.select(*df.columns, ok.alias("is_valid"))
 
 
 def split_valid(df: DataFrame, schema: str, json: str = "json") -> tuple[DataFrame, DataFrame]:
-    """(valid rows, violations); each is one pass without a shuffle."""
-    return df.filter(is_valid(F.col(json), schema)), violations(df, schema, json)
+    """(valid rows, violations)."""
+    valid = flagged(df, schema, json).filter("is_valid").drop("is_valid")
+    return valid, violations(df, schema, json)
 
 
 def require_valid(df: DataFrame, schema: str, json: str = "json") -> DataFrame:

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 SCHEMA_VERSION = "1.0"
 
-KNOWLEDGE = T.StructType.fromDDL(
-    """schema_version STRING, id STRING, title STRING, slug STRING, status STRING,
+KNOWLEDGE_DDL = """schema_version STRING, id STRING, title STRING, slug STRING, status STRING,
     content STRUCT<format: STRING, body: STRING, summary: STRING, language: STRING>,
     source STRUCT<connector: STRING, external_id: STRING, url: STRING, space: STRING,
                   parent_external_id: STRING, revision: STRING>,
@@ -15,14 +12,11 @@ KNOWLEDGE = T.StructType.fromDDL(
     taxonomy STRUCT<category: STRING, tags: ARRAY<STRING>, products: ARRAY<STRING>, audiences: ARRAY<STRING>>,
     assets ARRAY<STRING>, relationships ARRAY<STRUCT<type: STRING, target_id: STRING>>,
     checksums STRUCT<source: STRING, content: STRING>, extensions VARIANT"""
-)
 
-ASSET = T.StructType.fromDDL(
-    """schema_version STRING, id STRING, filename STRING, media_type STRING, size_bytes BIGINT,
+ASSET_DDL = """schema_version STRING, id STRING, filename STRING, media_type STRING, size_bytes BIGINT,
     sha256 STRING, local_path STRING,
     source STRUCT<connector: STRING, external_id: STRING, container_external_id: STRING, url: STRING>,
     status STRING, extensions VARIANT"""
-)
 
 # ---- validation rules -----------------------------------------------------
 # A rule set lists, per object path, its required keys and its known fields; a
