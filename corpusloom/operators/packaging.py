@@ -232,3 +232,11 @@ def manifest_entries(articles: DataFrame, assets: DataFrame) -> DataFrame:
     return articles.select(F.lit("object").alias("kind"), "id").unionByName(
         assets.select(F.lit("asset").alias("kind"), "id")
     )
+
+
+def embed_images(refs: DataFrame, files: DataFrame) -> DataFrame:
+    """Image references (id, src) become data addresses; data: is kept, a missing file gives null."""
+    blobs = files.select("src", "content")
+    embedded = T.data_url(F.col("src"), F.col("content"), "image/png")
+    kept = F.col("src").startswith("data:")
+    return refs.join(blobs, "src", "left").select("id", F.when(kept, F.col("src")).otherwise(embedded).alias("src"))

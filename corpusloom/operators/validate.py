@@ -222,7 +222,9 @@ def flagged(df: DataFrame, schema: str, json: str = "json") -> DataFrame:
     for path, _, item in _item_lists(nodes):
         listed = F.try_variant_get("_v", _path(path), "array<variant>")
         ok = ok & F.coalesce(F.forall(listed, _item_test(item)), F.lit(True))
-    return staged.select(*df.columns, ok.alias("is_valid"))
+    # A one-element explode keeps a later filter from being pushed below the staged
+    # columns, which would expand every rule into one huge condition.
+    return staged.select(*df.columns, F.explode(F.array(ok)).alias("is_valid"))
 
 
 def split_valid(df: DataFrame, schema: str, json: str = "json") -> tuple[DataFrame, DataFrame]:
