@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "hierarchy", "links", "validation", "packaging", "publishing"]
+MODULES = ["scalars", "hierarchy", "links", "validation", "packaging", "publishing", "media"]
 
 
 def collect() -> tuple[dict, dict]:
