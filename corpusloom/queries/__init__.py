@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "hierarchy", "links", "validation", "packaging", "publishing", "media"]
+MODULES = [
+    "scalars", "hierarchy", "links", "validation", "packaging", "publishing", "media", "scans",
+]
 
 
 def collect() -> tuple[dict, dict]:

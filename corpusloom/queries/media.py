@@ -141,4 +141,4 @@ def near_duplicates(v):
 
 @reg.query("similar_vectors")
 def similar_vectors(v):
-    return N.similar_vectors(v.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("feature")), 64, 0.8)
+    return N.similar_vectors(v.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("feature")), 64, 0.4)
