@@ -91,7 +91,7 @@ def unique_names(df: DataFrame, name: str, order: Sequence[str], out: str = "uni
     made from different base names cannot meet, so only those are in the way.
     """
     ranked = numbered(df, order, [name], "_rank")
-    own = df.select(F.col(name).alias("_own")).distinct()
+    own = ranked.select(F.col(name).alias("_own")).distinct()
     parts = own.select(
         F.concat(
             F.regexp_extract("_own", r"(?s)\A(.+)-([1-9][0-9]*)((?:\.[^.]+)?)\z", 1),

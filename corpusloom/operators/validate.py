@@ -17,11 +17,10 @@ from ..schemas import RULES
 FIELDS = "rule STRING, path ARRAY<STRING>, json_path STRING, schema_path ARRAY<STRING>, message STRING"
 
 
-def _type(value: Column) -> Column:
-    """JSON type name of a VARIANT; whole-number decimals are integers, booleans are not."""
-    tag = F.schema_of_variant(value)
+def _type(tag: Column) -> Column:
+    """JSON type name of a VARIANT's schema text; whole-number decimals are integers, booleans are not."""
     return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
+        F.when(tag.isNull(), F.lit(None).cast("string"))
         .when(tag == "VOID", "null")
         .when(tag.rlike(r"^(?:BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,0\))$"), "integer")
         .when(tag.rlike(r"^(?:DECIMAL|DOUBLE|FLOAT)"), "number")
@@ -50,14 +49,15 @@ def _staged(df: DataFrame, nodes: list[tuple], value: str = "_v", tag: str = "")
         f"{tag}v{i}": F.try_variant_get(F.col(value), _path(path), "variant") if path else F.col(value)
         for i, (path, _, _) in enumerate(nodes)
     }
-    kinds = {f"{tag}t{i}": _type(F.col(f"{tag}v{i}")) for i in range(len(nodes))}
+    tags = {f"{tag}g{i}": F.schema_of_variant(F.col(f"{tag}v{i}")) for i in range(len(nodes))}
+    kinds = {f"{tag}t{i}": _type(F.col(f"{tag}g{i}")) for i in range(len(nodes))}
     texts = {
         f"{tag}s{i}": F.when(
             F.col(f"{tag}t{i}") == "string", F.concat(F.lit("'"), F.col(f"{tag}v{i}").cast("string"), F.lit("'"))
         ).when(F.col(f"{tag}t{i}") != "object", F.to_json(F.col(f"{tag}v{i}")))
         for i in range(len(nodes))
     }
-    return df.withColumns(get).withColumns(kinds).withColumns(texts)
+    return df.withColumns(get).withColumns(tags).withColumns(kinds).withColumns(texts)
 
 
 def _tests(nodes: list[tuple], tag: str = "") -> list[tuple]:
@@ -102,7 +102,7 @@ def _tests(nodes: list[tuple], tag: str = "") -> list[tuple]:
                 child = F.col(f"{tag}v{index[(*path, key)]}")
                 add("required", (kind == "object") & child.isNull(), F.lit(f"'{key}' is a required property"), "required")
             if spec.get("closed"):
-                keys = F.json_object_keys(F.to_json(value))
+                keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
                 extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in spec["fields"]])))
                 names = F.concat(F.lit("'"), F.array_join(extra, "', '"), F.lit("'"))
                 verb = F.when(F.size(extra) == 1, " was unexpected)").otherwise(" were unexpected)")

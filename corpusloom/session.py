@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", app: str = "corpusloom", memory: str =
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Call-site capture per column expression dominates the building of wide rule sets.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
