@@ -112,7 +112,7 @@ def image_names(v):
 
 
 TOTALS_SQL = f"""{S.ANCHORS}, imgs AS (SELECT a.page_id, a.pos, regexp_extract(a.url, '^([a-z]+://[^/]+)', 1) || a.href || '.png' AS image_url, coalesce(f.http_status = 200, false) AS ok
-   FROM anchors a LEFT JOIN v_fetch f ON a.page_id = f.page_id),
+   FROM anchors a LEFT JOIN {{v_fetch}} f ON a.page_id = f.page_id),
  totals AS (SELECT p.page_id, p.url, p.html, count(i.page_id) AS image_count, coalesce(string_agg(i.image_url, ' | ' ORDER BY i.pos) FILTER (WHERE NOT i.ok), '') AS failed_images
    FROM pages p LEFT JOIN imgs i ON i.page_id = p.page_id GROUP BY p.page_id, p.url, p.html)"""
 
@@ -123,7 +123,7 @@ def _totals(v, *columns):
     return C.image_totals(v.pages.select("page_id", *columns), found, "page_id")
 
 
-@reg.query("image_totals", f"WITH {TOTALS_SQL} SELECT page_id, image_count, failed_images FROM totals, (SELECT 1 FROM {{v_fetch}} LIMIT 1) AS anchor")
+@reg.query("image_totals", f"WITH {TOTALS_SQL} SELECT page_id, image_count, failed_images FROM totals")
 def image_totals(v):
     return _totals(v).withColumn("failed_images", T.list_text(F.col("failed_images")))
 
@@ -133,7 +133,7 @@ def image_totals(v):
     f"""WITH {TOTALS_SQL}, t AS (SELECT *, {S.unescape("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)")} AS title FROM totals)
         SELECT 'knowledge base' AS source_system, title, {S.clean(S.tag_text("regexp_extract(html, '(?is)<div class=.ad.>.*?</div>')"))} AS summary, url AS source_url,
           trim(regexp_replace({S.strip('title')}, '[^a-zA-Z0-9]+', '-', 'g'), '-') AS slug, 'packages/' || trim(regexp_replace({S.strip('title')}, '[^a-zA-Z0-9]+', '-', 'g'), '-') AS package_folder,
-          image_count, failed_images, 'packaged' AS status FROM t, (SELECT 1 FROM {{v_fetch}} LIMIT 1) AS anchor""",
+          image_count, failed_images, 'packaged' AS status FROM t""",
 )
 def package_metadata(v):
     from ..functions import html as H
@@ -258,13 +258,13 @@ def macro_rewrite(v):
 
 CONVERTED_SQL = f"m.text_html || {LINK_OUT} || {IMAGE_OUT} || {ANCHOR_OUT} || {MACRO_OUT}"
 WARN_SQL = f"""warned AS (
-  SELECT m.id, 0 AS stage, 'Unsupported Confluence macro preserved as text: ' || CASE m.macro_kind WHEN 'nested' THEN 'jira' ELSE m.macro_kind END AS warning FROM v_markup m
+  SELECT m.id, 0 AS stage, 'Unsupported Confluence macro preserved as text: ' || CASE m.macro_kind WHEN 'nested' THEN 'jira' ELSE m.macro_kind END AS warning FROM {{v_markup}} m
     WHERE m.macro_kind IN ('toc', 'nested') OR (m.macro_kind = 'view-file' AND NOT {FILE_OK})
   UNION ALL SELECT m.id, 1, CASE m.link_kind WHEN 'page' THEN 'Unresolved Confluence page link: ' || m.link_title WHEN 'missing' THEN 'Unresolved Confluence page link: ' || m.link_title
-      WHEN 'attachment' THEN 'Unresolved Confluence attachment link: file-' || m.external_id || '.pdf' ELSE 'Unresolved Confluence link without page or URL target' END {FROM_MARKUP.format(v_markup='v_markup')}
+      WHEN 'attachment' THEN 'Unresolved Confluence attachment link: file-' || m.external_id || '.pdf' ELSE 'Unresolved Confluence link without page or URL target' END {FROM_MARKUP}
     WHERE (m.link_kind = 'page' AND t.address IS NULL) OR m.link_kind IN ('missing', 'none') OR (m.link_kind = 'attachment' AND NOT {FILE_OK})
        OR (m.link_kind = 'self' AND NOT ({S.strip('m.title')} <> '' AND ends_with({S.fold('m.title')}, {S.fold(S.strip('lower(m.title)'))})))
-  UNION ALL SELECT m.id, 2, 'Embedded image was not mirrored: img ' || m.space || '.png' FROM v_markup m WHERE m.lang = 'de')"""
+  UNION ALL SELECT m.id, 2, 'Embedded image was not mirrored: img ' || m.space || '.png' FROM {{v_markup}} m WHERE m.lang = 'de')"""
 
 
 def converted(v):
@@ -272,7 +272,7 @@ def converted(v):
     return M.convert(source, attachments(v), titles(v), base_url=WIKI)
 
 
-@reg.query("link_warnings", f"WITH {TITLES_SQL}, {WARN_SQL}, base AS (SELECT id FROM {{v_markup}}) SELECT b.id, coalesce(string_agg(w.warning, ' | ' ORDER BY w.stage), '') AS warnings, count(w.id) AS warning_count FROM base b LEFT JOIN warned w ON w.id = b.id GROUP BY b.id")
+@reg.query("link_warnings", f"WITH {TITLES_SQL}, {WARN_SQL} SELECT b.id, coalesce(string_agg(w.warning, ' | ' ORDER BY w.stage), '') AS warnings, count(w.id) AS warning_count FROM {{v_markup}} b LEFT JOIN warned w ON w.id = b.id GROUP BY b.id")
 def link_warnings(v):
     return converted(v).select("id", T.list_text(F.col("warnings")).alias("warnings"), F.size("warnings").cast("bigint").alias("warning_count"))
 

@@ -186,13 +186,12 @@ def package_manifest(v):
 # ---- review ---------------------------------------------------------------
 
 REVIEW_SQL = f"""{TITLES_SQL}, {WARN_SQL}, c AS (SELECT m.id, m.title, {CONVERTED_SQL} AS body {FROM_MARKUP}),
- refs AS (SELECT 'doc-' || replace(article_id, 'supplier-', '') AS id, asset_id FROM v_ref),
- rels AS (SELECT id, 'doc-' || cast(seq + 1 AS varchar) AS target_id FROM v_markup),
+ refs AS (SELECT 'doc-' || replace(article_id, 'supplier-', '') AS id, asset_id FROM {{v_ref}}),
+ rels AS (SELECT id, 'doc-' || cast(seq + 1 AS varchar) AS target_id FROM {{v_markup}}),
  findings AS (SELECT id AS article_id, 'unconverted_macro' AS finding FROM c WHERE contains(body, '[Confluence macro:')
    UNION ALL SELECT DISTINCT id, 'transform_warning: ' || warning FROM warned
-   UNION ALL SELECT id, 'missing_asset: ' || asset_id FROM refs WHERE asset_id NOT IN (SELECT id FROM v_asset) AND id IN (SELECT id FROM c)
-   UNION ALL SELECT id, 'missing_relationship: ' || target_id FROM rels WHERE target_id NOT IN (SELECT id FROM c)),
- anchor AS (SELECT (SELECT count(*) FROM {{v_ref}}) + (SELECT count(*) FROM {{v_asset}}) + (SELECT count(*) FROM {{v_markup}}) AS n)"""
+   UNION ALL SELECT id, 'missing_asset: ' || asset_id FROM refs WHERE asset_id NOT IN (SELECT id FROM {{v_asset}}) AND id IN (SELECT id FROM c)
+   UNION ALL SELECT id, 'missing_relationship: ' || target_id FROM rels WHERE target_id NOT IN (SELECT id FROM c))"""
 
 
 def review_inputs(v):
@@ -208,20 +207,20 @@ def _findings(v):
     return A.review_findings(articles, warnings, refs, v.v_asset, rels)
 
 
-@reg.query("review_findings", f"WITH {REVIEW_SQL} SELECT article_id, finding FROM findings, anchor")
+@reg.query("review_findings", f"WITH {REVIEW_SQL} SELECT article_id, finding FROM findings")
 def review_findings(v):
     return _findings(v)
 
 
-@reg.query("review_summary", f"WITH {REVIEW_SQL} SELECT split_part(finding, ':', 1) AS finding_type, count(*) AS findings, count(DISTINCT article_id) AS articles FROM findings, anchor GROUP BY 1")
+@reg.query("review_summary", f"WITH {REVIEW_SQL} SELECT split_part(finding, ':', 1) AS finding_type, count(*) AS findings, count(DISTINCT article_id) AS articles FROM findings GROUP BY 1")
 def review_summary(v):
     return A.review_summary(_findings(v))
 
 
 @reg.query(
     "review_details",
-    f"""WITH {REVIEW_SQL} SELECT c.id, c.title, length(c.body) AS content_characters, coalesce(r.n, 0) AS asset_count, 1 AS relationship_count, coalesce(f.n, 0) AS finding_count FROM c, anchor
-        LEFT JOIN (SELECT id, count(*) AS n FROM refs GROUP BY id) r ON r.id = c.id LEFT JOIN (SELECT article_id, count(*) AS n FROM findings GROUP BY 1) f ON f.article_id = c.id""".replace("FROM c, anchor", "FROM anchor CROSS JOIN c"),
+    f"""WITH {REVIEW_SQL} SELECT c.id, c.title, length(c.body) AS content_characters, coalesce(r.n, 0) AS asset_count, 1 AS relationship_count, coalesce(f.n, 0) AS finding_count FROM c
+        LEFT JOIN (SELECT id, count(*) AS n FROM refs GROUP BY id) r ON r.id = c.id LEFT JOIN (SELECT article_id, count(*) AS n FROM findings GROUP BY 1) f ON f.article_id = c.id""",
 )
 def review_details(v):
     articles, warnings, refs, rels = review_inputs(v)

@@ -27,43 +27,42 @@ def remotes(v):
 
 
 # Saved id, else permalink, else folded title; the last listed remote wins.
-RESOLVE_SQL = f"""by_title AS (SELECT {S.fold(S.strip('remote_title'))} AS t, max_by(remote_id, seq) AS rid, max_by(portal_url, seq) AS url FROM v_remote WHERE remote_title <> '' GROUP BY 1),
+RESOLVE_SQL = f"""by_title AS (SELECT {S.fold(S.strip('remote_title'))} AS t, max_by(remote_id, seq) AS rid, max_by(portal_url, seq) AS url FROM {{v_remote}} WHERE remote_title <> '' GROUP BY 1),
  resolved AS (SELECT a.*, coalesce(r1.remote_id, r2.remote_id, r3.rid) AS rid, CASE WHEN r2.remote_id IS NOT NULL THEN r2.portal_url ELSE r3.url END AS remote_portal, s.html_sha256, s.portal_url AS state_portal, s.id AS sid
-   FROM v_article a LEFT JOIN v_state s ON s.id = a.id LEFT JOIN v_remote r1 ON r1.remote_id = s.remote_id LEFT JOIN v_remote r2 ON r2.permalink = 'kb-' || a.external_id
+   FROM {{v_article}} a LEFT JOIN {{v_state}} s ON s.id = a.id LEFT JOIN {{v_remote}} r1 ON r1.remote_id = s.remote_id LEFT JOIN {{v_remote}} r2 ON r2.permalink = 'kb-' || a.external_id
    LEFT JOIN by_title r3 ON r3.t = {S.fold(S.strip('a.title'))}),
  plan AS (SELECT *, CASE WHEN rid IS NULL THEN 'created' WHEN html_sha256 = sha256(body) THEN 'skipped' ELSE 'updated' END AS action FROM resolved)"""
-USES = ", (SELECT (SELECT count(*) FROM {v_state}) + (SELECT count(*) FROM {v_remote}) + (SELECT count(*) FROM {v_article})) AS uses"
 
 
 def plan(v):
     return R.import_plan(R.resolve_remote(articles(v), v.v_state, remotes(v)), v.v_state)
 
 
-@reg.query("resolve_remote", f"WITH {RESOLVE_SQL} SELECT id, rid AS remote_id FROM resolved{USES}")
+@reg.query("resolve_remote", f"WITH {RESOLVE_SQL} SELECT id, rid AS remote_id FROM resolved")
 def resolve_remote(v):
     return R.resolve_remote(articles(v), v.v_state, remotes(v)).select("id", "remote_id")
 
 
-@reg.query("import_plan", f"WITH {RESOLVE_SQL} SELECT id, rid AS remote_id, action FROM plan{USES}")
+@reg.query("import_plan", f"WITH {RESOLVE_SQL} SELECT id, rid AS remote_id, action FROM plan")
 def import_plan(v):
     return plan(v).select("id", "remote_id", "action")
 
 
-@reg.query("import_totals", f"WITH {RESOLVE_SQL} SELECT count(*) AS article_count, count(*) FILTER (action = 'created') AS created, count(*) FILTER (action = 'updated') AS updated, count(*) FILTER (action = 'skipped') AS skipped FROM plan{USES}")
+@reg.query("import_totals", f"WITH {RESOLVE_SQL} SELECT count(*) AS article_count, count(*) FILTER (action = 'created') AS created, count(*) FILTER (action = 'updated') AS updated, count(*) FILTER (action = 'skipped') AS skipped FROM plan")
 def import_totals(v):
     return R.import_totals(plan(v))
 
 
 @reg.query(
     "publish_ledger",
-    f"""WITH {RESOLVE_SQL}, o AS (SELECT CASE WHEN space = 'src13' THEN 'failed' ELSE action END AS outcome FROM plan{USES})
+    f"""WITH {RESOLVE_SQL}, o AS (SELECT CASE WHEN space = 'src13' THEN 'failed' ELSE action END AS outcome FROM plan)
         SELECT outcome, count(*) AS articles FROM o GROUP BY 1 UNION ALL SELECT 'attempted', count(*) FROM o""",
 )
 def publish_ledger(v):
     return R.publish_ledger(plan(v), v.v_article.filter("space = 'src13'"))
 
 
-@reg.query("article_url_map", f"WITH {RESOLVE_SQL} SELECT id, id || '.html' AS filename, coalesce(nullif(state_portal, ''), nullif(remote_portal, ''), 'https://src.example.com/' || external_id) AS url FROM resolved{USES}")
+@reg.query("article_url_map", f"WITH {RESOLVE_SQL} SELECT id, id || '.html' AS filename, coalesce(nullif(state_portal, ''), nullif(remote_portal, ''), 'https://src.example.com/' || external_id) AS url FROM resolved")
 def article_url_map(v):
     return R.article_url_map(articles(v), v.v_state, remotes(v))
 
