@@ -217,10 +217,18 @@ def _bounded(edges: DataFrame, key: str, limit: int) -> DataFrame:
     return edges.join(_oversized(edges, key, limit), key, "left_anti")
 
 
+def tally(**tables: DataFrame) -> DataFrame:
+    """One row with the number of rows of each table, under the given names."""
+    marks = None
+    for name, table in tables.items():
+        mark = table.select(F.lit(name).alias("_of"))
+        marks = mark if marks is None else marks.unionByName(mark)
+    return marks.agg(*[F.count_if(F.col("_of") == name).alias(name) for name in tables])
+
+
 def package_manifest(articles: DataFrame, assets: DataFrame, failures: DataFrame, connector: str, root_id: str) -> DataFrame:
     """One-row manifest header; the id lists are :func:`manifest_entries`."""
-    count = lambda df, name: df.agg(F.count("*").alias(name))
-    header = count(articles, "object_count").join(count(assets, "asset_count")).join(count(failures, "failure_count"))
+    header = tally(object_count=articles, asset_count=assets, failure_count=failures)
     return header.select(
         F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(connector).alias("connector"), F.lit(root_id).alias("root_page_id"),
         "object_count", "asset_count", "failure_count", (F.col("failure_count") == 0).alias("crawl_successful"),
