@@ -6,10 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import audit as A
-from ..operators import hierarchy as H
 from ..operators import packaging as P
 from ..operators import storage as B
-from ..operators import validate as V
 from ..operators import dedupe as D
 from . import sql as S
 from .links import CONVERTED_SQL, FROM_MARKUP, TITLES_SQL, WARN_SQL, converted
