@@ -9,7 +9,6 @@ from ..operators import catalog as C
 from ..operators import dedupe as D
 from ..operators import reports as R
 from ..operators import similar as N
-from . import sql as S
 from .registry import Registry
 
 reg = Registry()

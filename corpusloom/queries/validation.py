@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import validate as V
-from . import sql as S
 from .registry import Registry
 
 reg = Registry()
