@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import tune
-from . import decontaminate
+from . import decontaminate, lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,3 +64,18 @@ ALNUM_WORDS = f"""[w FOR w IN regexp_split_to_array({LOWER.format("coalesce(text
 )
 def op6_suffix_array_decontamination(table):
     return decontaminate.digest(decontaminate.find_matches(table("documents"), table("benchmark")))
+
+
+@query(
+    f"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents),
+    k AS (SELECT *, {LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM l),
+    r AS (SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+    f AS (SELECT k.doc_id, p, line, first_doc IS NOT NULL AND k.doc_id <> first_doc AS gone FROM k LEFT JOIN r USING (key))
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+    FROM f GROUP BY doc_id"""
+)
+def op10_cuckoo_line_dedup(table):
+    kept = lines.dedup_lines(table("documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
