@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import tune
-from . import decontaminate, lines
+from . import decontaminate, lines, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,22 @@ def op6_suffix_array_decontamination(table):
 def op10_cuckoo_line_dedup(table):
     kept = lines.dedup_lines(table("documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+BLANK_WORDS = f"""[w FOR w IN regexp_split_to_array({LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+') IF w <> '']"""
+
+
+@query(
+    f"""WITH RECURSIVE d AS (SELECT doc_id, {BLANK_WORDS} AS w FROM documents),
+    g AS (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS p FROM d WHERE len(w) > 0),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s FROM g),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+    links AS MATERIALIZED (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+        WHERE 100 * k >= 75 * (x.n + y.n - k)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+    FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)"""
+)
+def op2_minhash_bayes_near_duplicates(table):
+    return neardup.near_duplicates(table("documents")).select("doc_id", "n_shingles", "component_id", "kept")
