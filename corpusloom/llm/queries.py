@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import tune
-from . import decontaminate, lines, neardup
+from ..session import scratch_path, tune
+from . import bpe, decontaminate, lines, neardup, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +101,41 @@ BLANK_WORDS = f"""[w FOR w IN regexp_split_to_array({LOWER.format("coalesce(text
 )
 def op2_minhash_bayes_near_duplicates(table):
     return neardup.near_duplicates(table("documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def bpe_digest(encoded: DataFrame, vocabulary: bytes) -> DataFrame:
+    """n_tokens, ids_sha256 and decoded_sha256 next to the id columns of encoded documents."""
+    decoded = bpe.decode(encoded, vocabulary, text="decoded")
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            digests = [hashlib.sha256(v.values.to_numpy().astype("<u4").data).hexdigest() for v in lists]
+            lengths = pa.array([len(v.values) for v in lists], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), lengths, pa.array(digests), batch.column(2)],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return decoded.select("doc_id", "ids", F.sha2("decoded", 256).alias("decoded_sha256")).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    )
+
+
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+@query()
+def op5_rank_array_bpe(table):
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path(WORD_BPE))
+    return bpe_digest(bpe.encode(table("documents").select("doc_id", "text"), vocabulary), vocabulary)
+
+
+@query()
+def op9_orc_token_store(table):
+    docs = table("documents")
+    path = scratch_path(docs.sparkSession, "tokens")
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path(BYTE_BPE))
+    token_store.write_tokens(docs, path, vocabulary, public_tokenizers.PATTERN)
+    return token_store.checksums(token_store.read_tokens(docs.sparkSession, path))
