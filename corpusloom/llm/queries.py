@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, tune
-from . import bpe, decontaminate, lines, neardup, token_store
+from . import bpe, decontaminate, lines, neardup, token_store, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,16 @@ def op9_orc_token_store(table):
     vocabulary = bpe.read_vocabulary(public_tokenizers.path(BYTE_BPE))
     token_store.write_tokens(docs, path, vocabulary, public_tokenizers.PATTERN)
     return token_store.checksums(token_store.read_tokens(docs.sparkSession, path))
+
+
+@query(
+    """WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.e, b.e)]) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+)
+def op1_pivot_table_topk(table):
+    vectors = table("embeddings")
+    return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors)
