@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, tune
-from . import bpe, decontaminate, lines, neardup, token_store, topk
+from . import bpe, decontaminate, lattice, licenses, lines, neardup, token_store, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,24 @@ def op9_orc_token_store(table):
 def op1_pivot_table_topk(table):
     vectors = table("embeddings")
     return topk.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors)
+
+
+@query()
+def op8_diagonal_license_scan(table):
+    return licenses.scan(table("documents"))
+
+
+def remainder(modulus: int):
+    """crc32 of the doc_id as text, modulo ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query()
+def op3_lattice_likelihood(table):
+    pieces = lattice.read_pieces(public_tokenizers.path(PIECES))
+    scored = lattice.score(table("documents"), pieces, remainder(5) != 1)
+    held_out = F.coalesce(remainder(5) == 1, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
