@@ -1,16 +1,17 @@
 """MinHash near-duplicate groups with sequential Bayesian verification.
 
 1. Texts with the same words form a class; only its smallest document goes on.
-2. A signature of ``HASHES`` MinHash values is cut into bands; documents that agree in a band
-   share a bucket. A pair at the threshold shares none with probability (1 - 0.75^4)^32 = 5e-6.
+2. A signature has ``HASHES`` MinHash values, the first ``BANDS`` x ``ROWS`` of which are cut into bands;
+   documents that agree in a band share a bucket. A pair at the threshold shares none with
+   probability (1 - 0.75^4)^32 = 5e-6. Full signatures are made for documents that share a bucket.
 3. Inside a bucket signatures are compared batch by batch. After n values with m agreeing the
    posterior of "similarity >= threshold" under a flat prior is a binomial tail; pairs whose
    posterior falls below ``MISS`` are pruned. A breadth-first walk over the survivors gives a
-   forest, so a bucket emits fewer links than it has members, never all pairs.
-4. Forest links are verified exactly on full shingle sets. Verified ones merge components; refuted
-   ones are remembered. Buckets whose members are not one component yet go round again, without
-   the refuted links, until no bucket has a new one: every surviving pair is then either
-   refuted exactly or inside one component.
+   forest: each member is proposed to the first members that reach it, never to all of them.
+4. Proposals are verified exactly on full shingle sets. Verified ones merge components; refuted ones
+   are remembered. Buckets whose members are not one component yet go round again without the
+   refuted pairs, each time with eight times as many proposals a member, until no bucket has a
+   new one: every surviving pair is then either refuted exactly or inside one component.
 
 The first turn takes a quarter of the buckets, every later one all of them. Buckets above
 ``GROUP`` members are cut into blocks. In the first turn each block carries the
@@ -37,10 +38,12 @@ from .components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 75  # per cent
-HASHES = 128
+HASHES = 256
+BANDS = 32
 ROWS = 4
 BATCH = 32
 MISS = 1e-6
+WIDEN = 8
 GROUP = 4096
 LEADERS = 16
 
@@ -111,33 +114,40 @@ def sequence_hash(words: np.ndarray, bounds: np.ndarray, salt: int) -> np.ndarra
     return tx.span_hashes(scrambled, bounds[:-1], bounds[1:])
 
 
-def band_rows(docs: DataFrame, size: int, hashes: int, rows: int) -> DataFrame:
-    """(doc_id, signature, bands) of every document."""
+def sketches(docs: DataFrame, size: int, hashes: int) -> DataFrame:
+    """(doc_id, signature) of every document: its MinHash values as 32-bit integers in a row."""
     family = hash_family(hashes)
 
     def run(batches):
         for batch in batches:
             for first, stop, data, offsets in tx.slices(batch.column(1)):
                 found, bounds, _, _ = shingles(data, offsets, size)
-                made = np.stack([signature(found[a:b], family) for a, b in zip(bounds[:-1], bounds[1:])])
-                keys = made.reshape(len(made), -1, rows).astype(np.uint64)
-                band = np.zeros(keys.shape[:2], np.uint64)
-                for j in range(rows):
-                    band = tx.mix(band * tx.MULTIPLIER + keys[:, :, j] + np.uint64(1))
-                # The band's number is part of its hash.
-                band = tx.mix(band + np.arange(band.shape[1], dtype=np.uint64))
-                offsets32 = pa.array(np.arange(len(made) + 1, dtype=np.int32) * band.shape[1])
-                blobs = [row.tobytes() for row in made]
+                made = [signature(found[a:b], family).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, stop - first),
-                        pa.array(blobs, pa.binary()),
-                        pa.ListArray.from_arrays(offsets32, pa.array(band.view(np.int64).ravel())),
-                    ],
-                    names=["doc_id", "signature", "bands"],
+                    [batch.column(0).slice(first, stop - first), pa.array(made, pa.binary())], names=["doc_id", "signature"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, signature binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, signature binary")
+
+
+def band_rows(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
+    """(doc_id, bands) of every document: the hashes of its bands."""
+
+    def run(batches):
+        for batch in batches:
+            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32)
+            keys = signs.reshape(batch.num_rows, bands, rows).astype(np.uint64)
+            band = np.zeros(keys.shape[:2], np.uint64)
+            for j in range(rows):
+                band = tx.mix(band * tx.MULTIPLIER + keys[:, :, j] + np.uint64(1))
+            # The band's number is part of its hash.
+            band = tx.mix(band + np.arange(bands, dtype=np.uint64)).view(np.int64)
+            offsets = pa.array(np.arange(len(band) + 1, dtype=np.int32) * bands)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(band.ravel()))], names=["doc_id", "bands"]
+            )
+
+    return sketches(docs, size, bands * rows).mapInArrow(run, "doc_id long, bands array<long>")
 
 
 def keep_table(hashes: int, batch: int, threshold: float, miss: float) -> list[int]:
@@ -166,35 +176,42 @@ def survivors(one: np.ndarray, others: np.ndarray, least: list[int], batch: int)
     return live
 
 
-def forest(ids, components, signs, refuted, starts, least: list[int], batch: int) -> list[tuple[int, int]]:
+def forest(ids, components, signs, refuted, starts, least: list[int], batch: int, width: int) -> list[tuple[int, int]]:
     """Links between the components of one group: a breadth-first walk over surviving pairs.
 
-    Members of one component are reached together. ``refuted`` holds, per member, the ids that exact
-    verification refused; pairs of which neither member is in ``starts`` are not compared.
+    Members of one component are reached together. A component is proposed to ``width`` members at most, then
+    waits for their verification. ``refuted`` holds, per member, the ids that verification refused; pairs of
+    which neither member is in ``starts`` are not compared.
     """
     labels = np.unique(components, return_inverse=True)[1]
     order = np.argsort(labels, kind="stable")
     members = np.split(order, np.flatnonzero(np.diff(labels[order])) + 1)
     free = np.ones(len(ids), bool)
+    reached = np.zeros(len(members), bool)
+    proposed = np.zeros(len(members), np.int64)
     links = []
-    for root in members:
-        if not free[root[0]]:
-            continue
-        free[root] = False
-        queue = list(root)
+    for root in range(len(members)):
+        queue = [root] if not reached[root] else []
+        reached[root] = True
         while queue:
-            at = queue.pop()
-            rest = np.flatnonzero(free if starts[at] else free & starts)
-            for to in rest[survivors(signs[at], signs[rest], least, batch)] if len(rest) else rest:
-                if free[to] and not (refuted[at] and ids[to] in refuted[at]):
-                    links.append((min(ids[at], ids[to]), max(ids[at], ids[to])))
-                    same = members[labels[to]]
-                    free[same] = False
-                    queue.extend(same)
+            own = members[queue.pop()]
+            free[own] = False
+            for at in own:
+                rest = np.flatnonzero(free if starts[at] else free & starts)
+                for to in rest[survivors(signs[at], signs[rest], least, batch)] if len(rest) else rest:
+                    label = labels[to]
+                    if free[to] and not (refuted[at] and ids[to] in refuted[at]):
+                        links.append((min(ids[at], ids[to]), max(ids[at], ids[to])))
+                        proposed[label] += 1
+                        if proposed[label] >= width:
+                            free[members[label]] = False
+                        if not reached[label]:
+                            reached[label] = True
+                            queue.append(label)
     return links
 
 
-def walk_groups(dealt: DataFrame, hashes: int, least: list[int]) -> DataFrame:
+def walk_groups(dealt: DataFrame, hashes: int, least: list[int], width: int) -> DataFrame:
     """:func:`forest` of every (bucket, part); rows of a group are neighbours after the sort."""
 
     def links_of(table: pa.Table):
@@ -207,7 +224,7 @@ def walk_groups(dealt: DataFrame, hashes: int, least: list[int]) -> DataFrame:
         refuted = [set(r) if r else None for r in refuted.to_pylist()]
         for low, high in zip([0, *edge], [*edge, len(ids)]):
             if (components[low:high] != components[low]).any():
-                yield from forest(ids[low:high], components[low:high], signs[low:high], refuted[low:high], starts[low:high], least, BATCH)
+                yield from forest(ids[low:high], components[low:high], signs[low:high], refuted[low:high], starts[low:high], least, BATCH, width)
 
     def emit(table: pa.Table):
         links = np.array(list(links_of(table)), np.int64).reshape(-1, 2)
@@ -299,30 +316,40 @@ def grouped(members: DataFrame, turn: int, group: int) -> DataFrame:
     return small.unionByName(dealt)
 
 
-def link_groups(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, hashes: int = HASHES, rows: int = ROWS, miss: float = MISS, group: int = GROUP) -> DataFrame:
+def link_groups(
+    docs: DataFrame,
+    size: int = SHINGLE,
+    threshold: int = THRESHOLD,
+    hashes: int = HASHES,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    miss: float = MISS,
+    group: int = GROUP,
+) -> DataFrame:
     """``(id, component)`` of the documents that are linked with another; ``docs`` has one row per class."""
     spark = docs.sparkSession
     path = scratch_path(spark, "near-duplicates")
-    made = band_rows(docs, size, hashes, rows)
-    made.write.parquet(f"{path}/signatures")
-    made = spark.read.parquet(f"{path}/signatures")
-    bands = made.select("doc_id", F.explode("bands").alias("bucket"))
-    # Buckets of one say nothing; counting them moves one number per bucket, combined before the shuffle.
-    shared = bands.groupBy("bucket").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("bucket")
-    bands.join(shared, "bucket", "left_semi").write.parquet(f"{path}/buckets")
-    bands = spark.read.parquet(f"{path}/buckets")
-    signs = made.join(bands.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "signature")
-    signs.write.parquet(f"{path}/signed")
-    signs = spark.read.parquet(f"{path}/signed")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
+
+    buckets = stored(band_rows(docs, size, bands, rows), "bands").select("doc_id", F.explode("bands").alias("bucket"))
+    # Buckets of one say nothing; finding the others moves two numbers a bucket, combined before the shuffle.
+    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("bucket")
+    buckets = stored(buckets.join(shared, "bucket", "left_semi"), "buckets")
+    signed = docs.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi")
+    signs = stored(sketches(signed, size, hashes), "signatures")
     least = keep_table(hashes, BATCH, threshold / 100, miss)
 
     components, refuted, turn = None, None, 0
     while True:
-        labelled = bands.withColumn("component", F.col("doc_id"))
-        if turn == 0:  # a quarter of the buckets joins most of each group; the next turn looks at all
-            labelled = labelled.where(F.pmod("bucket", F.lit(4)) == 0)
+        if turn == 0:  # a quarter of the buckets joins most of each group; every later turn looks at all
+            labelled = buckets.where(F.pmod("bucket", F.lit(4)) == 0).withColumn("component", F.col("doc_id"))
+        elif components is None:
+            labelled = buckets.withColumn("component", F.col("doc_id"))
         else:
-            labelled = bands.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
+            labelled = buckets.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
                 "component", F.coalesce("component", "doc_id")
             )
         dealt = grouped(labelled, turn, group).join(signs, "doc_id")
@@ -331,16 +358,17 @@ def link_groups(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD
         else:
             both = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
             dealt = dealt.join(both.groupBy(F.col("a").alias("doc_id")).agg(F.collect_list("b").alias("refuted")), "doc_id", "left")
-        walk_groups(dealt, hashes, least).write.parquet(f"{path}/pairs-{turn}")
-        pairs = spark.read.parquet(f"{path}/pairs-{turn}")
+        pairs = stored(walk_groups(dealt, hashes, least, WIDEN**turn), f"pairs-{turn}")
         if turn and pairs.isEmpty():
-            return components
-        verify(pairs, docs, size, threshold).write.parquet(f"{path}/verified-{turn}")
-        checked = spark.read.parquet(f"{path}/verified-{turn}")
-        components = materialize(connected_components(checked.where("linked").select("a", "b"), components))
+            break
+        checked = stored(verify(pairs, docs, size, threshold), f"verified-{turn}")
+        links = checked.where("linked").select("a", "b")
+        if not links.isEmpty():
+            components = materialize(connected_components(links, components))
         bad = checked.where("not linked").select("a", "b")
         refuted = bad if refuted is None else refuted.unionByName(bad)
         turn += 1
+    return components if components is not None else spark.createDataFrame([], "id long, component long")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD, **options) -> DataFrame:
