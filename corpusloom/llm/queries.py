@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, tune
-from . import bpe, decontaminate, lattice, licenses, lines, neardup, token_store, topk
+from . import bpe, decontaminate, lattice, licenses, lines, neardup, token_store, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,3 +173,11 @@ def op3_lattice_likelihood(table):
     scored = lattice.score(table("documents"), pieces, remainder(5) != 1)
     held_out = F.coalesce(remainder(5) == 1, F.lit(False)).alias("held_out")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op4_counterfactual_toxicity(table):
+    docs = table("documents")
+    model = toxicity.train(toxicity.training_rows(docs, table("labels"), remainder(5) != 0))
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
