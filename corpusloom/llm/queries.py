@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, tune
-from . import bpe, decontaminate, lattice, licenses, lines, neardup, token_store, topk, toxicity
+from . import bpe, decontaminate, langid, lattice, licenses, lines, neardup, token_store, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -181,3 +181,11 @@ def op4_counterfactual_toxicity(table):
     model = toxicity.train(toxicity.training_rows(docs, table("labels"), remainder(5) != 0))
     held_out = F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out")
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query()
+def op7_crf_language_id(table):
+    docs = table("documents")
+    crf = langid.train(docs, remainder(4) != 2)
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return langid.predict(docs.select("doc_id", "text"), crf).select("doc_id", held_out, "lang_pred", "score")
