@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm import bpe, decontaminate, langid, lines, neardup
+from corpusloom.llm.columns import free_name
 from corpusloom.llm.queries import WORD_BPE, bpe_digest, prepare
 from corpusloom.session import scratch_path
 
@@ -20,8 +21,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in a learned language: texts without a letter, or of no language by far, go."""
     prepare(spark)
     crf = langid.train(docs, F.lit(True))
-    named = langid.predict(docs, crf, "_lang", "_score")
-    return named.where((F.col("_lang") != langid.UNKNOWN) & (F.col("_score") >= MIN_SCORE)).drop("_lang", "_score")
+    lang, score = (free_name(docs.columns, name) for name in ("_lang", "_score"))
+    named = langid.predict(docs, crf, lang, score)
+    return named.where((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= MIN_SCORE)).drop(lang, score)
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +39,9 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the smallest document, once; rows without doc_id stay."""
     prepare(spark)
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    one = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id", "text"])
+    key = free_name(docs.columns, "_kept")
+    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    one = docs.join(kept, F.col("doc_id").cast("long") == F.col(key), "left_semi").dropDuplicates(["doc_id", "text"])
     return one.unionByName(docs.where("doc_id is null"))
 
 

@@ -246,10 +246,9 @@ def text_parts(column: pa.Array, limit: int = SLICE):
 
 
 def encode(docs: DataFrame, vocabulary: bytes, column: str = "ids", text: str = "text") -> DataFrame:
-    """``docs`` without its text and with an array of token ids."""
+    """``docs`` without its text and with an array of token ids, which replaces a column of that name."""
+    docs = docs.drop(column)
     keep = [c for c in docs.columns if c != text]
-    if column in keep:
-        raise ValueError(f"column {column} exists; name the result otherwise")
     schema = T.StructType([f for f in docs.schema.fields if f.name != text] + [T.StructField(column, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
@@ -264,9 +263,8 @@ def encode(docs: DataFrame, vocabulary: bytes, column: str = "ids", text: str =
 
 
 def decode(encoded: DataFrame, vocabulary: bytes, column: str = "ids", text: str = "text") -> DataFrame:
-    """Add the text that the ids stand for; null ids give an empty text."""
-    if text in encoded.columns:
-        raise ValueError(f"column {text} exists; name the result otherwise")
+    """Add the text that the ids stand for, replacing a column of that name; null ids give an empty text."""
+    encoded = encoded.drop(text)
     keep = encoded.columns
     schema = T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())])
 

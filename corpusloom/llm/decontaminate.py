@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from . import text as tx
+from .columns import free_name
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -283,11 +284,10 @@ def find_matches(
 
     ``docs`` needs ``text``; ``benchmark`` needs ``item_id`` and ``text``. Words are runs of ASCII
     letters and digits and of all characters from U+0080, with A-Z lower-cased. A match is
-    ``window`` consecutive words of an item, or all words of a shorter item.
+    ``window`` consecutive words of an item, or all words of a shorter item. Columns of ``docs`` that are
+    named like a result give way to it.
     """
-    clash = {matches, n_words} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; name the results otherwise")
+    docs = docs.drop(matches, n_words)
     for block in test_blocks(benchmark, window, block_words):
         docs = search_block(docs, block, "text", (matches, n_words))
     return docs
@@ -296,7 +296,8 @@ def find_matches(
 def longest_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """For every test suffix ``(item_id, word)`` its longest verbatim match and the smallest place of it.
 
-    Returns item_id, word (of the item), length, doc_id, start; suffixes without a match are absent.
+    Returns item_id, word (of the item), length, doc_id, start; suffixes without a match of two words (or of
+    a one-word item) are absent.
     """
     found = None
     schema = "item_id string, word long, length long, doc_id long, start long"
@@ -359,5 +360,6 @@ def digest(found: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Documents that hold no window of any test item, with their own columns."""
-    found = find_matches(docs, benchmark, window, matches="_matches", n_words="_match_words")
-    return found.where(F.size("_matches") == 0).drop("_matches", "_match_words")
+    matches, n_words = (free_name(docs.columns, name) for name in ("_matches", "_match_words"))
+    found = find_matches(docs, benchmark, window, matches=matches, n_words=n_words)
+    return found.where(F.size(matches) == 0).drop(matches, n_words)

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from . import text as tx
 from .sample import labelled_sample
@@ -104,6 +105,9 @@ class Crf:
         return Crf(model["languages"].tolist(), model["weights"], model["transitions"])
 
 
+NO_MODEL = Crf([], np.zeros((1, 0), np.float32), np.zeros((0, 0)))
+
+
 def forward_backward(potentials: np.ndarray, transitions: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
     """Marginals of all words of chains that lie one after another, and the expected transitions.
 
@@ -215,7 +219,7 @@ def train(docs: DataFrame, learn, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_C
     known = docs.where(learn).where("lang is not null").select("doc_id", "text", "lang")
     languages = sorted(r[0] for r in known.select("lang").distinct().collect())  # a row for each language
     if not languages:
-        return Crf([], np.zeros((1, 0), np.float32), np.zeros((0, 0)))
+        return NO_MODEL
     sample = labelled_sample(known, "lang", languages, rows, chars)
 
     def run(batches):
@@ -226,7 +230,8 @@ def train(docs: DataFrame, learn, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_C
         yield pa.RecordBatch.from_arrays([pa.array([fit(texts, labels).to_bytes()], pa.binary())], names=["model"])
 
     together = sample.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "lang")
-    return Crf.from_bytes(together.mapInArrow(run, "model binary").first()[0])
+    blob = together.mapInArrow(run, "model binary").first()
+    return Crf.from_bytes(blob[0]) if blob else NO_MODEL
 
 
 class Labeller:
@@ -292,12 +297,10 @@ def label_words(docs: DataFrame, crf: Crf) -> DataFrame:
 
 
 def predict(docs: DataFrame, crf: Crf, lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language of each text and its score."""
-    clash = {lang, score} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; name the results otherwise")
+    """``docs`` with the predicted language of each text and its score, which replace columns of those names."""
+    docs = docs.drop(lang, score)
     keep = docs.columns
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{lang}` string", f"`{score}` double"])
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())])
     at = keep.index("text")
 
     def run(batches):

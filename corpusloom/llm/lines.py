@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from .columns import free_name
 from .cuckoo import CuckooFilter
 
 MIN_CHARS = 10
@@ -204,19 +205,19 @@ def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
 def drop_repeated(docs: DataFrame, index: LineIndex, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` (all held by ``index``) with repeated lines left only in the smallest document holding them.
 
-    Keeps the columns of ``docs``, with the new ``text``, and adds n_lines (before) and n_dropped.
+    Keeps the columns of ``docs``, with the new ``text``, and adds n_lines (before) and n_dropped, which replace
+    columns of those names.
     """
     repeated = index.counts.where("refs > 1").select(*KEY, "first_doc")
+    docs = docs.drop("n_lines", "n_dropped")
+    keep = docs.columns
+    drop_id, low_name, high_name = (free_name(keep, name) for name in ("_drop_id", "_low", "_high"))
     drops = (
         index.postings.join(repeated, KEY)
         .where("doc_id <> first_doc")
-        .groupBy(F.col("doc_id").alias("_drop_id"))
-        .agg(F.collect_list("low").alias("_low"), F.collect_list("high").alias("_high"))
+        .groupBy(F.col("doc_id").alias(drop_id))
+        .agg(F.collect_list("low").alias(low_name), F.collect_list("high").alias(high_name))
     )
-    keep = docs.columns
-    clash = {"n_lines", "n_dropped", "_drop_id", "_low", "_high"} & set(keep)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist; rename them first")
     at = keep.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
@@ -240,8 +241,8 @@ def drop_repeated(docs: DataFrame, index: LineIndex, min_chars: int = MIN_CHARS)
             columns = [batch.column(i) if i != at else pa.array(texts, batch.schema.field(at).type) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines), pa.array(n_dropped)], names=schema.names)
 
-    joined = docs.join(drops, F.col("doc_id").cast("long") == F.col("_drop_id"), "left")
-    return joined.select(*keep, "_low", "_high").mapInArrow(run, schema)
+    joined = docs.join(drops, F.col("doc_id").cast("long") == F.col(drop_id), "left")
+    return joined.select(*keep, low_name, high_name).mapInArrow(run, schema)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

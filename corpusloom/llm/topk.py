@@ -48,7 +48,8 @@ def choose_pivots(vectors: DataFrame, pivots: int, sample: int) -> dict[int, np.
     rows = vectors.select("vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     chosen = {}
     for size in {len(r[0]) for r in rows}:
-        pool = np.array([r[0] for r in rows if len(r[0]) == size], float).reshape(-1, size)
+        pool = [r[0] for r in rows if len(r[0]) == size]
+        pool = np.array(pool, float).reshape(len(pool), size)
         picked = [0]
         gap = np.linalg.norm(pool - pool[0], axis=1)
         while len(picked) < min(pivots, len(pool)):

@@ -131,6 +131,8 @@ def train(sample: DataFrame, terms: dict[str, list[str]] = IDENTITY_TERMS, fairn
 
     rows = sample.repartition(1).sortWithinPartitions("doc_id").select("text", F.col("toxic").cast("int"))
     blob = rows.mapInArrow(run, "model binary").first()
+    if blob is None:  # no labelled row at all
+        return np.zeros(1 << BITS), -40.0
     model = np.load(io.BytesIO(blob[0]))
     return model["weights"], float(model["intercept"])
 
