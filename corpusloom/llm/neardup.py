@@ -6,14 +6,16 @@
    probability (1 - 0.75^4)^32 = 5e-6. Full signatures are made for documents that share a bucket.
 3. Inside a bucket signatures are compared batch by batch. After n values with m agreeing the
    posterior of "similarity >= threshold" under a flat prior is a binomial tail; pairs whose
-   posterior falls below ``MISS`` are pruned. A breadth-first walk over the survivors gives a
-   forest: each member is proposed to the first members that reach it, never to all of them.
-4. Proposals are verified exactly on full shingle sets. Verified ones merge components; refuted ones
-   are remembered. Buckets whose members are not one component yet go round again without the
-   refuted pairs, each time with eight times as many proposals a member, until no bucket has a
-   new one: every surviving pair is then either refuted exactly or inside one component.
-
-The first turn takes a quarter of the buckets, every later one all of them. Buckets above
+   posterior falls below ``MISS`` are pruned. A breadth-first walk over the survivors proposes each
+   member to a few of the members that reach it, never to all of them.
+4. Proposals are verified exactly on full shingle sets; verified ones merge components.
+5. Two turns of this settle nearly all buckets: those in which every surviving pair was proposed are
+   done. The others - many texts just below the threshold - get their shingle sets into the walk
+   itself, which then verifies survivors in place and emits only links that hold, a forest. A pair
+   is looked at in the first band it shares. So every surviving pair is verified exactly or lies
+   inside one component, and no list of pairs grows with the square of a group.
+
+The first turn takes a quarter of the buckets, the second all of them. Buckets above
 ``GROUP`` members are cut into blocks. In the first turn each block carries the
 bucket's leaders along; later the members outside the bucket's largest component are compared
 with every block. Nothing is capped, sampled or dropped.
@@ -43,7 +45,7 @@ BANDS = 32
 ROWS = 4
 BATCH = 32
 MISS = 1e-6
-WIDEN = 8
+WIDTHS = (1, 8)  # proposals for a member in the first two turns
 GROUP = 4096
 LEADERS = 16
 
@@ -130,18 +132,22 @@ def sketches(docs: DataFrame, size: int, hashes: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, signature binary")
 
 
+def band_hashes(signs: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Hashes of the bands of each signature; a band's number is part of its hash."""
+    keys = signs[:, : bands * rows].reshape(len(signs), bands, rows).astype(np.uint64)
+    band = np.zeros(keys.shape[:2], np.uint64)
+    for j in range(rows):
+        band = tx.mix(band * tx.MULTIPLIER + keys[:, :, j] + np.uint64(1))
+    return tx.mix(band + np.arange(bands, dtype=np.uint64)).view(np.int64)
+
+
 def band_rows(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, bands) of every document: the hashes of its bands."""
+    """(doc_id, bands) of every document."""
 
     def run(batches):
         for batch in batches:
-            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32)
-            keys = signs.reshape(batch.num_rows, bands, rows).astype(np.uint64)
-            band = np.zeros(keys.shape[:2], np.uint64)
-            for j in range(rows):
-                band = tx.mix(band * tx.MULTIPLIER + keys[:, :, j] + np.uint64(1))
-            # The band's number is part of its hash.
-            band = tx.mix(band + np.arange(bands, dtype=np.uint64)).view(np.int64)
+            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, -1)
+            band = band_hashes(signs, bands, rows)
             offsets = pa.array(np.arange(len(band) + 1, dtype=np.int32) * bands)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(band.ravel()))], names=["doc_id", "bands"]
@@ -176,16 +182,20 @@ def survivors(one: np.ndarray, others: np.ndarray, least: list[int], batch: int)
     return live
 
 
-def forest(ids, components, signs, refuted, starts, least: list[int], batch: int, width: int) -> list[tuple[int, int]]:
-    """Links between the components of one group: a breadth-first walk over surviving pairs.
-
-    Members of one component are reached together. A component is proposed to ``width`` members at most, then
-    waits for their verification. ``refuted`` holds, per member, the ids that verification refused; pairs of
-    which neither member is in ``starts`` are not compared.
-    """
+def members_of(components) -> tuple[np.ndarray, list[np.ndarray]]:
     labels = np.unique(components, return_inverse=True)[1]
     order = np.argsort(labels, kind="stable")
-    members = np.split(order, np.flatnonzero(np.diff(labels[order])) + 1)
+    return labels, np.split(order, np.flatnonzero(np.diff(labels[order])) + 1)
+
+
+def proposals(ids, components, signs, refuted, starts, least: list[int], batch: int, width: int):
+    """Surviving pairs between the components of one group, and whether that is all of them.
+
+    A breadth-first walk, in which members of one component are reached together; a component is proposed to
+    ``width`` members at most. ``refuted`` holds, per member, the ids that verification refused; pairs of which
+    neither member is in ``starts`` are not compared.
+    """
+    labels, members = members_of(components)
     free = np.ones(len(ids), bool)
     reached = np.zeros(len(members), bool)
     proposed = np.zeros(len(members), np.int64)
@@ -208,35 +218,79 @@ def forest(ids, components, signs, refuted, starts, least: list[int], batch: int
                         if not reached[label]:
                             reached[label] = True
                             queue.append(label)
+    return links, bool((proposed < width).all())
+
+
+def exact_links(band: int, ids, components, signs, sets: list[np.ndarray], starts, least, batch, rows, threshold):
+    """Links that hold between the components of one group, a forest: survivors are verified in place.
+
+    Pairs that agree in a band before ``band`` are left to that band's bucket.
+    """
+    labels, members = members_of(components)
+    free = np.ones(len(ids), bool)
+    sizes = np.array([len(s) for s in sets])
+    links = []
+    for root in range(len(members)):
+        queue = [root] if free[members[root][0]] else []
+        free[members[root]] = False
+        while queue:
+            for at in members[queue.pop()]:
+                rest = np.flatnonzero(free if starts[at] else free & starts)
+                if not len(rest):
+                    continue
+                rest = rest[survivors(signs[at], signs[rest], least, batch)]
+                same = (signs[rest, : band * rows] == signs[at, : band * rows]).reshape(len(rest), band, rows)
+                rest = rest[~same.all(axis=2).any(axis=1)]
+                if not len(rest):
+                    continue
+                flat = np.concatenate([sets[i] for i in rest])
+                near = np.minimum(np.searchsorted(sets[at], flat), sizes[at] - 1)
+                common = np.add.reduceat((sets[at][near] == flat).astype(np.int64), np.cumsum(sizes[rest]) - sizes[rest])
+                for to in rest[100 * common >= threshold * (sizes[at] + sizes[rest] - common)]:
+                    if free[to]:
+                        links.append((min(ids[at], ids[to]), max(ids[at], ids[to])))
+                        free[members[labels[to]]] = False
+                        queue.append(labels[to])
     return links
 
 
-def walk_groups(dealt: DataFrame, hashes: int, least: list[int], width: int) -> DataFrame:
-    """:func:`forest` of every (bucket, part); rows of a group are neighbours after the sort."""
+COLUMNS = ["bucket", "part", "starts", "doc_id", "component", "signature"]
+
 
-    def links_of(table: pa.Table):
-        bucket, part, starts, ids, components, signs, refuted = (c.combine_chunks() for c in table.columns)
-        key = np.stack([bucket.to_numpy(), part.to_numpy()])
-        edge = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
+def walk_groups(dealt: DataFrame, last: str, decide) -> DataFrame:
+    """(a, b, bucket): the links that ``decide`` gives for every (bucket, part), and buckets it has not finished.
+
+    ``decide`` takes the bucket and the group's arrays of doc_id, component, signature, ``last`` and starts. Rows
+    of a group are neighbours after the sort, so a task holds one group (and one batch) at a time.
+    """
+
+    def emit(table: pa.Table):
+        bucket, part, starts, ids, components, signs, values = (c.combine_chunks() for c in table.columns)
+        bucket, part = bucket.to_numpy(), part.to_numpy()
+        edge = np.flatnonzero((bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])) + 1
         starts = starts.to_numpy(zero_copy_only=False)
         ids, components = ids.to_numpy(), components.to_numpy()
-        signs = np.frombuffer(b"".join(signs.to_pylist()), np.uint32).reshape(-1, hashes)
-        refuted = [set(r) if r else None for r in refuted.to_pylist()]
+        signs = np.frombuffer(b"".join(signs.to_pylist()), np.uint32).reshape(len(ids), -1)
+        values = values.to_pylist()
+        found, open_ = [], []
         for low, high in zip([0, *edge], [*edge, len(ids)]):
             if (components[low:high] != components[low]).any():
-                yield from forest(ids[low:high], components[low:high], signs[low:high], refuted[low:high], starts[low:high], least, BATCH, width)
-
-    def emit(table: pa.Table):
-        links = np.array(list(links_of(table)), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], names=["a", "b"])
+                own = slice(low, high)
+                links, done = decide(bucket[low], ids[own], components[own], signs[own], values[own], starts[own])
+                found += links
+                open_ += [] if done else [bucket[low]]
+        found = np.array(found, np.int64).reshape(-1, 2)
+        columns = [pa.concat_arrays([pa.array(found[:, k].copy()), pa.nulls(len(open_), pa.int64())]) for k in (0, 1)]
+        columns.append(pa.concat_arrays([pa.nulls(len(found), pa.int64()), pa.array(open_, pa.int64())]))
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "bucket"])
 
     def run(batches):
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
-            last = [held.column(i)[-1].as_py() for i in (0, 1)]
-            same = (held.column(0).to_numpy() == last[0]) & (held.column(1).to_numpy() == last[1])
+            ends = [held.column(i)[-1].as_py() for i in (0, 1)]
+            same = (held.column(0).to_numpy() == ends[0]) & (held.column(1).to_numpy() == ends[1])
             cut = int(np.argmax(same))  # sorted: the last group is a suffix
             if cut:
                 yield emit(held.slice(0, cut))
@@ -244,16 +298,14 @@ def walk_groups(dealt: DataFrame, hashes: int, least: list[int], width: int) ->
         if held is not None:
             yield emit(held)
 
-    columns = ["bucket", "part", "starts", "doc_id", "component", "signature", "refuted"]
-    dealt = dealt.select(*columns).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    dealt = dealt.select(*COLUMNS, last).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    return dealt.mapInArrow(run, "a long, b long, bucket long").distinct()
 
 
-def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """(a, b, linked) of every pair, on full shingle sets."""
-    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def full_sets(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, shingles): the sorted distinct shingle hashes of every document, as 64-bit integers in a row."""
 
-    def sets(batches):
+    def run(batches):
         for batch in batches:
             for first, stop, data, offsets in tx.slices(batch.column(1)):
                 found, bounds, _, _ = shingles(data, offsets, size)
@@ -262,6 +314,13 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> Data
                     [batch.column(0).slice(first, stop - first), pa.array(blobs, pa.binary())], names=["doc_id", "shingles"]
                 )
 
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
+    """(a, b, linked) of every pair, on full shingle sets."""
+    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
     def compare(batches):
         for batch in batches:
             linked = []
@@ -271,7 +330,7 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> Data
                 linked.append(100 * common >= threshold * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    made = docs.join(ends, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "doc_id long, shingles binary")
+    made = full_sets(docs.join(ends, "doc_id", "left_semi"), size)
     one = made.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     two = made.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     checked = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, linked boolean")
@@ -342,32 +401,44 @@ def link_groups(
     signs = stored(sketches(signed, size, hashes), "signatures")
     least = keep_table(hashes, BATCH, threshold / 100, miss)
 
-    components, refuted, turn = None, None, 0
-    while True:
-        if turn == 0:  # a quarter of the buckets joins most of each group; every later turn looks at all
-            labelled = buckets.where(F.pmod("bucket", F.lit(4)) == 0).withColumn("component", F.col("doc_id"))
-        elif components is None:
-            labelled = buckets.withColumn("component", F.col("doc_id"))
-        else:
-            labelled = buckets.join(components.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-                "component", F.coalesce("component", "doc_id")
-            )
-        dealt = grouped(labelled, turn, group).join(signs, "doc_id")
-        if refuted is None:
-            dealt = dealt.withColumn("refuted", F.array().cast("array<long>"))
-        else:
-            both = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            dealt = dealt.join(both.groupBy(F.col("a").alias("doc_id")).agg(F.collect_list("b").alias("refuted")), "doc_id", "left")
-        pairs = stored(walk_groups(dealt, hashes, least, WIDEN**turn), f"pairs-{turn}")
-        if turn and pairs.isEmpty():
-            break
-        checked = stored(verify(pairs, docs, size, threshold), f"verified-{turn}")
-        links = checked.where("linked").select("a", "b")
-        if not links.isEmpty():
-            components = materialize(connected_components(links, components))
+    def proposing(width: int):
+        def decide(bucket, ids, components, signs, refuted, starts):
+            refuted = [set(r) if r else None for r in refuted]
+            return proposals(ids, components, signs, refuted, starts, least, BATCH, width)
+
+        return decide
+
+    def verifying(bucket, ids, components, signs, sets, starts):
+        band = int(np.flatnonzero(band_hashes(signs[:1], bands, rows)[0] == bucket)[0])
+        sets = [np.frombuffer(s, np.uint64) for s in sets]
+        return exact_links(band, ids, components, signs, sets, starts, least, BATCH, rows, threshold), True
+
+    def labelled(rows: DataFrame, components: DataFrame | None) -> DataFrame:
+        if components is None:
+            return rows.withColumn("component", F.col("doc_id"))
+        named = components.withColumnRenamed("id", "doc_id")
+        return rows.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+
+    def merged(links: DataFrame, components: DataFrame | None) -> DataFrame | None:
+        return components if links.isEmpty() else materialize(connected_components(links, components))
+
+    components, bad = None, spark.createDataFrame([], "a long, b long")
+    for turn, width in enumerate(WIDTHS):
+        # A quarter of the buckets joins most of each group.
+        own = buckets.where(F.pmod("bucket", F.lit(4)) == 0) if turn == 0 else buckets
+        both = bad.unionByName(bad.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        refuted = both.groupBy(F.col("a").alias("doc_id")).agg(F.collect_list("b").alias("refuted"))
+        dealt = grouped(labelled(own, components), turn, group).join(signs, "doc_id").join(refuted, "doc_id", "left")
+        walked = stored(walk_groups(dealt, "refuted", proposing(width)), f"walked-{turn}")
+        checked = stored(verify(walked.where("a is not null").select("a", "b"), docs, size, threshold), f"verified-{turn}")
+        components = merged(checked.where("linked").select("a", "b"), components)
         bad = checked.where("not linked").select("a", "b")
-        refuted = bad if refuted is None else refuted.unionByName(bad)
-        turn += 1
+    rest = walked.where("bucket is not null").select("bucket").distinct()
+    if not rest.isEmpty():
+        dealt = stored(grouped(labelled(buckets.join(rest, "bucket", "left_semi"), components), turn + 1, group), "unfinished")
+        sets = full_sets(docs.join(dealt.select("doc_id").distinct(), "doc_id", "left_semi"), size)
+        walked = stored(walk_groups(dealt.join(signs, "doc_id").join(sets, "doc_id"), "shingles", verifying), "links")
+        components = merged(walked.where("a is not null").select("a", "b"), components)
     return components if components is not None else spark.createDataFrame([], "id long, component long")
 
 
