@@ -14,6 +14,8 @@ ANCHOR = r"(?is)<a(?:\s[^>]*)?>.*?</a\s*>"
 ANCHOR_OPEN = r"(?is)<a(?:\s[^>]*)?>"
 IMAGE = r"(?is)<img(?:\s[^>]*)?>"
 ANCHOR_OR_IMAGE_OPEN = r"(?is)<(?:a|img)(?:\s[^>]*)?>"
+# A Unicode noncharacter, never part of interchanged text, marks token borders.
+BORDER = "\uffff"
 NOISE = r"(?is)<!--.*?-->|<script(?:\s[^>]*)?>.*?</script\s*>|<style(?:\s[^>]*)?>.*?</style\s*>"
 
 # The named entities that are decoded, ampersand last.
@@ -70,10 +72,15 @@ def unwrap_cdata(c: Column) -> Column:
 
 
 def tag_text(markup: Column, separator: str = " ") -> Column:
-    """Visible text: markup between two texts becomes one separator."""
-    spaced = F.regexp_replace(markup, rf"{WHITESPACE}*(?:{TAG}{WHITESPACE}*)+", separator)
-    trimmed = strip(unescape(spaced))
-    return trimmed
+    """Visible text: markup between two texts becomes one separator.
+
+    Each tag becomes a mark first and runs of marks and blanks collapse then: one repeated group for both
+    would recurse in the regex engine for every tag.
+    """
+    marked = F.regexp_replace(markup, TAG, BORDER)
+    blank = rf"[{WHITESPACE[1:-1]}{BORDER}]"
+    spaced = F.regexp_replace(marked, rf"{WHITESPACE}*+{BORDER}{blank}*+", separator)
+    return strip(unescape(spaced))
 
 
 def drop_noise(markup: Column) -> Column:
@@ -88,10 +95,6 @@ def interleave(segments: Column, tokens: Column) -> Column:
     )
 
 
-# A Unicode noncharacter, never part of interchanged text, marks token borders.
-BORDER = "\uffff"
-
-
 def pieces(text: Column, pattern: str) -> Column:
     """Text cut at its tokens: [text, token, text, ..., text], in one regex pass."""
     return F.split(F.regexp_replace(text, pattern, f"{BORDER}$0{BORDER}"), BORDER)
@@ -117,7 +120,7 @@ KEPT_ATTRIBUTES = ("href", "src", "alt", "title")
 def clean_markup(markup: Column) -> Column:
     """Drop all but the kept attributes and unwrap span elements."""
     kept = "|".join(KEPT_ATTRIBUTES)
-    attribute_pattern = rf"""(?is)\s(?:{kept})\s*=\s*(?:"[^"]*"|'[^']*')"""
+    attribute_pattern = rf"""(?is)\s(?:{kept})\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
 
     def rebuild(tag: Column) -> Column:
         name = F.regexp_extract(tag, r"\A<([a-zA-Z][^\s/>]*)", 1)

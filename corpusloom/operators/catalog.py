@@ -210,18 +210,11 @@ def package_metadata(articles: DataFrame, source_system: str) -> DataFrame:
 
 
 # Column order of the flat inventories.
-CATALOGUE_FIELDS = (
-    "post_id post_title edit_url row_number display_name raw_file_value resolved_url "
-    "resolution_status display_status download_section related_software"
-).split()
-MEDIA_FIELDS = (
-    "sequence attachment_id title listed_filename original_url status saved_filename saved_path "
-    "size_bytes sha256 content_type http_status listed_date author caption alt_text description "
-    "edit_url downloaded_at_utc error"
-).split()
-DOWNLOAD_FIELDS = (
-    "sequence label source_url status method saved_filename saved_path size_bytes sha256 downloaded_at_utc error"
-).split()
+CATALOGUE_FIELDS = ["post_id", "post_title", "edit_url", "row_number", "display_name", "raw_file_value", "resolved_url", "resolution_status", "display_status", "download_section", "related_software"]
+# Names and order that consumers read.
+MEDIA_FIELDS = ["sequence", "attachment_id", "title", "listed_filename", "original_url", "status", "saved_filename", "saved_path", "size_bytes", "sha256", "content_type", "http_status", "listed_date", "author", "caption", "alt_text", "description", "edit_url", "downloaded_at_utc", "error"]
+# Names and order that consumers read.
+DOWNLOAD_FIELDS = ["sequence", "label", "source_url", "status", "method", "saved_filename", "saved_path", "size_bytes", "sha256", "downloaded_at_utc", "error"]
 
 
 def flat(df: DataFrame, fields: list[str]) -> DataFrame:

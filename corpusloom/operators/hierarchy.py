@@ -103,10 +103,10 @@ def unknown_ids(requested: DataFrame, known: DataFrame, key: str = "id") -> Data
 
 
 def require_known(requested: DataFrame, known: DataFrame, key: str = "id") -> None:
-    """Raise when a requested id does not exist; names the first few of them."""
-    missing = [row[0] for row in unknown_ids(requested, known, key).limit(20).collect()]
-    if missing:
-        raise ValueError("unknown ids: " + ", ".join(missing))
+    """Raise when a requested id does not exist: says how many and names one; :func:`unknown_ids` has all."""
+    count, one = unknown_ids(requested, known, key).agg(F.count("*"), F.min(key)).first()
+    if count:
+        raise ValueError(f"{count} unknown ids, among them {one}")
 
 
 def head(df: DataFrame, order: list[str], n: int | None, strict: bool = False) -> DataFrame:

@@ -12,7 +12,8 @@ from ..functions import text as T
 
 # Default link classes in order, first match wins: (class, predicate over host and path).
 # Hosts are parameters of a site; these are neutral ones.
-DOWNLOAD_EXTENSIONS = "pdf zip exe dmg pkg csv xlsx docx".split()
+# Fixed values.
+DOWNLOAD_EXTENSIONS = ["pdf", "zip", "exe", "dmg", "pkg", "csv", "xlsx", "docx"]
 
 
 def link_classes(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import SCHEMA_VERSION
+from .dedupe import numbered
 
 # Column order of the page inventory.
 INVENTORY_FIELDS = [
@@ -125,7 +126,7 @@ def package_knowledge(pages: DataFrame, connector: str, ingested_at: str) -> Dat
     ``pages``: id, title, status, body (converted), source_body, warnings, url,
     space, parent_id, revision, created_at, updated_at. Assets and relationships
     stay in their edge tables, because one page may own a large share of them;
-    :func:`assemble` nests them for export.
+    :func:`member_rows` puts them in order for export.
     """
     title = F.coalesce("title", F.lit(""))
     return pages.select(
@@ -183,38 +184,18 @@ def with_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     return primary.unionByName(chosen, allowMissingColumns=True)
 
 
-def assemble(articles: DataFrame, assets: DataFrame, relations: DataFrame, max_members: int = 100_000) -> DataFrame:
-    """Articles with nested asset and relationship lists for JSON export.
+def member_rows(assets: DataFrame, relations: DataFrame) -> DataFrame:
+    """(id, kind, position, target_id): the assets and relationships of every article, in order.
 
-    An article with more members than ``max_members`` keeps null lists and
-    ``members_in_table`` true: its members stay in the edge tables, whole.
+    ``assets``: id, asset_id; ``relations``: id, type, target_id. Parents come before other relationships.
+    One form for every article, however many members it has.
     """
-    small_assets = _bounded(assets, "id", max_members)
-    small_relations = _bounded(relations, "id", max_members)
-    a = small_assets.groupBy("id").agg(F.array_sort(F.collect_list("asset_id")).alias("assets"))
-    rank = F.when(F.col("type") == "parent", 0).otherwise(1)
-    r = small_relations.groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct(rank.alias("_o"), "type", "target_id"))).alias("_r")
+    edges = assets.select("id", F.lit("asset").alias("kind"), F.col("asset_id").alias("target_id")).unionByName(
+        relations.select("id", F.col("type").alias("kind"), "target_id")
     )
-    large = _oversized(assets, "id", max_members).union(_oversized(relations, "id", max_members)).distinct()
-    large = large.withColumn("members_in_table", F.lit(True))
-    nested = F.transform("_r", lambda x: F.struct(x["type"].alias("type"), x["target_id"].alias("target_id")))
-    big = F.coalesce("members_in_table", F.lit(False))
-    return (
-        articles.join(a, "id", "left").join(r, "id", "left").join(large, "id", "left")
-        .withColumn("members_in_table", big)
-        .withColumn("assets", F.when(~F.col("members_in_table"), F.coalesce("assets", F.array().cast("array<string>"))))
-        .withColumn("relationships", F.when(~F.col("members_in_table"), F.coalesce(nested, F.array().cast("array<struct<type:string,target_id:string>>"))))
-        .drop("_r")
-    )
-
-
-def _oversized(edges: DataFrame, key: str, limit: int) -> DataFrame:
-    return edges.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(key)
-
-
-def _bounded(edges: DataFrame, key: str, limit: int) -> DataFrame:
-    return edges.join(_oversized(edges, key, limit), key, "left_anti")
+    rank = F.when(F.col("kind") == "asset", 0).when(F.col("kind") == "parent", 1).otherwise(2)
+    ranked = edges.withColumn("rank", rank)
+    return numbered(ranked, ["rank", "kind", "target_id"], ["id"], "position").select("id", "kind", "position", "target_id")
 
 
 def tally(**tables: DataFrame) -> DataFrame:

@@ -7,17 +7,12 @@ from pyspark.sql import functions as F
 
 from .dedupe import first_wins, last_wins
 
-# Fixed value: repeated attempts after the first one.
-RETRIES = 2
+def migration_results(attempts: DataFrame) -> DataFrame:
+    """Per address: success when any attempt worked, else the last error.
 
-
-def migration_results(attempts: DataFrame, retries: int = RETRIES) -> DataFrame:
-    """Per address: success when any of the first attempts worked, else the last error.
-
-    ``attempts``: url, attempt (1-based), ok, error.
+    ``attempts``: url, attempt (1-based), ok, error; how often to try is the fetcher's matter.
     """
-    tried = attempts.filter(F.col("attempt") <= retries + 1)
-    per = tried.groupBy("url").agg(F.bool_or("ok").alias("_ok"), F.max_by("error", "attempt").alias("_error"))
+    per = attempts.groupBy("url").agg(F.bool_or("ok").alias("_ok"), F.max_by("error", "attempt").alias("_error"))
     return per.select(
         "url", F.when(F.col("_ok"), "success").otherwise("failed").alias("status"),
         F.when(~F.col("_ok"), F.col("_error")).alias("error"),

@@ -50,7 +50,7 @@ def _staged(df: DataFrame, nodes: list[tuple], value: str = "_v", tag: str = "")
         for i, (path, _, _) in enumerate(nodes)
     }
     tags = {f"{tag}g{i}": F.schema_of_variant(F.col(f"{tag}v{i}")) for i in range(len(nodes))}
-    kinds = {f"{tag}t{i}": _type(F.col(f"{tag}g{i}")) for i in range(len(nodes))}
+    kinds = {f"{tag}t{i}": _kind(F.col(f"{tag}v{i}"), F.col(f"{tag}g{i}"), spec) for i, (_, _, spec) in enumerate(nodes)}
     texts = {
         f"{tag}s{i}": F.when(
             F.col(f"{tag}t{i}") == "string", F.concat(F.lit("'"), F.col(f"{tag}v{i}").cast("string"), F.lit("'"))
@@ -115,7 +115,7 @@ def _texts(parts) -> Column:
     return F.array(*[F.lit(p) for p in parts]).cast("array<string>")
 
 
-def _report(df: DataFrame, tests: list[tuple], path: Column, json_path: Column) -> DataFrame:
+def _report(df: DataFrame, tests: list[tuple], path: Column, json_path: Column, carry: list[str]) -> DataFrame:
     """One row per failing test; paths are taken relative to the given ones."""
     found = [
         F.when(
@@ -130,31 +130,35 @@ def _report(df: DataFrame, tests: list[tuple], path: Column, json_path: Column)
         )
         for rule, failing, message, tail, schema in tests
     ]
-    rows = df.select("object_id", F.explode_outer(F.array_compact(F.array(*found))).alias("_x"))
-    return rows.filter("_x IS NOT NULL").select("object_id", "_x.*")
+    rows = df.select(*carry, F.explode_outer(F.array_compact(F.array(*found))).alias("_x"))
+    return rows.filter("_x IS NOT NULL").select(*carry, "_x.*")
 
 
 def _item_lists(nodes: list[tuple]) -> list[tuple]:
     return [(path, schema, spec["items"]) for path, schema, spec in nodes if "items" in spec]
 
 
-def violations(df: DataFrame, schema: str, json: str = "json", rules: list[str] | None = None) -> DataFrame:
+def violations(
+    df: DataFrame, schema: str, json: str = "json", rules: list[str] | None = None, key: str | None = None
+) -> DataFrame:
     """All violations of a JSON column: object_id, rule, paths and message.
 
     Unparsable text (or a repeated key) is reported as ``malformed_json``; an
-    object without an id is reported under ``<unknown>``.
+    object without an id is reported under ``<unknown>``. ``key`` names a column of
+    ``df`` that tells records apart, whatever their ids; it is carried along.
     """
-    parsed = df.select(F.try_parse_json(F.col(json)).alias("_v"))
+    carry = ["object_id"] if key is None else ["object_id", key]
+    parsed = df.select(F.try_parse_json(F.col(json)).alias("_v"), *carry[1:])
     parsed = parsed.withColumn("object_id", F.coalesce(F.try_variant_get("_v", "$.id", "string"), F.lit("<unknown>")))
     nodes = _nodes(RULES[schema])
     root = _texts([])
     tests = _tests(nodes)
     tests.append(("malformed_json", F.col("_v").isNull(), F.lit("expected a JSON object"), (), ()))
-    found = _report(_staged(parsed, nodes), tests, root, F.lit("$"))
+    found = _report(_staged(parsed, nodes), tests, root, F.lit("$"), carry)
     for path, schema_path, item in _item_lists(nodes):
         # Items of one array: their place becomes part of the path.
         items = parsed.select(
-            "object_id",
+            *carry,
             F.posexplode_outer(F.try_variant_get("_v", _path(path), "array<variant>")).alias("_i", "_v"),
         ).filter("_i IS NOT NULL")
         below = _nodes(item, (), (*schema_path, "items"))
@@ -165,51 +169,67 @@ def violations(df: DataFrame, schema: str, json: str = "json", rules: list[str]
                 _tests(below),
                 F.concat(_texts(path), F.array(place)),
                 F.concat(F.lit(_path(path) + "["), place, F.lit("]")),
+                carry,
             )
         )
     found = found.withColumn("schema_name", F.lit(schema))
     return found if rules is None else found.filter(F.col("rule").isin(rules))
 
 
-def first_violations(found: DataFrame) -> DataFrame:
-    """First violation per object by (path, schema path), compared part by part as text."""
-    rest = F.struct("json_path", "schema_path", "message", "rule", "schema_name")
-    return (
-        found.groupBy("object_id")
-        .agg(F.min_by(rest, F.struct("path", "schema_path", "message")).alias("_x"))
-        .select("object_id", "_x.*")
-    )
+def first_violations(found: DataFrame, key: str = "object_id") -> DataFrame:
+    """First violation per record by (path, schema path), compared part by part as text.
 
-
-def _item_ok(x: Column, spec: dict) -> Column:
-    """Condition one array item must meet (items are texts, or flat records of texts)."""
-
-    def text_ok(v: Column, s: dict) -> Column:
-        text = v.try_cast("string")
-        ok = F.schema_of_variant(v) == "STRING" if "string" in s.get("types", []) else v.isNotNull()
-        if "min_length" in s:
-            ok = ok & (F.char_length(text) >= s["min_length"])
-        if "enum" in s:
-            ok = ok & text.isin(s["enum"])
-        if "pattern" in s:
-            ok = ok & text.rlike(s["pattern"])
-        if "minimum" in s:
-            ok = ok & (F.try_variant_get(v, "$", "double") >= s["minimum"])
-        return F.coalesce(ok, F.lit(False))
-
-    if "object" not in spec.get("types", []):
-        return text_ok(x, spec)
-    ok = F.schema_of_variant(x).startswith("OBJECT")
+    ``key`` tells records apart; the object id only does where every record has its own.
+    """
+    rest = F.struct("object_id", "json_path", "schema_path", "message", "rule", "schema_name")
+    first = found.groupBy(F.col(key).alias("_key")).agg(F.min_by(rest, F.struct("path", "schema_path", "message")).alias("_x"))
+    names = ["_x.*"] if key == "object_id" else [F.col("_key").alias(key), "_x.*"]
+    return first.select(*names)
+
+
+def _kind(value: Column, tag: Column, spec: dict) -> Column:
+    """JSON type of a value; a number without fraction is an integer where the rule asks for one."""
+    kind = _type(tag)
+    if "integer" not in spec.get("types", []):
+        return kind
+    number = F.try_variant_get(value, "$", "double")
+    return F.when((kind == "number") & (number == F.floor(number)), F.lit("integer")).otherwise(kind)
+
+
+def _value_ok(value: Column, spec: dict) -> Column:
+    """Condition that a value meets every rule of its spec, as the report would find."""
+    kind = _kind(value, F.schema_of_variant(value), spec)
+    text = value.try_cast("string")
+    is_text, is_object = kind == "string", kind == "object"
+    rules = []
+    if spec.get("types"):
+        rules.append(kind.isin(spec["types"]))
+    if "const" in spec:
+        rules.append(is_text & (text == spec["const"]))
+    if "enum" in spec:
+        rules.append(is_text & text.isin(spec["enum"]))
+    if "min_length" in spec:
+        rules.append(~is_text | (F.char_length(text) >= spec["min_length"]))
+    if "pattern" in spec:
+        rules.append(~is_text | text.rlike(spec["pattern"]))
+    if "minimum" in spec:
+        rules.append(~kind.isin("integer", "number") | (F.try_variant_get(value, "$", "double") >= spec["minimum"]))
     for key, child in spec.get("fields", {}).items():
-        ok = ok & text_ok(F.try_variant_get(x, f"$.{key}", "variant"), child)
+        inner = F.try_variant_get(value, f"$.{key}", "variant")
+        if key in spec.get("required", []):
+            rules.append(~is_object | inner.isNotNull())
+        rules.append(inner.isNull() | _value_ok(inner, child))
     if spec.get("closed"):
         allowed = F.array(*[F.lit(k) for k in spec["fields"]])
-        ok = ok & (F.size(F.array_except(F.json_object_keys(F.to_json(x)), allowed)) == 0)
-    return F.coalesce(ok, F.lit(False))
+        rules.append(~is_object | (F.size(F.array_except(F.json_object_keys(F.to_json(value)), allowed)) == 0))
+    ok = F.lit(True)
+    for rule in rules:
+        ok = ok & F.coalesce(rule, F.lit(False))
+    return ok
 
 
 def _item_test(spec: dict):
-    return lambda x: _item_ok(x, spec)
+    return lambda x: _value_ok(x, spec)
 
 
 def flagged(df: DataFrame, schema: str, json: str = "json") -> DataFrame:

@@ -13,14 +13,16 @@ INGESTED_AT = "2026-01-02T00:00:00+00:00"
 
 
 def crawl_to_manifest(tree: DataFrame, pages: DataFrame, attachments: DataFrame, root_id: str, connector: str) -> DataFrame:
-    """Manifest header of the pages below a root, counting only valid records."""
+    """Manifest header of the pages below a root; invalid records count as failures, next to failed attachments."""
     scope = H.tree_scope(tree, root_id).select("id")
     inside = H.select_ids(pages, scope)
     files = H.select_ids(attachments.withColumnRenamed("id", "attachment_id").withColumn("id", F.col("page_id")), scope)
     rows = P.inventory(inside, files.select("page_id"))
     records = P.package_inventory(rows, connector, INGESTED_AT)
     as_json = records.select("id", F.to_json(F.struct(*records.columns)).alias("json"))
-    valid, _ = V.split_valid(as_json, "knowledge")
+    checked = V.flagged(as_json, "knowledge")
+    valid, invalid = checked.filter("is_valid"), checked.filter("NOT is_valid")
     usable = files.filter("status = 'available'").select(F.col("attachment_id").alias("id"))
     failed = files.filter("status <> 'available'").select("attachment_id")
+    failed = failed.unionByName(invalid.select(F.col("id").alias("attachment_id")))
     return P.package_manifest(valid, usable, failed, connector, root_id)

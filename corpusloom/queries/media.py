@@ -108,7 +108,7 @@ def expected_counts(v):
 
 
 # Attempts: the turns of a conversation; the assistant's turns with a break succeed.
-ATTEMPT_SQL = "attempts AS (SELECT 'c-' || cast(conv_id AS varchar) AS url, turn + 1 AS attempt, role = 'assistant' AND contains(text, chr(10)) AS ok, text AS error FROM {conversations} WHERE turn + 1 <= 3), results AS (SELECT url, bool_or(ok) AS ok, max_by(error, attempt) AS error FROM attempts GROUP BY url)"
+ATTEMPT_SQL = "attempts AS (SELECT 'c-' || cast(conv_id AS varchar) AS url, turn + 1 AS attempt, role = 'assistant' AND contains(text, chr(10)) AS ok, text AS error FROM {conversations}), results AS (SELECT url, bool_or(ok) AS ok, max_by(error, attempt) AS error FROM attempts GROUP BY url)"
 
 
 @reg.query("migration_report", f"WITH {ATTEMPT_SQL} SELECT url, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status, CASE WHEN NOT ok THEN error END AS error FROM results")

@@ -116,11 +116,10 @@ def validate_unique(v):
 
 @reg.query(
     "first_violation",
-    f"""WITH {FOUND_SQL} SELECT object_id, json_path, rule, message FROM found f WHERE NOT (space = 'src6' AND rule = 'type') AND object_id <> '<unknown>'
-        UNION ALL SELECT DISTINCT object_id, json_path, rule, message FROM found WHERE object_id = '<unknown>'""",
+    f"WITH {FOUND_SQL} SELECT object_id, json_path, rule, message FROM found f WHERE NOT (space = 'src6' AND rule = 'type')",
 )
 def first_violation(v):
-    return V.first_violations(V.violations(records(v), "knowledge")).select("object_id", "json_path", "rule", "message")
+    return V.first_violations(V.violations(records(v), "knowledge", key="id"), "id").select("object_id", "json_path", "rule", "message")
 
 
 @reg.query("validate_gate", "SELECT id FROM {v_article} WHERE space IN ('src0', 'src11', 'src12', 'src19')")

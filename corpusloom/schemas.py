@@ -43,8 +43,8 @@ def record(required: list[str], fields: dict, closed: bool = True) -> dict:
     return {"types": ["object"], "required": required, "fields": fields, "closed": closed}
 
 
-KNOWLEDGE_RULES = record(
-    "schema_version id title slug status content source timestamps".split(),
+# Names and order that consumers read.
+KNOWLEDGE_RULES = record(["schema_version", "id", "title", "slug", "status", "content", "source", "timestamps"],
     {
         "schema_version": {"types": ["string"], "const": SCHEMA_VERSION},
         "id": FILLED,
@@ -105,8 +105,8 @@ KNOWLEDGE_RULES = record(
     },
 )
 
-ASSET_RULES = record(
-    "schema_version id filename media_type size_bytes sha256 local_path source status".split(),
+# Names and order that consumers read.
+ASSET_RULES = record(["schema_version", "id", "filename", "media_type", "size_bytes", "sha256", "local_path", "source", "status"],
     {
         "schema_version": {"const": SCHEMA_VERSION},
         "id": FILLED,
@@ -116,16 +116,15 @@ ASSET_RULES = record(
         "sha256": HASH,
         "local_path": FILLED,
         "status": {"enum": ASSET_STATUS},
-        "source": record(
-            "connector external_id container_external_id url".split(),
+        "source": record(["connector", "external_id", "container_external_id", "url"],
             {"connector": FILLED, "external_id": FILLED, "container_external_id": FILLED, "url": STRING},
         ),
         "extensions": {"types": ["object"]},
     },
 )
 
-INVENTORY_RULES = record(
-    "schema_version connector generated_at item_count items".split(),
+# Names and order that consumers read.
+INVENTORY_RULES = record(["schema_version", "connector", "generated_at", "item_count", "items"],
     {
         "schema_version": {"const": SCHEMA_VERSION},
         "connector": FILLED,
@@ -137,11 +136,9 @@ INVENTORY_RULES = record(
     },
 )
 
+# Names and order that consumers read.
 MANIFEST_RULES = record(
-    (
-        "schema_version connector generated_at root_page_id space_id object_count asset_count "
-        "objects assets crawl_successful failures"
-    ).split(),
+    ["schema_version", "connector", "generated_at", "root_page_id", "space_id", "object_count", "asset_count", "objects", "assets", "crawl_successful", "failures"],
     {
         "schema_version": {"const": SCHEMA_VERSION},
         "connector": FILLED,
@@ -157,11 +154,9 @@ MANIFEST_RULES = record(
     },
 )
 
+# Names and order that consumers read.
 PUBLISHER_MANIFEST_RULES = record(
-    (
-        "schema_version publisher generated_at source_connector article_count asset_count "
-        "articles assets issues"
-    ).split(),
+    ["schema_version", "publisher", "generated_at", "source_connector", "article_count", "asset_count", "articles", "assets", "issues"],
     {
         "schema_version": {"const": SCHEMA_VERSION},
         "publisher": FILLED,
@@ -171,14 +166,12 @@ PUBLISHER_MANIFEST_RULES = record(
         "asset_count": COUNT,
         "articles": {
             "types": ["array"],
-            "items": record(
-                "id title path sha256".split(), {"id": FILLED, "title": FILLED, "path": FILLED, "sha256": HASH}
+            "items": record(["id", "title", "path", "sha256"], {"id": FILLED, "title": FILLED, "path": FILLED, "sha256": HASH}
             ),
         },
         "assets": {
             "types": ["array"],
-            "items": record(
-                "id path sha256 size_bytes".split(),
+            "items": record(["id", "path", "sha256", "size_bytes"],
                 {"id": FILLED, "path": FILLED, "sha256": HASH, "size_bytes": COUNT},
             ),
         },

@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 
-def write_objects(df: DataFrame, path: str, partition: str = "connector", format: str = "parquet") -> None:
-    """Canonical objects, partitioned by connector; only the written partitions are replaced."""
+
+def write_objects(df: DataFrame, path: str, partition: str = "connector", format: str = "parquet", key: str = "id") -> None:
+    """Canonical objects by id: written ones replace their predecessors, all others stay.
+
+    Only the partitions of connectors in ``df`` are rewritten.
+    """
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        held = spark.read.format(format).load(path)
+        held = held.join(df.select(partition).distinct(), partition, "left_semi").join(df.select(key, partition), [key, partition], "left_anti")
+        # Written out first: the partitions that are read are the ones that are replaced.
+        df = materialize(df.unionByName(held, allowMissingColumns=True))
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
     writer.format(format).save(path)
 

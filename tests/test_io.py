@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.reports import newest_versions, snapshot_dedup
@@ -46,12 +47,30 @@ def test_packages_state_and_responses(spark, tmp_path):
     assert state == {"a": ("c", "1", True), "b": ("c", None, None)}
 
 
-def test_objects_are_replaced_by_partition(spark, tmp_path):
+def test_objects_are_replaced_by_id(spark, tmp_path):
     path = f"{tmp_path}/objects"
-    df = spark.createDataFrame([("a", "x", 1), ("b", "y", 1)], "id STRING, connector STRING, v INT")
+    df = spark.createDataFrame([("a", "x", 1), ("older", "x", 1), ("b", "y", 1)], "id STRING, connector STRING, v INT")
     W.write_objects(df, path)
-    W.write_objects(df.filter("connector = 'x'").withColumn("v", F.lit(2)), path)
-    assert {(r.id, r.v) for r in spark.read.parquet(path).collect()} == {("a", 2), ("b", 1)}
+    W.write_objects(df.filter("id = 'a'").withColumn("v", F.lit(2)), path)
+    assert {(r.id, r.v) for r in spark.read.parquet(path).collect()} == {("a", 2), ("older", 1), ("b", 1)}
+
+
+def test_unreadable_records_stop_the_scan_and_are_listed(spark, tmp_path):
+    (tmp_path / "state").mkdir()
+    (tmp_path / "state/s.json").write_text('{"category_id": "c", "articles": {"a": {}}}\n{"articles": [broken\n{"articles": [1]}\n')
+    with pytest.raises(Exception, match="no object at"):
+        R.state(spark, f"{tmp_path}/state").collect()
+    bad = R.rejected(spark, f"{tmp_path}/state", "$.articles", "OBJECT").collect()
+    assert sorted(r.json for r in bad) == ['{"articles": [1]}', '{"articles": [broken']
+
+
+def test_url_list_keeps_the_order_of_many_files(spark, tmp_path):
+    lines = [[f"u{i}-{j}" for j in range(3 + 40 * (i % 2))] for i in range(6)]
+    for i, part in enumerate(lines):
+        (tmp_path / f"{i}.txt").write_text("\n".join([*part, " ", ""]))
+    expected = [u for part in lines for u in part]
+    assert [r.url for r in R.url_list(spark, str(tmp_path)).orderBy("seq").collect()] == expected
+    assert [r.url for r in R.url_list(spark, str(tmp_path), 5).orderBy("seq").collect()] == expected[:5]
 
 
 def snapshot_files(spark, folder, rows):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import html as H
 from corpusloom.functions import text as T
+from corpusloom.operators import audit as A
 from corpusloom.operators import dedupe as D
 from corpusloom.operators import hierarchy as O
 from corpusloom.operators import markup as M
@@ -187,13 +188,13 @@ def test_too_few_images_fail(spark):
     assert sorted(r.asset_id for r in got if r.placed == "inlined") == ["b00", "b01"]
 
 
-def test_assemble_keeps_large_groups_in_the_table(spark):
-    articles = spark.createDataFrame([("p",), ("q",)], "id STRING")
+def test_member_rows_are_the_same_for_every_article(spark):
     assets = spark.createDataFrame([("q", "2"), ("q", "1")], "id STRING, asset_id STRING")
     relations = spark.createDataFrame([("p", "child", str(i)) for i in range(5)] + [("q", "child", "c"), ("q", "parent", "p")], "id STRING, type STRING, target_id STRING")
-    got = {r.id: r for r in P.assemble(articles, assets, relations, max_members=3).collect()}
-    assert got["p"].members_in_table and got["p"].relationships is None
-    assert got["q"].assets == ["1", "2"] and [r.type for r in got["q"].relationships] == ["parent", "child"]
+    got = sorted(tuple(r) for r in P.member_rows(assets, relations).collect())
+    assert got == [("p", "child", i + 1, str(i)) for i in range(5)] + [
+        ("q", "asset", 1, "1"), ("q", "asset", 2, "2"), ("q", "child", 4, "c"), ("q", "parent", 3, "p")
+    ]
 
 
 def test_near_duplicates_against_brute_force(spark):
@@ -216,3 +217,42 @@ def test_near_duplicates_against_brute_force(spark):
     found = {r.id for r in got}
     expected = {b for a in sets for b in sets if a < b and score(a, b) >= 0.8}
     assert found == expected
+
+
+def test_text_of_many_adjacent_tags(spark):
+    html = F.lit("<td>a</td>" + "<td></td>" * 50_000 + " <b> b</b>")
+    assert one(spark, H.tag_text(html)) == "a b"
+
+
+def test_unquoted_attributes_survive_cleaning(spark):
+    assert one(spark, H.clean_markup(F.lit("<p class=x><a href=u id=1>t</a></p>"))) == "<p><a href=u>t</a></p>"
+
+
+def test_redaction_comes_before_the_cut(spark):
+    assert one(spark, T.redact(F.lit("key secret123 end"), ["secret123"], 12)) == "key <redacte"
+
+
+def test_articles_that_cannot_be_fetched_are_a_problem(spark):
+    articles = spark.createDataFrame([("a", "1", "T"), ("b", "2", "T"), ("c", None, "T")], "id STRING, remote_id STRING, title STRING")
+    remotes = spark.createDataFrame([("1", "1", "k", "T", "Draft", "")], "remote_id STRING, fetched_id STRING, category_id STRING, remote_title STRING, status STRING, answer STRING")
+    assert sorted(map(tuple, A.verify_problems(articles, remotes, "k", "Draft").collect())) == [("b", "remote missing"), ("c", "remote missing")]
+
+
+GOOD_MANIFEST = {
+    "schema_version": "1.0", "publisher": "p", "generated_at": "t", "source_connector": "c", "article_count": 0,
+    "asset_count": 1, "articles": [], "issues": [],
+    "assets": [{"id": "a", "path": "p", "sha256": "0" * 64, "size_bytes": "SIZE"}],
+}
+
+
+@pytest.mark.parametrize("size, valid", [("12", True), ("1e2", True), ('"12"', False), ("1.5", False), ("true", False), ("-1", False)])
+def test_gate_and_report_agree_on_items(spark, size, valid):
+    text = json.dumps(GOOD_MANIFEST).replace('"SIZE"', size)
+    df = spark.createDataFrame([(text,)], "json STRING")
+    accepted = V.flagged(df, "publisher-manifest").collect()[0].is_valid
+    assert accepted == (V.violations(df, "publisher-manifest").count() == 0) == valid
+
+
+def test_first_violation_is_per_record(spark):
+    df = spark.createDataFrame([(i, "{}") for i in range(3)], "row INT, json STRING")
+    assert V.first_violations(V.violations(df, "knowledge", key="row"), "row").count() == 3
