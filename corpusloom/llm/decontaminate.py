@@ -39,11 +39,9 @@ MATCH = T.StructType(
 )
 
 
-class TestBlock:
+class ItemBlock:
     """Word codes of some test items: codes count from 1, 0 stands for every other word."""
 
-    __test__ = False
-
     def __init__(self, ids: list[str], texts: list[str], window: int):
         self.window = window
         hashes, lengths = [], []
@@ -82,7 +80,7 @@ def lookup(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
 class Shard:
     """Suffix array over coded words; code 0 ends every suffix."""
 
-    def __init__(self, codes: np.ndarray, block: TestBlock):
+    def __init__(self, codes: np.ndarray, block: ItemBlock):
         size = len(block.vocabulary) + 1
         self.codes = np.concatenate([codes, np.zeros(1, np.int64)])
         following = self.codes[1:]
@@ -121,7 +119,7 @@ class Shard:
             done += step
         return at
 
-    def agree(self, suffix: np.ndarray, query: np.ndarray, limit: np.ndarray, block: TestBlock):
+    def agree(self, suffix: np.ndarray, query: np.ndarray, limit: np.ndarray, block: ItemBlock):
         """Words in common (up to ``limit``) and the sign of the first difference."""
         common = np.zeros(len(suffix), np.int64)
         sign = np.zeros(len(suffix), np.int8)
@@ -137,7 +135,7 @@ class Shard:
             live = live[common[live] < limit[live]]
         return common, sign
 
-    def bound(self, query: np.ndarray, limit: np.ndarray, upper: bool, block: TestBlock) -> np.ndarray:
+    def bound(self, query: np.ndarray, limit: np.ndarray, upper: bool, block: ItemBlock) -> np.ndarray:
         """First suffix not below (or, with ``upper``, above) the first ``limit`` words of each query."""
         low = np.zeros(len(query), np.int64)
         high = np.full(len(query), len(self.suffixes), np.int64)
@@ -151,7 +149,7 @@ class Shard:
             low[live[right]] = middle[right] + 1
             high[live[~right]] = middle[~right]
 
-    def windows(self, block: TestBlock):
+    def windows(self, block: ItemBlock):
         """Every place of every window: position, length, item."""
         query = np.flatnonzero(block.query)
         length = block.query[query]
@@ -160,7 +158,7 @@ class Shard:
         at = self.suffixes[tx.ragged(low, count)]
         return at, np.repeat(length, count), np.repeat(block.item[query], count)
 
-    def longest(self, block: TestBlock):
+    def longest(self, block: ItemBlock):
         """Longest verbatim match of each test suffix and one place of it."""
         query = np.arange(len(block.left))
         best, place = np.zeros(len(query), np.int64), np.full(len(query), -1)
@@ -174,7 +172,7 @@ class Shard:
         return best, place
 
 
-def shards(column: pa.Array, block: TestBlock):
+def shards(column: pa.Array, block: ItemBlock):
     """``(first row, first word of each text, shard)`` for each slice; texts are kept apart by a 0."""
     for first, _, data, offsets in tx.slices(column, SHARD_BYTES):
         words, _, _, bounds = tx.word_hashes(data, offsets, tx.ALNUM)
@@ -215,7 +213,7 @@ def merged(rows: np.ndarray, starts: np.ndarray, lengths: np.ndarray, items: np.
     return rows[first], starts[first], (reach - base)[last] - starts[first], items[first]
 
 
-def search_block(docs: DataFrame, block: TestBlock, text: str, names: tuple[str, str]) -> DataFrame:
+def search_block(docs: DataFrame, block: ItemBlock, text: str, names: tuple[str, str]) -> DataFrame:
     """One pass: add the block's spans to the column ``names[0]``."""
     matches, n_words = names
     first = matches not in docs.columns
@@ -257,7 +255,7 @@ def search_block(docs: DataFrame, block: TestBlock, text: str, names: tuple[str,
     return docs.mapInArrow(run, schema)
 
 
-def test_blocks(benchmark: DataFrame, window: int, block_words: int):
+def item_blocks(benchmark: DataFrame, window: int, block_words: int):
     """Test items in blocks of at most ``block_words`` words (or one item), one block at a time."""
     words = F.size(F.split(F.coalesce("text", F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -266,10 +264,7 @@ def test_blocks(benchmark: DataFrame, window: int, block_words: int):
     parts = max(1, -(-int(total) // block_words))
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect()
-        yield TestBlock([r[0] for r in rows], [r[1] for r in rows], window)
-
-
-test_blocks.__test__ = False
+        yield ItemBlock([r[0] for r in rows], [r[1] for r in rows], window)
 
 
 def find_matches(
@@ -288,7 +283,7 @@ def find_matches(
     named like a result give way to it.
     """
     docs = docs.drop(matches, n_words)
-    for block in test_blocks(benchmark, window, block_words):
+    for block in item_blocks(benchmark, window, block_words):
         docs = search_block(docs, block, "text", (matches, n_words))
     return docs
 
@@ -301,7 +296,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BL
     """
     found = None
     schema = "item_id string, word long, length long, doc_id long, start long"
-    for block in test_blocks(benchmark, WINDOW, block_words):
+    for block in item_blocks(benchmark, WINDOW, block_words):
         begin = np.concatenate([[0], np.cumsum(np.bincount(block.item, minlength=len(block.ids)))])
 
         def run(batches, block=block, begin=begin):

@@ -23,6 +23,9 @@ ROOT = str(Path(__file__).resolve().parents[2])
 def prepare(spark: SparkSession) -> None:
     """Session settings, and this repository on the import path of Python workers."""
     tune(spark)
+    # Long texts: Arrow batches are bounded in rows and bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = f"{ROOT}:{env.get('PYTHONPATH', '')}".rstrip(":")
