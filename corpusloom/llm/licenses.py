@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..session import scratch_path
+
 GRAM = 3
 SHIFT = 3  # words by which neighbouring diagonals may differ
 COVERAGE = 0.6
@@ -45,17 +47,15 @@ NOTICES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def words_of(text):
-    """Lower-cased runs of ASCII letters and digits and of characters from U+0080, as an array."""
-    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    line = F.btrim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, " "))
-
+def with_words(docs: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and ``words``: lower-cased runs of ASCII letters and digits and of characters from U+0080.
 
-def grams_of(words):
-    """All runs of three words; the two incomplete ones at the end match no template."""
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.zip_with(pairs, F.slice(words, 3, F.greatest(F.size(words), F.lit(1))), lambda ab, c: F.concat_ws(" ", ab, c))
+    A text without words gives one empty word. The one-element explode keeps later projections and filters
+    from repeating the split.
+    """
+    low = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    words = F.split(F.btrim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")), " ")
+    return docs.select(*keys, F.explode(F.array(words)).alias("words"))
 
 
 def template_grams(spark: SparkSession) -> DataFrame:
@@ -72,8 +72,10 @@ def template_grams(spark: SparkSession) -> DataFrame:
 
 def diagonals(docs: DataFrame, keys: list[str]) -> DataFrame:
     """Votes: per ``keys``, template and diagonal the template positions hit."""
-    grams = docs.select(*keys, grams_of(words_of(F.col("text"))).alias("grams"))
-    hits = grams.select(*keys, F.posexplode("grams").alias("at", "gram")).withColumn("hash", F.xxhash64("gram"))
+    # Scan, split, explode, hash and broadcast join run in one generated loop; words are carried by reference.
+    placed = with_words(docs, keys).select(*keys, "words", F.posexplode("words").alias("at", "word"))
+    gram = F.concat_ws(" ", "word", F.get("words", F.col("at") + 1), F.get("words", F.col("at") + 2))
+    hits = placed.select(*keys, "at", gram.alias("gram")).withColumn("hash", F.xxhash64("gram"))
     hits = hits.join(F.broadcast(template_grams(docs.sparkSession)), "hash").where(F.col("gram") == F.col("template_gram"))
     hits = hits.withColumn("diagonal", F.col("at") - F.col("position"))
     return hits.groupBy(*keys, "template", "label", "base", "need", "diagonal").agg(
@@ -106,7 +108,9 @@ def scan(docs: DataFrame) -> DataFrame:
     keyed = docs.select(
         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), "text").alias("_h2"), "text"
     )
-    votes = diagonals(keyed, keys)
+    path = scratch_path(docs.sparkSession, "license-votes")
+    diagonals(keyed, keys).write.parquet(path)  # a few rows for each hit document, read twice
+    votes = docs.sparkSession.read.parquet(path)
     exact = F.col("base") & (F.size("positions") == F.col("need"))
     places = votes.where(exact).groupBy(*keys).agg(
         F.count("*").alias("n_base"), F.min("diagonal").alias("first_word"), F.max("diagonal").alias("last_word"),
@@ -116,7 +120,8 @@ def scan(docs: DataFrame) -> DataFrame:
     result = found.join(places, [found[k].eqNullSafe(places[k]) for k in keys], "left").select(
         *[found[k].alias(f"{k}_") for k in keys], "n_base", "first_word", "last_word", "base_labels", "labels", "score"
     )
-    rows = keyed.select(*keys, F.size(words_of(F.col("text"))).alias("n_words"))
+    n_words = F.when(F.get("words", F.lit(0)) == "", 0).otherwise(F.size("words"))
+    rows = with_words(keyed, keys).select(*keys, n_words.alias("n_words"))
     joined = rows.join(result, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys], "left")
     none = F.array().cast("array<string>")
     base = F.coalesce("base_labels", none)
