@@ -67,11 +67,9 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE):
 
 
 def hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
-    generator = np.random.default_rng(20240229)
-    return (
-        generator.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1),
-        generator.integers(0, 1 << 32, n, dtype=np.uint32),
-    )
+    """Factors and shifts; a smaller family is the beginning of a larger one."""
+    drawn = np.random.default_rng(20240229).integers(0, 1 << 32, (n, 2), dtype=np.uint64).astype(np.uint32)
+    return drawn[:, 0] | np.uint32(1), drawn[:, 1]
 
 
 def signature(values: np.ndarray, family) -> np.ndarray:

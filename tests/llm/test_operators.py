@@ -126,6 +126,10 @@ def near_rows():
     for _ in range(30):  # a shared passage that is not enough
         rows.append((n, " ".join(passage + generator.choices(words, k=generator.randint(5, 60))), "en"))
         n += 1
+    passage = generator.choices(words, k=60)
+    for _ in range(40):  # just below the threshold: many survivors, few or no links
+        rows.append((n, " ".join(passage + generator.choices(words, k=generator.randint(11, 15))), "en"))
+        n += 1
     return rows + [(i + 1000 if i is not None else None, t, lang) for i, t, lang in odd_rows()]
 
 
