@@ -8,7 +8,7 @@ import public_tokenizers
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from test_operators import DOCS, brute_components, brute_lines, brute_matches, language_rows, near_rows, table
+from test_llm_operators import DOCS, brute_components, brute_lines, brute_matches, language_rows, near_rows, table
 
 
 def documents():
