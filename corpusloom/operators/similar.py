@@ -13,9 +13,10 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from ..functions import text as T
 from ..session import materialize
@@ -86,28 +87,70 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.7, bands: int = 1
     return leader_candidates(members, features, jaccard, threshold).withColumnRenamed("score", "jaccard")
 
 
-def cosine(a: Column, b: Column) -> Column:
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, z: s + z)
+def similar_vectors(vectors: DataFrame, dimension: int, threshold: float = 0.9, k: int = 10, block: int = 2048) -> DataFrame:
+    """(id, candidate_of, cosine, rank, n_similar): the ``k`` most similar vectors of each one, exactly.
 
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
-
-
-def similar_vectors(vectors: DataFrame, dimension: int, threshold: float = 0.9, tables: int = 12, bits: int = 8, seed: int = 7) -> DataFrame:
-    """Candidates by embedding similarity: shared random-hyperplane buckets, then cosine.
-
-    Planes come from a fixed seed, so a rerun after a lost executor gives the
-    same buckets.
+    Vectors are packed into blocks and every block meets every block, so no pair at the threshold or above is
+    missed; ``n_similar`` counts all of them, also those after the k-th. Cosines are rounded to 12 digits, ties
+    go to the smaller id. ``id`` is unique (repeated rows count once); null and zero vectors and those with a
+    component that is null or not finite have no cosine and take no part; another length is an error.
     """
-    planes = np.random.default_rng(seed).standard_normal((dimension, tables * bits))
-    weights = 1 << np.arange(bits)
+    kind = vectors.schema["id"].dataType
+    sized = F.when(F.size("feature") == dimension, F.col("feature").cast("array<double>")).otherwise(
+        F.raise_error(F.concat(F.lit("vector of another length: "), F.col("id").cast("string")))
+    )
+    odd = F.exists("feature", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = vectors.filter("id IS NOT NULL AND feature IS NOT NULL").select("id", sized.alias("feature"))
+    rows = rows.filter(~odd & F.exists("feature", lambda x: x != 0))
+    count = max(1, -(-vectors.count() // block))
+    packed = (
+        rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(count)).alias("block"))
+        .agg(F.array_sort(F.collect_set(F.struct("id", "feature"))).alias("_r"))
+        .select("block", F.col("_r.id").alias("ids"), F.flatten("_r.feature").alias("data"))
+    )
+    # Blocks are dealt evenly; the cross join reads them again instead of shuffling a copy for each pair.
+    packed = materialize(packed.repartition(min(count, 256)))
+    pairs = packed.select(*(F.col(c).alias(f"_{c}") for c in packed.columns)).crossJoin(packed)
+    hit = types.StructType([types.StructField("minus", types.DoubleType()), types.StructField("candidate_of", kind)])
+    schema = types.StructType(
+        [types.StructField("id", kind), types.StructField("hits", types.ArrayType(hit)), types.StructField("n", types.LongType())]
+    )
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            matrix = np.stack(batch["feature"].to_numpy()).astype("float64")
-            above = (matrix @ planes > 0).reshape(len(batch), tables, bits)
-            codes = above @ weights + np.arange(tables) * (1 << bits)
-            yield pd.DataFrame({"bucket": codes.ravel(), "id": np.repeat(batch["id"].to_numpy(), tables)})
+    def unit(values: pa.ListScalar) -> np.ndarray:
+        matrix = values.values.to_numpy().reshape(-1, dimension)
+        matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
+        return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
-    members = vectors.select("id", "feature").mapInPandas(sign, "bucket long, id long")
-    return leader_candidates(members, vectors, cosine, threshold).withColumnRenamed("score", "cosine")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                asking, asking_ids, asking_data, asked, asked_ids, asked_data = (c[row] for c in batch.columns)
+                score = np.round(unit(asking_data) @ unit(asked_data).T, 12)
+                if asking.as_py() == asked.as_py():
+                    np.fill_diagonal(score, -np.inf)
+                similar = score >= threshold
+                n = similar.sum(axis=1)
+                full = np.flatnonzero(n > k)
+                if len(full):
+                    # Candidates stand in order of their ids: of those that tie for the last place the first stay.
+                    part = score[full]
+                    last = -np.partition(-part, k - 1, axis=1)[:, k - 1 : k]
+                    above, tie = part > last, part == last
+                    similar[full] = above | (tie & (np.cumsum(tie, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+                some = np.flatnonzero(n)
+                at, column = np.nonzero(similar[some])
+                bounds = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(some)))])
+                found = pa.StructArray.from_arrays(
+                    [pa.array(-score[some[at], column]), asked_ids.values.take(pa.array(column))], names=["minus", "candidate_of"]
+                )
+                hits = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), found)
+                yield pa.RecordBatch.from_arrays(
+                    [asking_ids.values.take(pa.array(some)), hits, pa.array(n[some], pa.int64())], names=["id", "hits", "n"]
+                )
+
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k)
+    ranked = pairs.mapInArrow(meet, schema).groupBy("id").agg(best.alias("_h"), F.sum("n").alias("n_similar"))
+    ranked = ranked.select("id", "n_similar", F.posexplode("_h").alias("_p", "_c"))
+    return ranked.select(
+        "id", "_c.candidate_of", (-F.col("_c.minus")).alias("cosine"), (F.col("_p") + 1).alias("rank"), "n_similar"
+    )

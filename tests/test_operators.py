@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,3 +257,21 @@ def test_gate_and_report_agree_on_items(spark, size, valid):
 def test_first_violation_is_per_record(spark):
     df = spark.createDataFrame([(i, "{}") for i in range(3)], "row INT, json STRING")
     assert V.first_violations(V.violations(df, "knowledge", key="row"), "row").count() == 3
+
+
+def test_similar_vectors_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((40, 16))
+    rows = np.concatenate([base, base[:15] + 1.5 * rng.standard_normal((15, 16)), np.repeat(base[:1], 12, axis=0), np.zeros((1, 16))])
+    ids = [f"v{i:03d}" for i in range(len(rows))]
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in zip(ids, rows)] + [("null", None)], "id STRING, feature ARRAY<FLOAT>")
+    single = rows[:-1].astype("float32").astype(float)
+    unit = single / np.linalg.norm(single, axis=1, keepdims=True)
+    score = np.round(unit @ unit.T, 12)
+    expected = []
+    for i, near in enumerate(score):
+        order = sorted((-x, ids[j]) for j, x in enumerate(near) if j != i and x >= 0.4)
+        expected += [(ids[i], other, -x, at + 1, len(order)) for at, (x, other) in enumerate(order[:5])]
+    got = N.similar_vectors(table, 16, 0.4, k=5, block=9).collect()
+    assert sorted((r.id, r.candidate_of, r.rank, r.n_similar) for r in got) == sorted((a, b, d, e) for a, b, _, d, e in expected)
+    assert {(r.id, r.candidate_of): r.cosine for r in got} == pytest.approx({(a, b): c for a, b, c, _, _ in expected})
