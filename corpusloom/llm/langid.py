@@ -10,7 +10,9 @@ characters) in one task. Sampled texts are spliced at random places to code-swit
 transitions are learned from data that switches. Labelling reads every whole text as one chain; texts of a
 slice move in step, so the cost of Python follows the longest text of a slice.
 
-Words are runs of ASCII letters and of characters from U+0080. Null texts, empty texts and texts without any
+Words are runs of ASCII letters and of characters from U+0080. A run of more than ``LONGEST`` characters (as in
+scripts without spaces) is cut into several words, in fitting and labelling alike, so every character is scored
+and a run may hold several languages. Null texts, empty texts and texts without any
 letter get ``und`` and score 0; so does every text if no training row is labelled. Repeated rows and ties
 (the language first in order wins) are treated like any other.
 """
@@ -37,13 +39,33 @@ RATE = 0.2
 RIDGE = 1e-4
 SLICE = 4 << 20
 CACHE = 300_000
-LONGEST = 32  # characters of a word that features look at: the first and last halves of a longer one
+LONGEST = 32  # characters of a chain element; a longer run becomes several of nearly equal length
 UNKNOWN = "und"
 
 LETTERS = np.zeros(256, bool)
 LETTERS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
+def split_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (bytes) of all words; whole characters stay together."""
+    starts, ends = tx.split_words(data, offsets, LETTERS)
+    if not (ends - starts > LONGEST).any():
+        return starts, ends
+    first = (data & 0xC0) != 0x80  # first bytes of characters
+    at = np.concatenate([np.flatnonzero(first), [len(data)]])
+    before = np.concatenate([[0], np.cumsum(first)])
+    begin, size = before[starts], before[ends] - before[starts]
+    parts = np.maximum(1, -(-size // LONGEST))
+    order = tx.ragged(np.zeros(len(parts), np.int64), parts)
+    begin, size, count = (np.repeat(x, parts) for x in (begin, size, parts))
+    inner = order > 0
+    cuts = at[begin[inner] + order[inner] * size[inner] // count[inner]]
+    starts, ends = np.repeat(starts, parts), np.repeat(ends, parts)
+    starts[inner] = cuts
+    ends[np.flatnonzero(inner) - 1] = cuts
+    return starts, ends
+
+
 def features(points: np.ndarray) -> np.ndarray:
     """Features of words of one length: a row of bucket numbers for each row of code points."""
     n, size = points.shape
@@ -69,7 +91,6 @@ def features(points: np.ndarray) -> np.ndarray:
 
 def by_length(words: list[str]):
     """(indexes, features) of words of one length."""
-    words = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :] for w in words]
     lengths = np.array([len(w) for w in words], np.int64)
     for size in np.unique(lengths).tolist():
         rows = np.flatnonzero(lengths == size)
@@ -145,7 +166,7 @@ def potentials_of(emissions: np.ndarray) -> np.ndarray:
 def words_in(text: str) -> list[str]:
     """Lower-cased words of a training text that hold a letter."""
     data = np.frombuffer(text.encode(), np.uint8)
-    starts, ends = tx.split_words(data, np.array([0, len(data)]), LETTERS)
+    starts, ends = split_runs(data, np.array([0, len(data)]))
     raw = data.tobytes()
     words = (raw[a:b].decode().lower() for a, b in zip(starts.tolist(), ends.tolist()))
     return [w for w in words if any(map(str.isalpha, w))]
@@ -266,8 +287,9 @@ class Labeller:
 
     def votes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Marginals of all words, their numbers of letters, and each text's bounds in them."""
-        hashes, starts, ends, bounds = tx.word_hashes(data, offsets, LETTERS)
-        entry = self.entries(hashes, starts, ends, data)
+        starts, ends = split_runs(data, offsets)
+        entry = self.entries(tx.span_hashes(tx.LOWER[data], starts, ends), starts, ends, data)
+        bounds = np.searchsorted(starts, offsets)
         lengths = np.diff(bounds)
         full = lengths > 0
         marginal, _ = forward_backward(self.table[entry], self.crf.transitions, bounds[:-1][full], lengths[full])
@@ -283,7 +305,7 @@ def label_words(docs: DataFrame, crf: Crf) -> DataFrame:
         for batch in batches:
             for first, stop, data, offsets in tx.slices(batch.column(1)):
                 marginal, letters, bounds = labeller.votes(data, offsets)
-                starts, ends = tx.split_words(data, offsets, LETTERS)
+                starts, ends = split_runs(data, offsets)
                 raw, best = data.tobytes(), marginal.argmax(axis=1)
                 words = [
                     {"word": raw[a:b].decode(), "lang": crf.languages[k] if n else UNKNOWN, "probability": float(p) if n else 0.0}

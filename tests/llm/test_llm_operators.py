@@ -525,6 +525,19 @@ def test_language_id(spark):
     assert langid.predict(table(spark, []), crf).count() == 0
 
 
+def test_language_id_reads_the_middle_of_long_runs(spark):
+    crf = langid.train(table(spark, language_rows(150, 1)), F.lit(True))
+    outer, inner = "ationorationsreth" * 2, "sotungartschrusö" * 60
+    texts = [(1, outer + inner + outer, None), (2, "漢字" * 500 + " x", None), (3, "a" * 33, None)]
+    found = {r.doc_id: r for r in langid.predict(table(spark, texts), crf).collect()}
+    assert found[1].lang_pred == "cc" and found[1].score > 0.8
+    for row in langid.label_words(table(spark, texts), crf).collect():
+        words = [w.word for w in row.words]
+        assert "".join(words) == texts[row.doc_id - 1][1].replace(" ", "") and max(map(len, words)) <= langid.LONGEST
+        if row.doc_id == 1:
+            assert {w.lang for w in row.words[4:-4]} == {"cc"}
+
+
 def test_language_id_without_labels(spark):
     docs = table(spark, [(1, "some words", None)])
     got = langid.predict(docs, langid.train(docs, F.lit(True))).collect()
