@@ -1,10 +1,11 @@
 """Near-duplicate candidates for review; sources are never merged or dropped.
 
-Items that share a bucket are not paired with each other. Each bucket elects its
-lowest id as leader, every other member is compared with it, and those that do
-not match elect the next leader, until nobody is left. So every member is either
-a candidate of a leader or was itself compared with all earlier leaders of the
-bucket, while a round emits one pair per member, however hot a bucket is.
+Items that share a bucket are not all paired with each other. Each bucket elects its
+lowest id as leader, which asks every other member. A member that matches joins the
+leader's class and asks in turn those that all before it refused; when nobody in the
+class is left to ask, the rest elect the next leader. So two members of a bucket were
+either compared or are joined by links that hold: links have the same connected
+components as all matching pairs of a bucket.
 """
 
 from __future__ import annotations
@@ -22,28 +23,62 @@ from ..functions import text as T
 from ..session import materialize
 
 
-def leader_candidates(members: DataFrame, features: DataFrame, score: Callable[[Column, Column], Column], threshold: float) -> DataFrame:
-    """(id, candidate_of, score) with score >= threshold.
+def linked_candidates(
+    members: DataFrame, features: DataFrame, score: Callable[[Column, Column], Column], threshold: float, small: int = 32
+) -> DataFrame:
+    """(id, candidate_of, score) with score >= threshold and candidate_of < id.
 
-    ``members``: bucket, id; ``features``: id, feature.
+    ``members``: bucket, id; ``features``: id, feature; 1 - ``score`` is a metric. By the triangle inequality a member
+    asks only those whose distance from the leader differs from its own by 1 - threshold at most. More members of a
+    class ask each round, as the first ones leave few to ask. What is left of a bucket below ``small`` members is
+    compared at once.
     """
-    left = materialize(members.select("bucket", "id").distinct())
+    start = members.select("bucket", "id").distinct()
+    left = materialize(start.withColumns({"queued": F.lit(False), "far": F.lit(None).cast("double"), "width": F.lit(1).cast("long")}))
     features = materialize(features.select("id", "feature"))
     found = []
     while not left.isEmpty():
-        leaders = left.groupBy("bucket").agg(F.min("id").alias("candidate_of"), F.count("*").alias("_n"))
-        # A bucket with one member left is done.
-        open_rows = left.join(leaders.filter("_n > 1").drop("_n"), "bucket").filter("id <> candidate_of")
-        open_rows = materialize(open_rows)
-        pairs = open_rows.select("id", "candidate_of").distinct()
-        scored = pairs.join(features, "id").join(
-            features.select(F.col("id").alias("candidate_of"), F.col("feature").alias("_leader")), "candidate_of"
+        counts = left.groupBy("bucket").agg(
+            F.count_if("queued").alias("_q"),
+            F.count_if(~F.col("queued")).alias("_u"),
+            F.min(F.when(~F.col("queued"), F.col("id"))).alias("_first"),
+            F.min(F.when(F.col("queued"), F.col("id"))).alias("_next"),
         )
-        hits = scored.select("id", "candidate_of", score(F.col("feature"), F.col("_leader")).alias("score"))
-        hits = materialize(hits.filter(F.col("score") >= threshold))
-        found.append(hits)
+        turn = F.when(F.expr(f"_q + _u <= {small}"), "all").when(F.col("_q") == 0, "elect").otherwise("ask")
+        # A bucket without anybody to ask is done.
+        counts = counts.filter("_u > 0 AND _q + _u > 1").withColumn("turn", turn)
+        asks = (
+            F.when(F.col("turn") == "all", True)
+            .when(F.col("turn") == "elect", F.col("id") == F.col("_first"))
+            .otherwise(F.col("queued") & ((F.col("id") == F.col("_next")) | (F.pmod(F.xxhash64("id"), F.col("_q")) < F.col("width"))))
+        )
+        live = materialize(left.join(counts, "bucket").withColumn("asks", asks).drop("_q", "_u", "_first", "_next"))
+        askers = live.filter("asks").select(
+            "bucket", F.col("id").alias("_asker"), F.col("queued").alias("_matched"), F.col("far").alias("_far")
+        )
+        near = F.abs(F.col("far") - F.col("_far")) <= 1 - threshold + 1e-9
+        near = (F.col("turn") == "elect") | F.coalesce(near, F.lit(True))
+        once = (F.col("turn") != "all") | F.col("_matched") | (F.col("_asker") < F.col("id"))
+        pairs = live.filter("NOT queued").join(askers, "bucket").filter((F.col("id") != F.col("_asker")) & near & once)
+        pairs = materialize(
+            pairs.select("bucket", "turn", "id", F.least("id", "_asker").alias("low"), F.greatest("id", "_asker").alias("high"))
+        )
+        scored = pairs.select("low", "high").distinct().join(features.select(F.col("id").alias("low"), F.col("feature").alias("_low")), "low")
+        scored = scored.join(features.select(F.col("id").alias("high"), F.col("feature").alias("_high")), "high")
+        scored = materialize(scored.select("low", "high", score(F.col("_high"), F.col("_low")).alias("score")))
+        found.append(
+            scored.filter(F.col("score") >= threshold).select(F.col("high").alias("id"), F.col("low").alias("candidate_of"), "score")
+        )
+        met = pairs.filter("turn <> 'all'").join(scored, ["low", "high"]).groupBy("bucket", "id").agg(F.max("score").alias("_best"))
+        elected = F.col("turn") == "elect"
         left = materialize(
-            open_rows.join(hits.select("id", "candidate_of"), ["id", "candidate_of"], "left_anti").select("bucket", "id")
+            live.filter("turn <> 'all' AND NOT asks").join(met, ["bucket", "id"], "left").select(
+                "bucket",
+                "id",
+                (F.col("queued") | F.coalesce(F.col("_best") >= threshold, F.lit(False))).alias("queued"),
+                F.when(elected, 1 - F.col("_best")).otherwise(F.col("far")).alias("far"),
+                F.when(elected, F.lit(1).cast("long")).otherwise(F.col("width") * 4).alias("width"),
+            )
         )
     empty = features.select("id", F.col("id").alias("candidate_of"), F.lit(0.0).alias("score")).limit(0)
     return reduce(DataFrame.unionByName, found, empty).distinct()
@@ -71,10 +106,13 @@ def jaccard(a: Column, b: Column) -> Column:
 def near_duplicates(documents: DataFrame, threshold: float = 0.7, bands: int = 16, rows: int = 2) -> DataFrame:
     """Near-duplicate text candidates by shingle overlap.
 
-    Exact copies are folded into their lowest id first. One hash per shingle is
+    Exact copies are candidates of their lowest id, which alone goes on. One hash per shingle is
     spread over bins; the minimum per bin is the signature, two bins are a band.
     """
-    distinct = documents.groupBy(T.sha256_text(F.col("text")).alias("_sha")).agg(F.min_by(F.struct("id", "text"), "id").alias("_d")).select("_d.*")
+    documents = documents.withColumn("_sha", T.sha256_text(F.col("text")))
+    distinct = documents.groupBy("_sha").agg(F.min_by(F.struct("id", "text"), "id").alias("_d")).select("_sha", "_d.*")
+    first = distinct.select("_sha", F.col("id").alias("candidate_of"))
+    copies = documents.select("_sha", "id").join(first, "_sha").filter("id <> candidate_of").select("id", "candidate_of", F.lit(1.0).alias("jaccard"))
     features = materialize(distinct.select("id", shingles(F.col("text")).alias("feature")))
     bins = bands * rows
     minima = (
@@ -84,7 +122,8 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.7, bands: int = 1
     # A band needs all its bins; short texts that leave bins empty use what they have.
     buckets = minima.groupBy("id", F.floor(F.col("bin") / rows).alias("band")).agg(F.array_sort(F.collect_list("h")).alias("_key"))
     members = buckets.select(F.xxhash64("band", "_key").alias("bucket"), "id")
-    return leader_candidates(members, features, jaccard, threshold).withColumnRenamed("score", "jaccard")
+    links = linked_candidates(members, features, jaccard, threshold).withColumnRenamed("score", "jaccard")
+    return links.unionByName(copies)
 
 
 def similar_vectors(vectors: DataFrame, dimension: int, threshold: float = 0.9, k: int = 10, block: int = 2048) -> DataFrame:

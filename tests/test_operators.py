@@ -220,6 +220,35 @@ def test_near_duplicates_against_brute_force(spark):
     assert found == expected
 
 
+@pytest.mark.parametrize("small", [3, 32])
+def test_links_of_a_bucket_join_whole_chains(spark, small):
+    # Runs of drifting copies: neighbours match, ends do not; ids in random order.
+    sets = [list(range(at, at + 20)) for base in (0, 1000) for at in range(base, base + 10, 2)] + [[9000]]
+    order = list(range(len(sets)))
+    random.Random(2).shuffle(order)
+    sets = [sets[i] for i in order]
+    score = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    features = spark.createDataFrame(list(enumerate(sets)), "id BIGINT, feature ARRAY<BIGINT>")
+    members = spark.createDataFrame([(7, i) for i in range(len(sets))] + [(8, 0)], "bucket BIGINT, id BIGINT")
+
+    def components(links):
+        label = list(range(len(sets)))
+        for a, b in links:
+            label = [label[a] if x == label[b] else x for x in label]
+        return {tuple(i for i, x in enumerate(label) if x == y) for y in label}
+
+    got = N.linked_candidates(members, features, N.jaccard, 0.7, small).collect()
+    assert all(r.score == pytest.approx(score(sets[r.id], sets[r.candidate_of])) and r.score >= 0.7 and r.candidate_of < r.id for r in got)
+    pairs = [(a, b) for b in range(len(sets)) for a in range(b) if score(sets[a], sets[b]) >= 0.7]
+    assert components((r.id, r.candidate_of) for r in got) == components(pairs) and len(components(pairs)) == 3
+
+
+def test_exact_copies_are_candidates_of_their_first(spark):
+    rows = [(3, "one text"), (1, "one text"), (2, "other words here now"), (4, None), (5, None), (6, "one text")]
+    got = N.near_duplicates(spark.createDataFrame(rows, "id BIGINT, text STRING")).collect()
+    assert sorted((r.id, r.candidate_of, r.jaccard) for r in got) == [(3, 1, 1.0), (6, 1, 1.0)]
+
+
 def test_text_of_many_adjacent_tags(spark):
     html = F.lit("<td>a</td>" + "<td></td>" * 50_000 + " <b> b</b>")
     assert one(spark, H.tag_text(html)) == "a b"
