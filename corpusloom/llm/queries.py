@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, tune
-from . import bpe, decontaminate, langid, lattice, licenses, lines, neardup, token_store, topk, toxicity
+from . import bpe, decontaminate, hardneg, langid, lattice, licenses, lines, neardup, token_counts, token_store, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,6 +162,13 @@ def op8_diagonal_license_scan(table):
     return licenses.scan(table("documents"))
 
 
+@query()
+def op11_transducer_token_counts(table):
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path(BYTE_BPE))
+    counted = token_counts.count_tokens(table("documents").select("doc_id", "text"), vocabulary)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def remainder(modulus: int):
     """crc32 of the doc_id as text, modulo ``modulus``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
@@ -192,3 +199,24 @@ def op7_crf_language_id(table):
     crf = langid.train(docs, remainder(4) != 2)
     held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
     return langid.predict(docs.select("doc_id", "text"), crf).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query(
+    """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings),
+    v AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM e
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+            CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.e, b.e)]) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+            row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+)
+def op13_clustered_hard_negatives(table):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table("embeddings").select("vec_id", "embedding", shifted.alias("label"))
+    return hardneg.hard_negatives(rows, F.col("vec_id") % 100 == 0)
