@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, tune
-from . import bpe, decontaminate, hardneg, langid, lattice, licenses, lines, neardup, token_counts, token_store, topk, toxicity
+from . import bpe, conversations, decontaminate, hardneg, langid, lattice, licenses, lines, neardup, token_counts, token_store, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -220,3 +220,82 @@ def op13_clustered_hard_negatives(table):
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table("embeddings").select("vec_id", "embedding", shifted.alias("label"))
     return hardneg.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults planted by a checksum of their key; nulls become one space in the key."""
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    fault = F.crc32(key.cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(fault == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return turns.where(fault != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy"))
+
+
+def _least(*ways: str) -> str:
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _way(state: str, cost: str, edit: str, line: str, given: str = "true") -> str:
+    return f"{{'c': {state}.c + CASE WHEN {given} THEN {cost} ELSE 1000000000 END, 's': {state}.s || '{edit}', 't': {state}.t || {line}}}"
+
+
+def _inserted(v: str) -> list[str]:
+    """States nothing, system, user and assistant of a row of the recursion, after turns may have been inserted."""
+    n, s, u, a = (f"{v}.{x}" for x in "nsua")
+    new_user, new_assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    u = _least(u, *(_way(x, "2", "I", new_user) for x in (n, s, a)))
+    return [n, s, u, _least(a, _way(u, "2", "I", new_assistant))]
+
+
+def _row_step() -> list[str]:
+    gone, own = "''", "chr(10) || f.role || ':' || f.text"
+    stays = "f.t"
+    user, assistant = "chr(10) || 'user:' || f.text", "chr(10) || 'assistant:' || f.text"
+    role = lambda x: f"NOT f.gone AND f.role[1] = '{x}'"
+    before_user = ("p.n", "p.s", "p.a")
+    return [
+        _way("p.n", "3", "D", gone),
+        _least(_way("p.s", "3", "D", gone), _way("p.n", stays, "K", own, role("s"))),
+        _least(
+            _way("p.u", "3", "D", gone), *(_way(x, stays, "K", own, role("u")) for x in before_user),
+            *(_way(x, f"2 + {stays}", "R", user, "NOT f.gone") for x in before_user),
+        ),
+        _least(_way("p.a", "3", "D", gone), _way("p.u", stays, "K", own, role("a")), _way("p.u", f"2 + {stays}", "R", assistant, "NOT f.gone")),
+    ]
+
+
+CRC = """list_reduce(list_concat([4294967295], flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split({}, '')])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)"""
+NO_WAY = "{'c': 1000000000, 's': '', 't': ''}"
+STATES = ", ".join(f"{{}} AS {x}" for x in "nsua")
+
+
+@query(
+    f"""WITH RECURSIVE k AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    z AS (SELECT *, xor({CRC.format('k')}, 4294967295) % 20 AS z FROM k),
+    d AS (SELECT conv_id, turn, coalesce(CASE WHEN z = 4 THEN 'user' ELSE role END, ' ') AS role,
+            coalesce(CASE z WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END, ' ') AS text
+        FROM z, range(1, 3) AS copies(copy) WHERE z <> 0 AND (copy = 1 OR z = 3)),
+    r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM d),
+    o AS (SELECT *, coalesce('=' || CAST(conv_id AS VARCHAR), '') AS g, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+            right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS e FROM r),
+    f AS MATERIALIZED (SELECT g, i, turn, role, text, e = '' AS blank, e <> '' AND again AS dup, e NOT IN ('', '.', '!', '?') AND NOT again AS trunc,
+            e = '' OR again AS gone, CAST(e NOT IN ('.', '!', '?') AS INTEGER) AS t,
+            lag(role[1]) OVER (PARTITION BY g ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au') AS illegal FROM o),
+    w AS (SELECT DISTINCT g, CAST(0 AS BIGINT) AS i, {STATES.format("{'c': 0, 's': '', 't': ''}", NO_WAY, NO_WAY, NO_WAY)} FROM f
+        UNION ALL SELECT f.g, f.i, {STATES.format(*_row_step())}
+        FROM (SELECT g, i, {STATES.format(*_inserted("w"))} FROM w) p JOIN f ON f.g = p.g AND f.i = p.i + 1),
+    b AS (SELECT g, {_least("p.n", "p.a")} AS best FROM (SELECT g, i, {STATES.format(*_inserted("w"))} FROM w) p
+        JOIN (SELECT g, max(i) AS i FROM f GROUP BY g) USING (g, i)),
+    s AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+            count(*) FILTER (trunc) AS truncated, count(*) FILTER (illegal) AS illegal FROM f GROUP BY g)
+    SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+        coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.s, '') AS audit,
+        sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN s ON s.g = coalesce('=' || CAST(conv_id AS VARCHAR), '') LEFT JOIN b USING (g)"""
+)
+def op12_run_length_repair(table):
+    turns = table("conversations")
+    faulty = damaged(turns)
+    return conversations.digest(turns, conversations.repaired(faulty, conversations.repair(faulty)))
