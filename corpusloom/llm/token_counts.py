@@ -253,10 +253,13 @@ class Counter:
         unique, inverse = np.unique(live, return_inverse=True)
         held = [self.states[s] for s in unique.tolist()]
         self._reset()
-        for state in held:
-            if self.number.setdefault(state, len(self.states)) == len(self.states):
-                self.states.append(state)
-        return np.array([self.number[s] for s in held], np.int64)[inverse]
+        return np.array([self._numbered(places) for places in held], np.int64)[inverse]
+
+    def _numbered(self, places: int) -> int:
+        """Number of a state, new or known."""
+        if self.number.setdefault(places, len(self.states)) == len(self.states):
+            self.states.append(places)
+        return self.number[places]
 
     def compile(self, key: int) -> int:
         """The move of one (state, byte)."""
@@ -283,11 +286,7 @@ class Counter:
         for node, before, since in reversed(grown):
             after = after << width | self._packed(node, before, since + change)
         after = after << width | self._packed(0, made, 0)
-        to = self.number.get(after)
-        if to is None:
-            to = self.number[after] = len(self.states)
-            self.states.append(after)
-        return to << 12 | change + 1024
+        return self._numbered(after) << 12 | change + 1024
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         """Places of keys in the table: where they stand, or the free place where they would."""
@@ -343,8 +342,9 @@ class Counter:
             state[:n] = moves >> 12
             total[:n] += (moves & 4095) - 1024
             t += 1
-        for i in range(n):
-            total[i] += self._rest(int(state[i]), data[starts[i] + t : starts[i] + sizes[i]].tobytes())
+        left = [self.states[s] for s in state[:n].tolist()]  # a loop may empty the table
+        for i, places in enumerate(left):
+            total[i] += self._rest(self._numbered(places), data[starts[i] + t : starts[i] + sizes[i]].tobytes())
         out = np.empty_like(total)
         out[order] = total
         return out
