@@ -226,7 +226,7 @@ def test_hard_negatives_match_brute_force(spark, block):
     rows += [(200 + i, rows[4][1], i % 3) for i in range(20)]  # ties
     rows += [(400, [0.0] * 5, 1), (410, None, 1), (411, [1.0, None, 0.0, 0.0, 0.0], 1), (420, [float("nan")] * 5, 0), (430, [float("-inf")] * 5, 0), (440, [1.0] * 5, None)]
     rows += [(450, [1.0, 2.0], 0), (451, [1.0, 2.0], 0), (452, [1.0, 1.0], 1), (460, [], 0), (461, [], 0), (462, [], 1), (None, [1.0] * 5, 1)]
-    rows += [(470, [2.0**24] * 5, 2), (471, [2.0**24] * 5, 2), (472, [2.0**23] * 5, 1), (473, [-(2.0**23)] * 5, 0)]
+    rows += [(470, [2.0**22] * 5, 2), (471, [2.0**22] * 5, 2), (472, [2.0**21] * 5, 1), (473, [-(2.0**21)] * 5, 0)]
     frame = spark.createDataFrame([(*r, *MORE) for r in rows], f"vec_id long, embedding array<float>, label int, {EXTRA}").repartition(5)
     found = hardneg.hard_negatives(frame, F.col("vec_id") % 10 == 0, positives=3, negatives=4, block=block)
     assert sorted(map(tuple, found.collect())) == brute_negatives(rows)
