@@ -129,34 +129,37 @@ class Crf:
 NO_MODEL = Crf([], np.zeros((1, 0), np.float32), np.zeros((0, 0)))
 
 
-def forward_backward(potentials: np.ndarray, transitions: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
-    """Marginals of all words of chains that lie one after another, and the expected transitions.
+def forward_backward(potentials: np.ndarray, transitions: np.ndarray, starts: np.ndarray, lengths: np.ndarray, expect: bool = True):
+    """Marginals of all words of chains that lie one after another, and the expected transitions if asked for.
 
-    ``potentials`` are exponentials of emission scores. Chains move in step, longest first.
+    ``potentials`` are exponentials of emission scores. Chains move in step, longest first. The results have the
+    type of the potentials; marginals are written over the forward values, so two tables are held.
     """
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
     steps = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(steps), "left")  # chains longer than t
-    matrix = np.exp(transitions - transitions.max())
-    alpha, beta = np.empty_like(potentials), np.empty_like(potentials)
+    matrix = np.exp(transitions - transitions.max(initial=0)).astype(potentials.dtype)
+    alpha = np.empty_like(potentials)
     for t in range(steps):
         at = starts[: active[t]] + t
         now = potentials[at] if t == 0 else (alpha[at - 1] @ matrix) * potentials[at]
         alpha[at] = now / now.sum(axis=1, keepdims=True)
     expected = np.zeros_like(matrix)
+    ahead = np.zeros((0, potentials.shape[1]), potentials.dtype)  # of the chains longer than t + 1
     for t in range(steps - 1, -1, -1):
         at = starts[: active[t]] + t
-        beta[at] = 1.0
-        if t + 1 < steps and active[t + 1]:
-            on = at[: active[t + 1]]
-            ahead = potentials[on + 1] * beta[on + 1]
+        beta = np.ones((len(at), potentials.shape[1]), potentials.dtype)
+        if len(ahead):
             back = ahead @ matrix.T
-            both = (alpha[on] * back).sum(axis=1, keepdims=True)
-            expected += (alpha[on] / both).T @ ahead * matrix
-            beta[on] = back / back.sum(axis=1, keepdims=True)
-    marginal = alpha * beta
-    return marginal / marginal.sum(axis=1, keepdims=True), expected
+            if expect:
+                on = alpha[at[: len(ahead)]]
+                expected += (on / (on * back).sum(axis=1, keepdims=True)).T @ ahead * matrix
+            beta[: len(ahead)] = back / back.sum(axis=1, keepdims=True)
+        ahead = potentials[at] * beta
+        marginal = alpha[at] * beta
+        alpha[at] = marginal / marginal.sum(axis=1, keepdims=True)
+    return alpha, expected
 
 
 def potentials_of(emissions: np.ndarray) -> np.ndarray:
@@ -238,16 +241,15 @@ def fit(texts: list[str], labels: list[str], steps: int = STEPS) -> Crf:
 def train(docs: DataFrame, learn, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Crf:
     """Fit on texts and non-null ``lang`` of a bounded sample of the rows of ``docs`` where ``learn`` holds."""
     known = docs.where(learn).where("lang is not null").select("doc_id", "text", "lang")
-    languages = sorted(r[0] for r in known.select("lang").distinct().collect())  # a row for each language
-    if not languages:
-        return NO_MODEL
-    sample = labelled_sample(known, "lang", languages, rows, chars)
+    sample = labelled_sample(known, "lang", rows, chars)
 
     def run(batches):
         texts, labels = [], []
         for batch in batches:
             texts += batch.column(0).to_pylist()
             labels += batch.column(1).to_pylist()
+        if not texts:
+            return
         yield pa.RecordBatch.from_arrays([pa.array([fit(texts, labels).to_bytes()], pa.binary())], names=["model"])
 
     together = sample.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "lang")
@@ -264,7 +266,7 @@ class Labeller:
 
     def _reset(self) -> None:
         self.known: dict[int, int] = {}
-        self.table = np.zeros((0, len(self.crf.languages)))
+        self.table = np.zeros((0, len(self.crf.languages)), np.float32)
         self.letters = np.zeros(0)
 
     def entries(self, hashes, starts, ends, data) -> np.ndarray:
@@ -277,7 +279,7 @@ class Labeller:
             raw = data.tobytes()
             words = [raw[starts[where[i]] : ends[where[i]]].decode("utf-8", "replace").lower() for i in new]
             letters = np.array([sum(map(str.isalpha, w)) for w in words], float)
-            made = potentials_of(self.crf.emissions(words))
+            made = potentials_of(self.crf.emissions(words)).astype(np.float32)
             made[letters == 0] = 1.0  # symbols say nothing
             first = len(self.table)
             self.known.update((listed[i], first + n) for n, i in enumerate(new))
@@ -292,7 +294,7 @@ class Labeller:
         bounds = np.searchsorted(starts, offsets)
         lengths = np.diff(bounds)
         full = lengths > 0
-        marginal, _ = forward_backward(self.table[entry], self.crf.transitions, bounds[:-1][full], lengths[full])
+        marginal, _ = forward_backward(self.table[entry], self.crf.transitions, bounds[:-1][full], lengths[full], expect=False)
         return marginal, self.letters[entry], bounds
 
 

@@ -6,6 +6,7 @@ one longest text, which is never cut).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,24 +24,32 @@ NOT_BLANK[[32, *range(9, 14)]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+PIECE = 1 << 18  # values hashed at a time
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """MULTIPLIER**i and INVERSE**i for i < n, modulo 2**64."""
-    if n <= len(_powers[0]):
-        return _powers[0][:n], _powers[1][:n]
+@functools.lru_cache(1)
+def _small_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _made_powers(2 * PIECE)
+
+
+def _made_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     made = []
     for base in (MULTIPLIER, INVERSE):
         table = np.full(n, base, np.uint64)
         table[0] = 1
         np.cumprod(table, out=table)
         made.append(table)
-    if n <= 1 << 22:  # one giant text does not stay in the worker
-        _powers[:] = made
     return made[0], made[1]
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """MULTIPLIER**i and INVERSE**i for i < n, modulo 2**64; only a small table stays in the worker."""
+    if n <= 2 * PIECE:
+        forward, back = _small_powers()
+        return forward[:n], back[:n]
+    return _made_powers(n)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Final scrambling of 64-bit values, so that every bit can be used."""
     h = h ^ (h >> np.uint64(30))
@@ -80,11 +89,22 @@ def split_words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each ``values[start:end]``; equal spans get equal hashes wherever they stand."""
-    power, inverse = powers(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[:-1], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts])
+    """64-bit hash of each ``values[start:end]``; equal spans get equal hashes wherever they stand.
+
+    Starts ascend. Spans are hashed in pieces of about ``PIECE`` values, or of one longer span.
+    """
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = int(starts[at])
+        to = int(np.searchsorted(starts, low + PIECE, "left"))
+        high = int(ends[at:to].max())
+        power, inverse = powers(high - low + 1)
+        prefix = np.zeros(high - low + 1, np.uint64)
+        np.cumsum((values[low:high].astype(np.uint64) + np.uint64(1)) * power[:-1], out=prefix[1:])
+        out[at:to] = mix((prefix[ends[at:to] - low] - prefix[starts[at:to] - low]) * inverse[starts[at:to] - low])
+        at = to
+    return out
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):

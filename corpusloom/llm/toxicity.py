@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import text as tx
+from .sample import first_ids
 
 SAMPLE_ROWS = 4000
 SAMPLE_CHARS = 20_000
@@ -165,8 +166,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, learn, rows: int = SAMPLE_
     marks = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = docs.where(learn).select("doc_id", F.length("text").alias("n")).where(F.col("n") <= chars)
     known = marks.join(ids, "doc_id", "left_semi")
-    picked = [
-        known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for value in (0, 1)
-    ]
-    picked = picked[0].unionByName(picked[1])  # at most 2 x rows ids
+    picked = first_ids(known, "toxic", rows).join(marks, "doc_id")  # at most 2 x rows ids
     return docs.select("doc_id", "text").where(F.length("text") <= chars).join(F.broadcast(picked), "doc_id")
