@@ -6,6 +6,9 @@ ranks are looked up again, until no pair has a rank. Words of equal length are h
 one matrix, so a step scans and merges a whole block of words. Words above ``SHORT`` bytes, for
 which repeated scans would be quadratic, use a heap over the same ranks with the same order.
 
+A text with a character that this module's Unicode tables and the library's know differently (those assigned
+after the library was made) is encoded by the library itself.
+
 Null and empty texts have no tokens. Texts are encoded whole; a word occurs in a cache per worker
 that is emptied when it grows beyond a fixed size.
 """
@@ -15,6 +18,7 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -26,7 +30,7 @@ from pyspark.sql import types as T
 from . import text as tx
 
 SHORT = 48
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 SLICE = 1 << 20
 NONE = np.iinfo(np.int64).max
 
@@ -38,10 +42,21 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(other)) for b in range(256)]
 
 
+def library(blob: bytes):
+    """The tokenizers library's own encoder of a file, without truncation and padding."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(blob.decode())
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 class RankBpe:
     """Merges of one vocabulary file, given as its bytes."""
 
     def __init__(self, blob: bytes):
+        self.blob, self.library, self.unlike = blob, None, None
         spec = json.loads(blob)
         model = spec["model"]
         vocabulary = model["vocab"]
@@ -64,7 +79,7 @@ class RankBpe:
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         tokens = {i: t for t, i in vocabulary.items()} | {i: t for t, i in self.added.items()}
         self.tokens = [tokens.get(i, "").encode() for i in range(max(tokens) + 1)]
-        self._reset()
+        self.forget()
 
     @staticmethod
     def _steps(normalizer) -> list[str]:
@@ -186,14 +201,23 @@ class RankBpe:
                     done[row] = ids
         return done
 
-    def _reset(self) -> None:
+    def _by_library(self, text: str) -> list[int]:
+        if self.library is None:
+            self.library = library(self.blob)
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def forget(self) -> None:
+        """Drop the words met so far."""
         self.known = {i: n for n, i in enumerate(self.added.values())}
         self.flat = np.array(list(self.added.values()), np.int64)
         self.start = np.arange(len(self.flat))
         self.length = np.ones(len(self.flat), np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        found = self.merge_words(words)
+    def _learn(self, words: list) -> None:
+        ids = [w for w in words if not isinstance(w, str)]  # given by the library
+        words = [w for w in words if isinstance(w, str)]
+        found = self.merge_words(words) + [np.array([i]) for i in ids]
+        words += ids
         lengths = np.array([len(f) for f in found], np.int64)
         first = len(self.length)
         self.start = np.append(self.start, len(self.flat) + np.cumsum(lengths) - lengths)
@@ -204,10 +228,13 @@ class RankBpe:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's bounds in them."""
         words = [self.words(t) if t else [] for t in texts]
+        for at, text in enumerate(texts):
+            if not text.isascii() and self.unlike is not None and self.unlike.search(text):
+                words[at] = self._by_library(text)
         ends = np.cumsum([0, *map(len, words)])
         words = [w for own in words for w in own]
         if len(self.known) > CACHE_WORDS:
-            self._reset()
+            self.forget()
         new = set(words).difference(self.known)
         if new:
             self._learn(list(new))
@@ -226,6 +253,36 @@ def rank_bpe(blob: bytes) -> RankBpe:
     return RankBpe(blob)
 
 
+@functools.lru_cache(1)
+def unlike_characters() -> str:
+    """A pattern of the characters that the library classes, composes or lower-cases in another way than this module."""
+    from tokenizers import Regex, normalizers
+
+    points = np.array([p for p in range(0x110000) if not 0xD800 <= p < 0xE000], np.uint32)
+    text = points.tobytes().decode("utf-32-le")
+    unlike = np.zeros(len(points), bool)
+    for pattern in (r"\p{L}", r"\p{N}", r"\s", r"\p{M}"):
+        theirs = normalizers.Replace(Regex(pattern), "\0").normalize_str(text)
+        ours = regex.sub(pattern, "\0", text)
+        unlike |= np.frombuffer(theirs.encode("utf-32-le"), np.uint32) != np.frombuffer(ours.encode("utf-32-le"), np.uint32)
+    where = np.flatnonzero(points != ord("\n"))
+    sigma = str.maketrans({"\N{GREEK CAPITAL LETTER SIGMA}": "\N{GREEK SMALL LETTER SIGMA}"})
+    # Alone, and behind marks that show whether a character is put in order with them.
+    for around, theirs, ours in (
+        ("{}", normalizers.Lowercase(), lambda x: x.translate(sigma).lower()),
+        ("{}", normalizers.NFC(), lambda x: unicodedata.normalize("NFC", x)),
+        ("{}\u0334", normalizers.NFC(), lambda x: unicodedata.normalize("NFC", x)),
+    ):
+        lines = "\n".join(around.format(c) for c in text if c != "\n")
+        pairs = zip(theirs.normalize_str(lines).split("\n"), ours(lines).split("\n"))
+        unlike[where[[a != b for a, b in pairs]]] = True
+    at = points[unlike]
+    ends = np.flatnonzero(np.append(np.diff(at) != 1, True)) if len(at) else np.zeros(0, int)
+    begins = np.concatenate([[0], ends[:-1] + 1])[: len(ends)]
+    ranges = "".join(f"\\U{at[a]:08x}-\\U{at[b]:08x}" for a, b in zip(begins, ends))
+    return f"[{ranges}]" if ranges else r"(?!)"
+
+
 def read_vocabulary(path: str) -> bytes:
     """The vocabulary file, read on the driver and sent with the tasks: its size is that of a vocabulary."""
     with open(path, "rb") as file:
@@ -248,16 +305,19 @@ def text_parts(column: pa.Array, limit: int = SLICE):
 def encode(docs: DataFrame, vocabulary: bytes, column: str = "ids", text: str = "text") -> DataFrame:
     """``docs`` without its text and with an array of token ids, which replaces a column of that name."""
     docs = docs.drop(column)
+    unlike = unlike_characters()
     keep = [c for c in docs.columns if c != text]
     schema = T.StructType([f for f in docs.schema.fields if f.name != text] + [T.StructField(column, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         bpe = rank_bpe(vocabulary)
+        bpe.unlike = re.compile(unlike)
         for batch in batches:
             for first, texts in text_parts(batch.column(batch.schema.get_field_index(text))):
                 ids, bounds = bpe.encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
                 yield tx.with_columns(batch.slice(first, len(texts)), keep, {column: lists})
+        bpe.forget()  # the worker may go on with other work
 
     return docs.mapInArrow(run, schema)
 
