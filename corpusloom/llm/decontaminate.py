@@ -10,8 +10,9 @@ The test set travels with the task, so it is cut into blocks of a fixed number o
 each block is one pass over the documents, and passes hand on the places found so far.
 
 Null or empty texts have no words and no match. Ties and repeated rows are searched like
-any other row. An item without words or with a null id is found nowhere. Extra columns of
-either table do not matter; documents keep theirs.
+any other row. An item without words is found nowhere; items with a null id are searched like
+others (their matches count, all of them as one item, and add no id to a list of ids). Extra
+columns of either table do not matter; documents keep theirs.
 """
 
 from __future__ import annotations
@@ -256,10 +257,10 @@ def search_block(docs: DataFrame, block: ItemBlock, text: str, names: tuple[str,
 
 
 def item_blocks(benchmark: DataFrame, window: int, block_words: int):
-    """Test items in blocks of at most ``block_words`` words (or one item), one block at a time."""
+    """Test items in blocks of about ``block_words`` words, dealt by hash, one block at a time."""
     words = F.size(F.split(F.coalesce("text", F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    items = items.where("item_id is not null").distinct()
+    items = items.distinct()
     total = items.agg(F.sum(words)).first()[0] or 0
     parts = max(1, -(-int(total) // block_words))
     for part in range(parts):
@@ -342,7 +343,7 @@ def digest(found: DataFrame) -> DataFrame:
                     batch.column(2),
                     pa.array(hit),
                     pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in ids]),
+                    pa.array([hashlib.sha256(",".join(sorted(x - {None})).encode()).hexdigest() for x in ids]),
                     pa.array(hit > 0),
                 ],
                 names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],

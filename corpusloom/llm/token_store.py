@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 
 import numpy as np
@@ -22,9 +23,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .bpe import byte_alphabet, text_parts
+from .bpe import byte_alphabet, library, text_parts
 
 END = 0
+LONG_BLANK = 50_000
+BLANKS = re.compile(r"\s{%d}" % LONG_BLANK)
 SCHEMA = "doc_id long, n_tokens long, part int, part_start long, ids array<int>"
 ORC = {
     "compression": "zstd",
@@ -40,7 +43,8 @@ class LibraryEncoder:
     """Ids as the tokenizers library gives them for a byte-level vocabulary file.
 
     When the ids of the file are in merge order, as in public files, the same merges are run by tiktoken,
-    which is several times faster; otherwise by the tokenizers library itself.
+    which is several times faster; otherwise by the tokenizers library itself. So are texts with a run of
+    ``LONG_BLANK`` blanks or more, for which tiktoken's pattern engine runs out of stack.
     """
 
     def __init__(self, blob: bytes, pattern: str):
@@ -60,19 +64,17 @@ class LibraryEncoder:
             back = {c: b for b, c in enumerate(byte_alphabet())}
             ranks = {bytes(back[c] for c in token): i for token, i in model["vocab"].items()}
             self.encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.added)
-            self.encode = self._fast
-        else:
-            from tokenizers import Tokenizer
-
-            self.tokenizer = Tokenizer.from_str(blob.decode())
-            self.tokenizer.no_truncation()
-            self.tokenizer.no_padding()
-            self.encode = self._library
+        self.encode = self._fast if plain else self._library
+        self.blob, self.tokenizer = blob, None
 
     def _fast(self, text: str) -> np.ndarray:
+        if len(text) >= LONG_BLANK and BLANKS.search(text):
+            return self._library(text)
         return self.encoding.encode_to_numpy(text, allowed_special="all")
 
     def _library(self, text: str) -> np.ndarray:
+        if self.tokenizer is None:
+            self.tokenizer = library(self.blob)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
