@@ -34,6 +34,7 @@ from .columns import free_name
 from .cuckoo import CuckooFilter
 
 MIN_CHARS = 10
+INSERTS = 2
 KEYS_PER_SHARD = 250_000
 BLANKS = " \t\n\x0b\x0c\r"
 KEY = ["low", "high"]
@@ -245,6 +246,12 @@ def drop_repeated(docs: DataFrame, index: LineIndex, min_chars: int = MIN_CHARS)
     return joined.select(*keep, low_name, high_name).mapInArrow(run, schema)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Index all ``docs`` and drop their repeated lines; see :func:`drop_repeated`."""
-    return drop_repeated(docs, insert(docs, min_chars=min_chars), min_chars)
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, inserts: int = INSERTS) -> DataFrame:
+    """Index all ``docs`` in several inserts and drop their repeated lines; see :func:`drop_repeated`.
+
+    From the second insert on the filters rule out the look-up of every key that is new.
+    """
+    index = None
+    for turn in range(inserts):
+        index = insert(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(inserts)) == turn), index, min_chars)
+    return drop_repeated(docs, index, min_chars)
