@@ -201,6 +201,16 @@ def test_lines_match_brute_force(spark):
     assert lines.dedup_lines(table(spark, [])).count() == 0
 
 
+def test_filters_spare_look_ups(spark):
+    """From the second insert on a key that the filter does not know is taken as new without a look-up."""
+    words = texts(400, 12, VOCABULARY, 12, 14)
+    index = lines.insert(table(spark, [(i, t, "en") for i, t in enumerate(words[:200])]))
+    keys = lines.counted(lines.postings_of(table(spark, [(i, t, "en") for i, t in enumerate(words[200:])]), lines.MIN_CHARS))
+    flagged = lines.ask_filters(keys.select(lines.shard_of(index.shards), "*"), index.filters).where("filter is null")
+    spared = flagged.where("segment is not null").count() / flagged.count()
+    assert spared > 0.95
+
+
 def test_line_index_is_incremental_and_reversible(spark):
     first, second = [r for r in line_rows() if r[0] is not None and r[0] % 2], [r for r in line_rows(8) if r[0] is not None and r[0] % 2 == 0]
     index = lines.insert(table(spark, first))
@@ -245,14 +255,14 @@ def brute_matches(rows, items):
         for item, text in items:
             q = item_words(text)
             k = min(10, len(q))
-            if item is None or not k:
+            if not k:
                 continue
             windows = {tuple(q[p : p + k]) for p in range(len(q) - k + 1)}
             for p in range(len(w) - k + 1):
                 if tuple(w[p : p + k]) in windows:
                     hit.update(range(p, p + k))
-                    ids.add(str(item))
-        digest = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+                    ids.add(None if item is None else str(item))
+        digest = hashlib.sha256(",".join(sorted(ids - {None})).encode()).hexdigest()
         out.append((i, len(w), len(hit), len(ids), digest, bool(hit)))
     return sorted(out, key=repr)
 
@@ -298,10 +308,11 @@ def test_license_scan(spark):
     assert (got[4].n_base, got[4].first_word, got[4].last_word) == (2, 3, 8)
     assert (got[5].n_base, got[5].labels, got[5].score) == (0, "", 0.0)
     for i, t, _ in rows:
-        assert got[i].n_words == len(item_words(t))
+        words = item_words(t)
+        assert got[i].n_words == len(words)
         places = [
             p for phrase, _ in licenses.BASE_PHRASES for k in [phrase.encode().split()]
-            for p in range(len(item_words(t)) - len(k) + 1) if item_words(t)[p : p + len(k)] == k
+            for p in range(len(words) - len(k) + 1) if words[p : p + len(k)] == k
         ]
         assert (got[i].n_base, got[i].first_word, got[i].last_word) == (len(places), min(places, default=None), max(places, default=None))
     assert licenses.scan(table(spark, [])).count() == 0
@@ -376,6 +387,23 @@ def test_token_store_of_nothing_and_of_odd_rows(spark):
     assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:]))
 
 
+def test_long_blanks_are_encoded_by_the_library():
+    own = token_store.LibraryEncoder(bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.PATTERN)
+    library = tokenizer("byte_bpe_50k.json")
+    for text in (" " * 1_000_000, "\n" * 1_000_000, "a" + " \t" * 40_000 + "b", " " * 49_999):
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_characters_that_the_library_knows_differently(spark):
+    library = tokenizer("word_bpe_49k.json")
+    vocabulary = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    generator = random.Random(3)
+    rows = ["a\u0558b \u058b c", "\U000107bb x", "\u2ded\u0899", "\ua7cc", "plain <|endoftext|> \u0558"]
+    rows += ["".join(chr(generator.choice([generator.randint(1, 0xD7FF), generator.randint(0xE000, 0x10FFFF)])) for _ in range(40)) for _ in range(300)]
+    for r in bpe.encode(table(spark, [(i, t, "en") for i, t in enumerate(rows)]), vocabulary).collect():
+        assert r.ids == library.encode(rows[r.doc_id], add_special_tokens=False).ids
+
+
 def test_library_path_of_the_encoder():
     blob = bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     fast = token_store.LibraryEncoder(blob, public_tokenizers.PATTERN)
