@@ -1,16 +1,19 @@
 """Incremental jobs on Structured Streaming.
 
-State that must be kept per key lives in the sink table or in Spark's state
-store under the query's checkpoint, so a restart continues where it stopped.
+State that must be kept per key lives in Spark's state store under the query's
+checkpoint, so a restart continues where it stopped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import validate as V
-from ..operators.reports import newest_versions
+from ..operators.dedupe import last_wins
 from ..sources.sinks import write_json
 
 SNAPSHOT_DDL = "page_id STRING, version BIGINT, ts TIMESTAMP, status STRING, seq BIGINT"
@@ -24,44 +27,72 @@ def snapshots(spark: SparkSession, path: str, files_per_trigger: int | None = No
     return reader.json(path)
 
 
+KEYED_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+CHANGE_DDL = "page_id STRING, version BIGINT, seq BIGINT, action STRING"
+
+
+class NewestVersion(StatefulProcessor):
+    """Keeps the newest version of one page; a row a micro-batch tells what became of its arrivals.
+
+    ``mirrored``: a version newer than the one held arrived and is held now. ``resumed``: nothing newer
+    arrived, the row shows the version held. Of equal versions the first arrival stays; a null version is
+    older than any other.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", "version BIGINT, seq BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = tuple(self.held.get()) if self.held.exists() else None
+        best = held
+        for row in rows:
+            if best is None or _age(row.version) > _age(best[0]) or (best is not held and row.version == best[0] and row.seq < best[1]):
+                best = (row.version, row.seq)
+        if best is not held:
+            self.held.update(best)
+        yield Row(page_id=key[0], version=best[0], seq=best[1], action="resumed" if best is held else "mirrored")
+
+    def close(self) -> None:
+        pass
+
+
+def _age(version: int | None) -> tuple[bool, int]:
+    return version is not None, version or 0
+
+
+def newest_changes(stream: DataFrame) -> DataFrame:
+    """A row for each page of a micro-batch: the version it holds now, and whether this batch brought it.
+
+    State is keyed by page in Spark's state store, so a batch reads and writes only the pages it names.
+    """
+    return stream.groupBy("page_id").transformWithState(
+        statefulProcessor=NewestVersion(), outputStructType=CHANGE_DDL, outputMode="append", timeMode="none"
+    )
+
+
 def incremental_mirror(stream: DataFrame, table: str, checkpoint: str):
-    """Keep the newest version per page; replays change nothing.
+    """Append the changes of :func:`newest_changes` to the folder ``table``; replays and restarts change nothing.
 
-    ``table`` is a folder of numbered generations. A micro-batch merges its own
-    winners with the last complete generation and writes the next one under its
-    batch number, so a repeated batch overwrites its own output and a half-written
-    generation is never read. Every row tells whether this batch mirrored it.
+    The work and the rows written grow with the micro-batch, not with the table; :func:`mirrored_pages` reads the
+    pages as they stand.
     """
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = newest_versions(batch.select("page_id", "version", "seq")).withColumn("_new", F.lit(1))
-        held = latest_generation(spark, table, batch_id)
-        if held is not None:
-            fresh = fresh.unionByName(held.select("page_id", "version", "seq").withColumn("_new", F.lit(0)))
-        best = fresh.groupBy("page_id").agg(
-            # Highest version wins; of equal versions the held row, then the first arrival.
-            F.max_by(F.struct("version", "seq", "_new"), F.struct("version", -F.col("_new"), -F.col("seq"))).alias("_x")
+    spark = stream.sparkSession
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, KEYED_STATE)  # keyed state needs this store; a started query keeps it
+    try:
+        return (
+            newest_changes(stream).writeStream.format("parquet").outputMode("append")
+            .option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
-        rows = best.select("page_id", "_x.version", "_x.seq", F.when(F.col("_x._new") == 1, "mirrored").otherwise("resumed").alias("action"))
-        rows.write.mode("overwrite").parquet(f"{table}/batch={batch_id:012d}")
-
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def latest_generation(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    """Newest complete generation of the table (before a batch), or None."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    numbers = sorted(int(n.split("=")[1]) for n in names if n.startswith("batch="))
-    for number in reversed(numbers):
-        folder = f"{table}/batch={number:012d}"
-        complete = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS"))
-        if complete and (before is None or number < before):
-            return spark.read.parquet(folder)
-    return None
+    finally:
+        spark.conf.set(PROVIDER, before)
+
+
+def mirrored_pages(spark: SparkSession, table: str) -> DataFrame:
+    """Newest version of every page in a folder written by :func:`incremental_mirror`."""
+    changes = spark.read.schema(CHANGE_DDL).parquet(table).where("action = 'mirrored'")
+    return last_wins(changes.select("page_id", "version", "seq"), "page_id", "version")
 
 
 def outcome_counts(stream: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:

@@ -85,15 +85,35 @@ ROWS = [
 ]
 
 
+def newest(df):
+    return {(r.page_id, r.version, r.seq) for r in df.collect()}
+
+
 def test_incremental_mirror_equals_batch(spark, tmp_path):
     source, table = f"{tmp_path}/in", f"{tmp_path}/table"
-    for part in ROWS:
+    for part in ROWS:  # every start is a restart from the checkpoint
         snapshot_files(spark, source, [part])
         J.incremental_mirror(J.snapshots(spark, source), table, f"{tmp_path}/cp").awaitTermination()
-    got = J.latest_generation(spark, table)
     batch = newest_versions(spark.read.schema(J.SNAPSHOT_DDL).json(source))
-    assert {(r.page_id, r.version, r.seq) for r in got.collect()} == {(r.page_id, r.version, r.seq) for r in batch.collect()}
-    assert {r.action for r in got.collect()} == {"resumed"}
+    assert newest(J.mirrored_pages(spark, table)) == newest(batch)
+    changes = spark.read.parquet(table)
+    assert sorted((r.page_id, r.version, r.action) for r in changes.collect()) == [
+        ("p", 1, "mirrored"), ("p", 2, "mirrored"), ("p", 2, "resumed"), ("q", 1, "mirrored"),
+    ]
+
+
+def test_incremental_mirror_work_grows_with_the_batch(spark, tmp_path):
+    source, table = f"{tmp_path}/in", f"{tmp_path}/table"
+    first = [(f"page-{i}", 1, "2026-01-01T00:00:00Z", "mirrored", i) for i in range(300)]
+    second = [("page-7", 2, "2026-01-01T00:00:00Z", "mirrored", 301), ("page-8", None, "2026-01-01T00:00:00Z", "mirrored", 302), ("new", None, None, None, 303)]
+    written = []
+    for part in (first, second, second):  # the last one is a replay of the whole batch
+        snapshot_files(spark, source, [part])
+        J.incremental_mirror(J.snapshots(spark, source), table, f"{tmp_path}/cp").awaitTermination()
+        written.append(spark.read.parquet(table).count())
+    assert written == [300, 303, 306]
+    got = newest(J.mirrored_pages(spark, table))
+    assert len(got) == 301 and {("page-7", 2, 301), ("page-8", 1, 8), ("new", None, 303)} <= got
 
 
 def test_windows_and_repeats(spark, tmp_path):
