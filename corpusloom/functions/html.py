@@ -169,22 +169,35 @@ def unwrap_code_images(markup: Column, asset_scheme: str = "asset") -> Column:
     )
 
 
-BLOCK = (
-    r"(?is)<(?:h[1-6]|p|li|pre|blockquote|td|th)(?:\s[^>]*)?>"
-    r".*?</(?:h[1-6]|p|li|pre|blockquote|td|th)\s*>"
-)
+# Elements that hold others, and elements that hold a run of text (their end tag may be missing).
+CONTAINERS = [
+    "address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form", "header",
+    "main", "nav", "ol", "pre", "section", "table", "tbody", "tfoot", "thead", "ul",
+]
+LEAVES = ["caption", "dd", "dt", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "legend", "li", "p", "summary", "td", "th", "tr"]
+BLOCK_TAG = rf"(?i)</?(?:hr|{'|'.join(CONTAINERS + LEAVES)})(?=[\s/>])[^>]*>"
 
 
-def blocks(html: Column) -> Column:
-    """Array of block elements in document order."""
-    return F.regexp_extract_all(drop_noise(html), F.lit(BLOCK), F.lit(0))
+def block_runs(html: Column) -> tuple[Column, Column]:
+    """Borders of blocks (tags) in the body, and the markup before, between and after them (one more)."""
+    body = document_body(drop_noise(html))
+    return F.regexp_extract_all(body, F.lit(BLOCK_TAG), F.lit(0)), F.split(body, BLOCK_TAG, -1)
 
 
-def block_tag(block: Column) -> Column:
-    return F.lower(F.regexp_extract(block, r"\A<([a-zA-Z0-9]+)", 1))
+def run_text(markup: Column) -> Column:
+    return clean_text(tag_text(markup))
 
 
 def plain_text(html: Column) -> Column:
-    """Texts of all non-empty blocks, one per line, in document order."""
-    texts = F.transform(blocks(html), lambda b: clean_text(tag_text(b)))
+    """All visible text of the body, a line for each run between block borders, in document order."""
+    texts = F.transform(block_runs(html)[1], run_text)
     return F.array_join(F.filter(texts, lambda t: t != ""), "\n")
+
+
+def anchor_content(rest: Column) -> Column:
+    """What an anchor holds, from the markup behind its opening tag up to the next anchor.
+
+    It ends with its end tag, or, when that is missing, at the next block border.
+    """
+    ends = F.split(rest, r"(?i)</a\s*>", 2)
+    return F.when(F.size(ends) > 1, ends[0]).otherwise(F.split(rest, BLOCK_TAG, 2)[0])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -59,15 +59,17 @@ def tokens(
 
 
 def link_inventory(df: DataFrame, key: str, html: str, carry: Sequence[str] = ()) -> DataFrame:
-    """Every anchor of every document: href ('' when absent) and visible text."""
-    rows = tokens(df, key, H.drop_noise(F.col(html)), H.ANCHOR, carry)
-    opening = F.regexp_extract("tok", H.ANCHOR_OPEN, 0)
-    return rows.select(
+    """Every anchor of every document: href ('' when absent) and visible text; end tags may be missing."""
+    markup = H.drop_noise(F.col(html))
+    opening = F.regexp_extract_all(markup, F.lit(H.ANCHOR_OPEN), F.lit(0))
+    behind = F.slice(F.split(markup, H.ANCHOR_OPEN, -1), 2, 1 << 30)
+    rows = df.select(key, *carry, F.posexplode_outer(F.arrays_zip(opening.alias("tag"), behind.alias("rest"))).alias("pos", "_a"))
+    return rows.filter("pos IS NOT NULL").select(
         key,
         *carry,
-        "pos",
-        T.strip(H.attribute(opening, "href")).alias("href"),
-        H.tag_text(F.col("tok")).alias("label"),
+        (F.col("pos") + 1).cast("bigint").alias("pos"),
+        T.strip(H.attribute(F.col("_a.tag"), "href")).alias("href"),
+        H.tag_text(H.anchor_content(F.col("_a.rest"))).alias("label"),
     )
 
 
@@ -82,13 +84,32 @@ def targets(df: DataFrame, key: str, html: Column, carry: Sequence[str] = ()) ->
 
 
 def block_table(df: DataFrame, key: str, html: str) -> DataFrame:
-    rows = df.select(key, F.posexplode_outer(H.blocks(F.col(html))).alias("pos", "tok"))
-    return rows.filter("pos IS NOT NULL").select(
-        key,
-        (F.col("pos") + 1).cast("bigint").alias("pos"),
-        H.block_tag(F.col("tok")).alias("tag"),
-        T.clean_text(H.tag_text(F.col("tok"))).alias("text"),
-    )
+    """Every visible run of text of the body in exactly one block: key, pos, tag, text.
+
+    A block lies between two block borders; its tag is the innermost block element that is open there. Depth is a
+    running sum over the containers' tags; at one depth the last opening counts, so a missing end tag of a
+    paragraph or list item ends with the next border and loses nothing. Text directly in the body has tag ``body``.
+    """
+    borders, runs = H.block_runs(F.col(html))
+    both = F.arrays_zip(F.concat(F.array(F.lit("")), borders).alias("border"), runs.alias("run"))
+    rows = df.select(key, F.posexplode(both).alias("at", "_b")).select(key, "at", "_b.border", "_b.run")
+    name = F.lower(F.regexp_extract("border", r"\A</?([a-zA-Z0-9]+)", 1))
+    close = F.col("border").startswith("</")
+    rows = rows.select(key, "at", H.run_text(F.col("run")).alias("text"), name.alias("name"), close.alias("close"))
+    holds = F.col("name").isin(H.CONTAINERS)
+    document = Window.partitionBy(key).orderBy("at")
+    move = F.when(holds & F.col("close"), -1).when(holds, 1).otherwise(0)
+    rows = rows.withColumn("depth", F.sum(move).over(document))
+    level = Window.partitionBy(key, "depth").orderBy("at")
+    opened = F.when(~F.col("close") & (F.col("name") != ""), F.col("name"))
+    container = F.last(F.when(holds & ~F.col("close"), F.col("name")), True).over(level)
+    # The last tag of this depth, where a paragraph never reaches beyond its next border.
+    kept = F.when(F.col("name").isin(H.LEAVES) & (F.col("name") != "p"), F.when(F.col("close"), F.lit("")).otherwise(F.col("name")))
+    leaf = F.last(F.when(holds & ~F.col("close"), F.lit("")).otherwise(kept), True).over(level)
+    inner = F.when(leaf != "", leaf).otherwise(F.coalesce(container, F.lit("body")))
+    tag = F.when(F.col("name").isin(H.LEAVES) & ~F.col("close"), opened).otherwise(inner)
+    rows = rows.withColumn("tag", tag).withColumn("pos", F.sum(F.when(F.col("text") != "", 1).otherwise(0)).over(document))
+    return rows.filter("text <> ''").select(key, F.col("pos").cast("bigint"), "tag", "text")
 
 
 def link_type_counts(links: DataFrame, kind: str = "type") -> DataFrame:

@@ -319,9 +319,10 @@ def audit_summary(v):
 
 @reg.query(
     "verify_articles",
-    """SELECT id, problem FROM (SELECT a.id, unnest([CASE WHEN a.space = 'src14' THEN 'ID' END, CASE WHEN r.category_id <> 'cat-1' THEN 'category' END, CASE WHEN r.remote_title <> a.title THEN 'title' END,
-         CASE WHEN r.status <> 'Draft' THEN 'status' END, CASE WHEN a.space IN ('src2', 'src3') THEN 'local links' END]) AS problem
-       FROM {v_article} a JOIN {v_remote} r ON r.remote_id = 'r-' || a.external_id) WHERE problem IS NOT NULL""",
+    """SELECT id, problem FROM (SELECT a.id, unnest(CASE WHEN r.remote_id IS NULL THEN ['remote missing'] ELSE
+         [CASE WHEN a.space = 'src14' THEN 'ID' END, CASE WHEN r.category_id <> 'cat-1' THEN 'category' END, CASE WHEN r.remote_title <> a.title THEN 'title' END,
+         CASE WHEN r.status <> 'Draft' THEN 'status' END, CASE WHEN a.space IN ('src2', 'src3') THEN 'local links' END] END) AS problem
+       FROM {v_article} a LEFT JOIN {v_remote} r ON r.remote_id = 'r-' || a.external_id) WHERE problem IS NOT NULL""",
 )
 def verify_articles(v):
     rows = v.v_article.select("id", F.concat(F.lit("r-"), "external_id").alias("remote_id"), "title", "space")

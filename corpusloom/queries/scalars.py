@@ -234,14 +234,33 @@ def clean_markup(v):
     return v.pages.select("page_id", H.clean_markup(F.col("html")).alias("html"))
 
 
-BLOCKS_SQL = rf"""
-blocks AS (SELECT page_id, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS pos
-  FROM (SELECT page_id, regexp_extract_all({S.no_noise('html')}, '(?is)<(?:h[1-6]|p|li|pre|blockquote|td|th)(?:\s[^>]*)?>.*?</(?:h[1-6]|p|li|pre|blockquote|td|th)\s*>') AS toks FROM pages))"""
+# Cut at every angle bracket, not by a pattern of elements: runs are numbered by the block tags before them.
+RUNS_SQL = f"""
+cut AS (SELECT page_id, string_split({S.no_noise("coalesce(nullif(regexp_extract(html, '(?is)<body[^>]*>(.*?)(?:</body\\s*>|\\z)', 1), ''), html)")}, '<') AS c FROM pages),
+part AS (SELECT page_id, unnest(c) AS c, unnest(range(1, len(c) + 1)) AS i FROM cut),
+mark AS (SELECT page_id, i, CASE WHEN i > 1 AND contains(c, '>') THEN split_part(c, '>', 1) ELSE '' END AS tag,
+    CASE WHEN i = 1 THEN c WHEN contains(c, '>') THEN substr(c, strpos(c, '>') + 1) ELSE '<' || c END AS t FROM part),
+named AS (SELECT *, lower(regexp_extract(tag, '^/?([a-zA-Z0-9]+)', 1)) AS name, starts_with(tag, '/') AS close FROM mark),
+bordered AS (SELECT *, name IN ({", ".join(f"'{x}'" for x in ["hr", *H.CONTAINERS, *H.LEAVES])}) AS border FROM named),
+numbered AS (SELECT *, sum(CASE WHEN border THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i) AS run FROM bordered),
+runs AS (SELECT page_id, run, max(name) FILTER (border) AS name, bool_or(close) FILTER (border) AS close,
+    {S.clean(S.unescape(f"string_agg({S.strip('t')}, ' ' ORDER BY i) FILTER ({S.strip('t')} <> '')"))} AS text FROM numbered GROUP BY page_id, run)"""
+HOLDS_SQL = ", ".join(f"'{x}'" for x in H.CONTAINERS)
+LEAF_SQL = ", ".join(f"'{x}'" for x in H.LEAVES)
 
 
 @reg.query(
     "page_blocks",
-    f"WITH {BLOCKS_SQL} SELECT page_id, pos, lower(regexp_extract(tok, '^<([a-zA-Z0-9]+)', 1)) AS tag, {S.clean(S.tag_text('tok'))} AS text FROM blocks",
+    f"""WITH {RUNS_SQL},
+    deep AS (SELECT *, name IN ({HOLDS_SQL}) AS holds, name IN ({LEAF_SQL}) AS leaf,
+        sum(CASE WHEN name IN ({HOLDS_SQL}) THEN CASE WHEN close THEN -1 ELSE 1 END ELSE 0 END) OVER (PARTITION BY page_id ORDER BY run) AS depth FROM runs),
+    inner_tag AS (SELECT *,
+        last_value(CASE WHEN holds AND NOT close THEN name END IGNORE NULLS) OVER w AS container,
+        last_value(CASE WHEN holds AND NOT close THEN '' WHEN leaf AND name <> 'p' THEN CASE WHEN close THEN '' ELSE name END END IGNORE NULLS) OVER w AS open_leaf
+        FROM deep WINDOW w AS (PARTITION BY page_id, depth ORDER BY run))
+    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY run) AS pos,
+        CASE WHEN leaf AND NOT close THEN name ELSE coalesce(nullif(open_leaf, ''), container, 'body') END AS tag, text
+    FROM inner_tag WHERE text <> ''""",
 )
 def page_blocks(v):
     from ..operators.links import block_table
@@ -251,8 +270,8 @@ def page_blocks(v):
 
 @reg.query(
     "plain_text",
-    f"""WITH {BLOCKS_SQL}, texts AS (SELECT page_id, pos, {S.clean(S.tag_text('tok'))} AS text FROM blocks)
-        SELECT p.page_id, coalesce(string_agg(t.text, chr(10) ORDER BY t.pos), '') AS text FROM pages p LEFT JOIN texts t ON t.page_id = p.page_id AND t.text <> '' GROUP BY p.page_id""",
+    f"""WITH {RUNS_SQL}
+        SELECT p.page_id, coalesce(string_agg(r.text, chr(10) ORDER BY r.run), '') AS text FROM pages p LEFT JOIN runs r ON r.page_id = p.page_id AND r.text <> '' GROUP BY p.page_id""",
 )
 def plain_text(v):
     return v.pages.select("page_id", H.plain_text(F.col("html")).alias("text"))

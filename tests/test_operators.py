@@ -12,6 +12,7 @@ from corpusloom.functions import text as T
 from corpusloom.operators import audit as A
 from corpusloom.operators import dedupe as D
 from corpusloom.operators import hierarchy as O
+from corpusloom.operators import links as L
 from corpusloom.operators import markup as M
 from corpusloom.operators import packaging as P
 from corpusloom.operators import reconcile as R
@@ -304,3 +305,48 @@ def test_similar_vectors_against_brute_force(spark):
     got = N.similar_vectors(table, 16, 0.4, k=5, block=9).collect()
     assert sorted((r.id, r.candidate_of, r.rank, r.n_similar) for r in got) == sorted((a, b, d, e) for a, b, _, d, e in expected)
     assert {(r.id, r.candidate_of): r.cosine for r in got} == pytest.approx({(a, b): c for a, b, c, _, _ in expected})
+
+
+PAGES = [
+    "<p>one<p>two <b>bold</b><br>more",
+    "<body><ul><li>a<ul><li>x</li></ul>rest<li>b</ul>after<div>in <p>p</p> out</div>",
+    "bare &lt;text&gt; a < b",
+    "<div><table><tr><td>c1<td>c2</td> gap</tr></table><pre> code </pre>tail<hr>end",
+    "<script>var p = '<p>no</p>';</script><!-- <li>no --><h1>T</h1>",
+    None,
+]
+
+
+def test_every_visible_text_is_in_one_block(spark):
+    pages = spark.createDataFrame(list(enumerate(PAGES)), "page_id BIGINT, html STRING")
+    got = {}
+    for r in L.block_table(pages, "page_id", "html").orderBy("page_id", "pos").collect():
+        got.setdefault(r.page_id, []).append((r.tag, r.text))
+    assert got[0] == [("p", "one"), ("p", "two bold more")]
+    assert got[1] == [("li", "a"), ("li", "x"), ("li", "rest"), ("li", "b"), ("body", "after"), ("div", "in"), ("p", "p"), ("div", "out")]
+    assert got[2] == [("body", "bare <text> a < b")]
+    assert got[3] == [("td", "c1"), ("td", "c2"), ("table", "gap"), ("pre", "code"), ("div", "tail"), ("div", "end")]
+    assert got[4] == [("h1", "T")] and 5 not in got
+    free = T.clean_text(H.tag_text(H.document_body(H.drop_noise(F.col("html"))))).alias("free")
+    for r in pages.select("page_id", free, H.plain_text(F.col("html")).alias("text")).where("html is not null").collect():
+        assert r.text.replace("\n", " ") == r.free == " ".join(t for _, t in got[r.page_id])
+
+
+def test_given_pages_keep_all_their_text(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    free = T.clean_text(H.tag_text(H.document_body(H.drop_noise(F.col("html")))))
+    assert pages.where(F.replace(H.plain_text(F.col("html")), F.lit("\n"), F.lit(" ")) != free).count() == 0
+
+
+def test_markup_without_end_tags_takes_linear_time(spark):
+    pages = spark.createDataFrame([(1, "<div><p>w" * 50_000)], "page_id BIGINT, html STRING")
+    rows = L.block_table(pages, "page_id", "html").groupBy("tag").count().collect()
+    assert [(r.tag, r["count"]) for r in rows] == [("p", 50_000)]
+
+
+def test_anchors_without_end_tags(spark):
+    html = '<a href="/1">one <a href="/2">two</a> x <a name="n"><li>three <a href=/4><div>in a block</div></a>'
+    rows = L.link_inventory(spark.createDataFrame([(1, html), (2, None), (3, "no link")], "page_id BIGINT, html STRING"), "page_id", "html")
+    assert [(r.pos, r.href, r.label) for r in rows.orderBy("pos").collect()] == [
+        (1, "/1", "one"), (2, "/2", "two"), (3, "", ""), (4, "/4", "in a block"),
+    ]
