@@ -2,9 +2,10 @@
 
 Records are checked as VARIANT, before any projection to a fixed struct, because
 a typed read would silently drop unknown keys and null out wrong types. A record
-is parsed once; every known path becomes a value column and a type column, and
-all rules read those columns in one projection. Array items are exploded and
-checked the same way. Nothing is shuffled until a first violation is picked.
+is parsed once into an array of the values that rules speak of, items of lists with
+their place among them; each value carries the row of its rule table, and one set of
+tests reads both. The report explodes what it finds, the gate asks whether it found
+anything. Nothing is shuffled until a first violation is picked.
 """
 
 from __future__ import annotations
@@ -14,9 +15,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import RULES
 
-FIELDS = "rule STRING, path ARRAY<STRING>, json_path STRING, schema_path ARRAY<STRING>, message STRING"
-
-
 def _type(tag: Column) -> Column:
     """JSON type name of a VARIANT's schema text; whole-number decimals are integers, booleans are not."""
     return (
@@ -43,99 +41,172 @@ def _path(parts) -> str:
     return "$" + "".join(f".{p}" for p in parts)
 
 
-def _staged(df: DataFrame, nodes: list[tuple], value: str = "_v", tag: str = "") -> DataFrame:
-    """Add value, type and text columns per node, each computed once."""
-    get = {
-        f"{tag}v{i}": F.try_variant_get(F.col(value), _path(path), "variant") if path else F.col(value)
-        for i, (path, _, _) in enumerate(nodes)
-    }
-    tags = {f"{tag}g{i}": F.schema_of_variant(F.col(f"{tag}v{i}")) for i in range(len(nodes))}
-    kinds = {f"{tag}t{i}": _kind(F.col(f"{tag}v{i}"), F.col(f"{tag}g{i}"), spec) for i, (_, _, spec) in enumerate(nodes)}
-    texts = {
-        f"{tag}s{i}": F.when(
-            F.col(f"{tag}t{i}") == "string", F.concat(F.lit("'"), F.col(f"{tag}v{i}").cast("string"), F.lit("'"))
-        ).when(F.col(f"{tag}t{i}") != "object", F.to_json(F.col(f"{tag}v{i}")))
-        for i in range(len(nodes))
-    }
-    return df.withColumns(get).withColumns(tags).withColumns(kinds).withColumns(texts)
-
-
-def _tests(nodes: list[tuple], tag: str = "") -> list[tuple]:
-    """(rule, failing condition, message, path, schema path) over the staged columns."""
-    index = {path: i for i, (path, _, _) in enumerate(nodes)}
-    out = []
-    for i, (path, schema, spec) in enumerate(nodes):
-        value, kind, shown = (F.col(f"{tag}{x}{i}") for x in "vts")
-        is_text = kind == "string"
-        raw = F.substring(shown, F.lit(2), F.length(shown) - 2)  # text without its quotes
-
-        def add(rule, failing, message, key):
-            out.append((rule, kind.isNotNull() & failing, message, path, (*schema, key)))
-
-        types = spec.get("types")
-        if types:
-            named = ", ".join(f"'{t}'" for t in types)
-            printed = F.coalesce(shown, F.to_json(value))
-            add("type", ~kind.isin(types), F.concat(printed, F.lit(f" is not of type {named}")), "type")
-        if "const" in spec:
-            add("const", ~(is_text & (shown == f"'{spec['const']}'")), F.lit(f"'{spec['const']}' was expected"), "const")
-        if "enum" in spec:
-            allowed = [f"'{x}'" for x in spec["enum"]]
-            message = F.concat(F.coalesce(shown, F.to_json(value)), F.lit(f" is not one of [{', '.join(allowed)}]"))
-            add("enum", ~(is_text & shown.isin(allowed)), message, "enum")
-        if "min_length" in spec:
-            short = is_text & (F.char_length(shown) - 2 < spec["min_length"])
-            add("min_length", short, F.concat(shown, F.lit(" should be non-empty")), "minLength")
-        if "pattern" in spec:
-            message = F.concat(shown, F.lit(f" does not match '{spec['pattern']}'"))
-            add("pattern", is_text & ~raw.rlike(spec["pattern"]), message, "pattern")
-        if "minimum" in spec:
-            low = kind.isin("integer", "number") & (shown.try_cast("double") < spec["minimum"])
-            message = F.concat(shown, F.lit(f" is less than the minimum of {spec['minimum']}"))
-            add("minimum", F.coalesce(low, F.lit(False)), message, "minimum")
-        if spec.get("unique"):
-            listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda x: F.to_json(x))
-            repeats = (kind == "array") & (F.size(F.array_distinct(listed)) < F.size(listed))
-            add("unique", F.coalesce(repeats, F.lit(False)), F.concat(shown, F.lit(" has non-unique elements")), "uniqueItems")
-        if "fields" in spec:
-            for key in spec.get("required", []):
-                child = F.col(f"{tag}v{index[(*path, key)]}")
-                add("required", (kind == "object") & child.isNull(), F.lit(f"'{key}' is a required property"), "required")
-            if spec.get("closed"):
-                keys = F.map_keys(F.try_variant_get(value, "$", "map<string,variant>"))
-                extra = F.array_sort(F.array_except(keys, F.array(*[F.lit(k) for k in spec["fields"]])))
-                names = F.concat(F.lit("'"), F.array_join(extra, "', '"), F.lit("'"))
-                verb = F.when(F.size(extra) == 1, " was unexpected)").otherwise(" were unexpected)")
-                message = F.concat(F.lit("Additional properties are not allowed ("), names, verb)
-                add("extra_keys", (kind == "object") & (F.size(extra) > 0), message, "additionalProperties")
-    return out
-
-
 def _texts(parts) -> Column:
     return F.array(*[F.lit(p) for p in parts]).cast("array<string>")
 
 
-def _report(df: DataFrame, tests: list[tuple], path: Column, json_path: Column, carry: list[str]) -> DataFrame:
-    """One row per failing test; paths are taken relative to the given ones."""
-    found = [
-        F.when(
-            failing,
+def rule_table(schema: str) -> tuple[Column, list[tuple], list[tuple]]:
+    """The rules of a schema as an array of structs, one for each place of a record, and where the places are.
+
+    A place is a path of the record, or a path of the items of one of its lists: (number, path) and
+    (list path, [(number, path in an item)]).
+    """
+    rules: list[Column] = []
+    places, lists = [], []
+
+    def rule(head: tuple, tail: tuple | None, schema_path: tuple, spec: dict) -> int:
+        options = lambda values: _texts(values) if values is not None else F.lit(None).cast("array<string>")
+        types, allowed = spec.get("types"), spec.get("enum")
+        rules.append(
             F.struct(
-                F.lit(rule).alias("rule"),
-                F.concat(path, _texts(tail)).alias("path"),
-                F.concat(json_path, F.lit(_path(tail)[1:])).alias("json_path"),
-                _texts(schema).alias("schema_path"),
-                message.alias("message"),
-            ),
+                options(types).alias("types"),
+                F.lit(", ".join(f"'{t}'" for t in types or [])).alias("types_text"),
+                F.lit(spec.get("const")).cast("string").alias("const"),
+                options(allowed).alias("allowed"),
+                F.lit(", ".join(f"'{x}'" for x in allowed or [])).alias("allowed_text"),
+                F.lit(spec.get("min_length")).cast("int").alias("min_length"),
+                F.lit(spec.get("pattern")).cast("string").alias("pattern"),
+                F.lit(spec.get("minimum")).cast("double").alias("minimum"),
+                F.lit(bool(spec.get("unique"))).alias("distinct_items"),
+                options(spec.get("required", []) if "fields" in spec else []).alias("required"),
+                options(list(spec["fields"]) if spec.get("closed") else None).alias("known"),
+                _texts(head).alias("head"),
+                _texts(tail or ()).alias("tail"),
+                F.lit(_path(head)).alias("head_text"),
+                F.lit(_path(tail or ())[1:]).alias("tail_text"),
+                _texts(schema_path).alias("schema_path"),
+            )
         )
-        for rule, failing, message, tail, schema in tests
+        return len(rules) - 1
+
+    for path, schema_path, spec in _nodes(RULES[schema]):
+        places.append((rule(path, None, schema_path, spec), path))
+        if "items" in spec:
+            below = _nodes(spec["items"], (), (*schema_path, "items"))
+            lists.append((path, [(rule(path, tail, found, item), tail) for tail, found, item in below]))
+    return F.array(*rules), places, lists
+
+
+def _values(record: Column, places: list[tuple], lists: list[tuple]) -> Column:
+    """Every value of a record that a rule speaks of: (number of the rule, place in its list or null, value)."""
+
+    def at(number: int, place: Column, value: Column) -> Column:
+        return F.struct(F.lit(number).alias("at"), place.cast("int").alias("place"), value.alias("value"))
+
+    def inside(value: Column, path: tuple) -> Column:
+        return F.try_variant_get(value, _path(path), "variant") if path else value
+
+    def of_items(items: list[tuple]):
+        return lambda x, i: F.array(*[at(n, i, inside(x, tail)) for n, tail in items])
+
+    found = [F.array(*[at(n, F.lit(None), inside(record, path)) for n, path in places])]
+    for path, items in lists:
+        each = F.transform(F.try_variant_get(record, _path(path), "array<variant>"), of_items(items))
+        found.append(F.coalesce(F.flatten(each), F.array().cast("array<struct<at:int,place:int,value:variant>>")))
+    return F.filter(F.concat(*found), lambda x: x["value"].isNotNull())
+
+
+def _ruled(rules: Column):
+    """Give a value the row of its rule."""
+    return lambda x: F.struct(F.get(rules, x["at"]).alias("rule"), x["place"].alias("place"), x["value"].alias("value"))
+
+
+def _typed(x: Column) -> Column:
+    """Add the JSON type of a value; a number without fraction is an integer where the rule asks for one."""
+    kind = _type(F.schema_of_variant(x["value"]))
+    number = F.try_variant_get(x["value"], "$", "double")
+    whole = (kind == "number") & F.array_contains(x["rule"]["types"], "integer") & (number == F.floor(number))
+    return F.struct(x["rule"].alias("rule"), x["place"].alias("place"), x["value"].alias("value"), F.when(whole, F.lit("integer")).otherwise(kind).alias("kind"))
+
+
+def _shown(x: Column) -> Column:
+    """Add the text of a value, and its keys where the rules name any."""
+    asked = (x["kind"] == "object") & (x["rule"]["known"].isNotNull() | (F.size(x["rule"]["required"]) > 0))
+    return F.struct(
+        x["rule"].alias("rule"), x["place"].alias("place"), x["value"].alias("value"), x["kind"].alias("kind"),
+        F.when(x["kind"] == "string", x["value"].cast("string")).alias("raw"),
+        F.when((x["kind"] != "object") & (x["kind"] != "string"), F.to_json(x["value"])).alias("json"),
+        F.when(asked, F.map_keys(F.try_variant_get(x["value"], "$", "map<string,variant>"))).alias("keys"),
+    )
+
+
+def _broken(x: Column, patterns: list[str]) -> Column:
+    """The rules that one value breaks: array of (rule, path, json_path, schema_path, message)."""
+    rule, kind, raw = x["rule"], x["kind"], x["raw"]
+    shown = F.coalesce(F.concat(F.lit("'"), raw, F.lit("'")), x["json"], F.to_json(x["value"]))
+    inside = x["place"].isNotNull()
+    path = F.when(inside, F.concat(rule["head"], F.array(x["place"].cast("string")), rule["tail"])).otherwise(rule["head"])
+    text = F.when(inside, F.concat(rule["head_text"], F.lit("["), x["place"].cast("string"), F.lit("]"), rule["tail_text"])).otherwise(rule["head_text"])
+
+    def found(name: str, message: Column, key: str) -> Column:
+        return F.struct(
+            F.lit(name).alias("rule"), path.alias("path"), text.alias("json_path"),
+            F.concat(rule["schema_path"], F.array(F.lit(key))).alias("schema_path"), message.alias("message"),
+        )
+
+    def test(name: str, failing: Column, message: Column, key: str) -> Column:
+        return F.when(F.coalesce(failing, F.lit(False)), found(name, message, key))
+
+    matched = F.lit(True)
+    for pattern in patterns:  # a pattern is compiled once only when it is a literal
+        matched = F.when(rule["pattern"] == pattern, raw.rlike(pattern)).otherwise(matched)
+    number = F.try_variant_get(x["value"], "$", "double")
+    listed = F.transform(F.try_variant_get(x["value"], "$", "array<variant>"), lambda i: F.to_json(i))
+    extra = F.array_sort(F.array_except(x["keys"], rule["known"]))
+    verb = F.when(F.size(extra) == 1, " was unexpected)").otherwise(" were unexpected)")
+    names = F.concat(F.lit("Additional properties are not allowed ('"), F.array_join(extra, "', '"), F.lit("'"), verb)
+    ends = lambda words, more=F.lit(""): F.concat(shown, F.lit(words), more)
+    tests = [
+        test("type", rule["types"].isNotNull() & ~F.array_contains(rule["types"], kind), ends(" is not of type ", rule["types_text"]), "type"),
+        test("const", rule["const"].isNotNull() & ~raw.eqNullSafe(rule["const"]), F.concat(F.lit("'"), rule["const"], F.lit("' was expected")), "const"),
+        test("enum", rule["allowed"].isNotNull() & ~F.coalesce(F.array_contains(rule["allowed"], raw), F.lit(False)), ends(" is not one of [", F.concat(rule["allowed_text"], F.lit("]"))), "enum"),
+        test("min_length", F.char_length(raw) < rule["min_length"], ends(" should be non-empty"), "minLength"),
+        test("pattern", ~matched, ends(" does not match '", F.concat(rule["pattern"], F.lit("'"))), "pattern"),
+        test("minimum", kind.isin("integer", "number") & (number < rule["minimum"]), ends(" is less than the minimum of ", _number(rule["minimum"])), "minimum"),
+        test("unique", rule["distinct_items"] & (kind == "array") & (F.size(F.array_distinct(listed)) < F.size(listed)), ends(" has non-unique elements"), "uniqueItems"),
+        test("extra_keys", rule["known"].isNotNull() & (F.size(extra) > 0), names, "additionalProperties"),
     ]
-    rows = df.select(*carry, F.explode_outer(F.array_compact(F.array(*found))).alias("_x"))
-    return rows.filter("_x IS NOT NULL").select(*carry, "_x.*")
+    missing = F.when(kind == "object", F.array_except(rule["required"], x["keys"]))
+    absent = F.transform(missing, lambda k: found("required", F.concat(F.lit("'"), k, F.lit("' is a required property")), "required"))
+    return F.concat(F.array_compact(F.array(*tests)), F.coalesce(absent, F.array().cast(FOUND)))
+
+
+def _number(c: Column) -> Column:
+    """A limit as it is written in the rules: whole numbers without a fraction."""
+    return F.when(c == F.floor(c), F.floor(c).cast("string")).otherwise(c.cast("string"))
+
+
+FOUND = "array<struct<rule:string,path:array<string>,json_path:string,schema_path:array<string>,message:string>>"
+
+
+def checked(df: DataFrame, schema: str, json: str = "json") -> DataFrame:
+    """``df`` with ``_record`` (VARIANT) and ``_broken``: all rules that a JSON record breaks, in one pass, without a shuffle.
 
+    Unparsable text (or a repeated key) breaks ``malformed_json``. A record is valid when the array is empty:
+    the gate and the report read this one column.
+    """
+    rules, places, lists = rule_table(schema)
+    patterns = sorted(_patterns(RULES[schema]))
+    parsed = df.withColumn("_record", F.try_parse_json(F.col(json)))
+    # A one-element explode keeps the steps apart: collapsed into one expression they would run again for each use.
+    values = F.transform(_values(F.col("_record"), places, lists), _ruled(rules))
+    values = F.transform(F.transform(values, _typed), _shown)
+    broken = F.flatten(F.transform(values, lambda x: _broken(x, patterns)))
+    malformed = F.array(
+        F.struct(
+            F.lit("malformed_json").alias("rule"), _texts([]).alias("path"), F.lit("$").alias("json_path"),
+            _texts([]).alias("schema_path"), F.lit("expected a JSON object").alias("message"),
+        )
+    )
+    once = F.explode(F.array(F.when(F.col("_record").isNull(), malformed).otherwise(broken))).alias("_broken")
+    return parsed.select("*", once)
 
-def _item_lists(nodes: list[tuple]) -> list[tuple]:
-    return [(path, schema, spec["items"]) for path, schema, spec in nodes if "items" in spec]
+
+def _patterns(spec: dict) -> set[str]:
+    own = {spec["pattern"]} if "pattern" in spec else set()
+    for child in [*spec.get("fields", {}).values(), *([spec["items"]] if "items" in spec else [])]:
+        own |= _patterns(child)
+    return own
 
 
 def violations(
@@ -147,32 +218,10 @@ def violations(
     object without an id is reported under ``<unknown>``. ``key`` names a column of
     ``df`` that tells records apart, whatever their ids; it is carried along.
     """
-    carry = ["object_id"] if key is None else ["object_id", key]
-    parsed = df.select(F.try_parse_json(F.col(json)).alias("_v"), *carry[1:])
-    parsed = parsed.withColumn("object_id", F.coalesce(F.try_variant_get("_v", "$.id", "string"), F.lit("<unknown>")))
-    nodes = _nodes(RULES[schema])
-    root = _texts([])
-    tests = _tests(nodes)
-    tests.append(("malformed_json", F.col("_v").isNull(), F.lit("expected a JSON object"), (), ()))
-    found = _report(_staged(parsed, nodes), tests, root, F.lit("$"), carry)
-    for path, schema_path, item in _item_lists(nodes):
-        # Items of one array: their place becomes part of the path.
-        items = parsed.select(
-            *carry,
-            F.posexplode_outer(F.try_variant_get("_v", _path(path), "array<variant>")).alias("_i", "_v"),
-        ).filter("_i IS NOT NULL")
-        below = _nodes(item, (), (*schema_path, "items"))
-        place = F.col("_i").cast("string")
-        found = found.unionByName(
-            _report(
-                _staged(items, below),
-                _tests(below),
-                F.concat(_texts(path), F.array(place)),
-                F.concat(F.lit(_path(path) + "["), place, F.lit("]")),
-                carry,
-            )
-        )
-    found = found.withColumn("schema_name", F.lit(schema))
+    carry = [] if key is None else [key]
+    name = F.coalesce(F.try_variant_get("_record", "$.id", "string"), F.lit("<unknown>"))
+    rows = checked(df.select(json, *carry), schema, json).select(name.alias("object_id"), *carry, F.explode("_broken").alias("_x"))
+    found = rows.select("object_id", *carry, "_x.*", F.lit(schema).alias("schema_name"))
     return found if rules is None else found.filter(F.col("rule").isin(rules))
 
 
@@ -187,64 +236,9 @@ def first_violations(found: DataFrame, key: str = "object_id") -> DataFrame:
     return first.select(*names)
 
 
-def _kind(value: Column, tag: Column, spec: dict) -> Column:
-    """JSON type of a value; a number without fraction is an integer where the rule asks for one."""
-    kind = _type(tag)
-    if "integer" not in spec.get("types", []):
-        return kind
-    number = F.try_variant_get(value, "$", "double")
-    return F.when((kind == "number") & (number == F.floor(number)), F.lit("integer")).otherwise(kind)
-
-
-def _value_ok(value: Column, spec: dict) -> Column:
-    """Condition that a value meets every rule of its spec, as the report would find."""
-    kind = _kind(value, F.schema_of_variant(value), spec)
-    text = value.try_cast("string")
-    is_text, is_object = kind == "string", kind == "object"
-    rules = []
-    if spec.get("types"):
-        rules.append(kind.isin(spec["types"]))
-    if "const" in spec:
-        rules.append(is_text & (text == spec["const"]))
-    if "enum" in spec:
-        rules.append(is_text & text.isin(spec["enum"]))
-    if "min_length" in spec:
-        rules.append(~is_text | (F.char_length(text) >= spec["min_length"]))
-    if "pattern" in spec:
-        rules.append(~is_text | text.rlike(spec["pattern"]))
-    if "minimum" in spec:
-        rules.append(~kind.isin("integer", "number") | (F.try_variant_get(value, "$", "double") >= spec["minimum"]))
-    for key, child in spec.get("fields", {}).items():
-        inner = F.try_variant_get(value, f"$.{key}", "variant")
-        if key in spec.get("required", []):
-            rules.append(~is_object | inner.isNotNull())
-        rules.append(inner.isNull() | _value_ok(inner, child))
-    if spec.get("closed"):
-        allowed = F.array(*[F.lit(k) for k in spec["fields"]])
-        rules.append(~is_object | (F.size(F.array_except(F.json_object_keys(F.to_json(value)), allowed)) == 0))
-    ok = F.lit(True)
-    for rule in rules:
-        ok = ok & F.coalesce(rule, F.lit(False))
-    return ok
-
-
-def _item_test(spec: dict):
-    return lambda x: _value_ok(x, spec)
-
-
 def flagged(df: DataFrame, schema: str, json: str = "json") -> DataFrame:
-    """Input rows with a boolean ``is_valid`` column, in one pass without a shuffle."""
-    nodes = _nodes(RULES[schema])
-    staged = _staged(df.withColumn("_v", F.try_parse_json(F.col(json))), nodes)
-    ok = F.col("_v").isNotNull()
-    for _, failing, *_ in _tests(nodes):
-        ok = ok & ~failing
-    for path, _, item in _item_lists(nodes):
-        listed = F.try_variant_get("_v", _path(path), "array<variant>")
-        ok = ok & F.coalesce(F.forall(listed, _item_test(item)), F.lit(True))
-    # A one-element explode keeps a later filter from being pushed below the staged
-    # columns, which would expand every rule into one huge condition.
-    return staged.select(*df.columns, F.explode(F.array(ok)).alias("is_valid"))
+    """Input rows with a boolean ``is_valid`` column: no rule is broken."""
+    return checked(df, schema, json).select(*df.columns, (F.size("_broken") == 0).alias("is_valid"))
 
 
 def split_valid(df: DataFrame, schema: str, json: str = "json") -> tuple[DataFrame, DataFrame]:
