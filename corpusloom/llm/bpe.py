@@ -302,39 +302,64 @@ def text_parts(column: pa.Array, limit: int = SLICE):
         yield first, texts
 
 
+def encoded_batches(batches, vocabulary: bytes, unlike: str, text: str, column: str):
+    """Batches without their text and with the ids of it as the last column."""
+    bpe = rank_bpe(vocabulary)
+    bpe.unlike = re.compile(unlike)
+    for batch in batches:
+        keep = [c for c in batch.schema.names if c != text]
+        for first, texts in text_parts(batch.column(batch.schema.get_field_index(text))):
+            ids, bounds = bpe.encode(texts)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+            yield tx.with_columns(batch.slice(first, len(texts)), keep, {column: lists})
+
+
+def decoded_batches(batches, vocabulary: bytes, column: str, text: str):
+    """Batches with the text that their ids stand for as the last column."""
+    bpe = rank_bpe(vocabulary)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            lists = part.column(part.schema.get_field_index(column))
+            texts = [bpe.decode(v.values.to_numpy()).decode() if v.is_valid else "" for v in lists]
+            yield tx.with_columns(part, part.schema.names, {text: pa.array(texts, pa.string())})
+
+
 def encode(docs: DataFrame, vocabulary: bytes, column: str = "ids", text: str = "text") -> DataFrame:
     """``docs`` without its text and with an array of token ids, which replaces a column of that name."""
     docs = docs.drop(column)
     unlike = unlike_characters()
-    keep = [c for c in docs.columns if c != text]
     schema = T.StructType([f for f in docs.schema.fields if f.name != text] + [T.StructField(column, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        bpe = rank_bpe(vocabulary)
-        bpe.unlike = re.compile(unlike)
-        for batch in batches:
-            for first, texts in text_parts(batch.column(batch.schema.get_field_index(text))):
-                ids, bounds = bpe.encode(texts)
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
-                yield tx.with_columns(batch.slice(first, len(texts)), keep, {column: lists})
-        bpe.forget()  # the worker may go on with other work
+        return encoded_batches(batches, vocabulary, unlike, text, column)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tx.frugal(run, rank_bpe), schema)
 
 
 def decode(encoded: DataFrame, vocabulary: bytes, column: str = "ids", text: str = "text") -> DataFrame:
     """Add the text that the ids stand for, replacing a column of that name; null ids give an empty text."""
     encoded = encoded.drop(text)
-    keep = encoded.columns
     schema = T.StructType([*encoded.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches):
-        bpe = rank_bpe(vocabulary)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                lists = part.column(part.schema.get_field_index(column))
-                texts = [bpe.decode(v.values.to_numpy()).decode() if v.is_valid else "" for v in lists]
-                yield tx.with_columns(part, keep, {text: pa.array(texts)})
-
-    return encoded.mapInArrow(run, schema)
+        return decoded_batches(batches, vocabulary, column, text)
+
+    return encoded.mapInArrow(tx.frugal(run, rank_bpe), schema)
+
+
+def round_trip(docs: DataFrame, vocabulary: bytes, summary=None, schema=None, column: str = "ids", text: str = "text") -> DataFrame:
+    """:func:`encode` and :func:`decode` in one pass of one worker: ``docs`` with ids, and the decoded text in its text.
+
+    ``summary`` may turn the batches into others, of ``schema``, before they leave the worker.
+    """
+    docs = docs.drop(column)
+    unlike = unlike_characters()
+    fields = [f for f in docs.schema.fields if f.name != text]
+    coded = T.StructType([*fields, T.StructField(column, T.ArrayType(T.IntegerType())), T.StructField(text, T.StringType())])
+
+    def run(batches):
+        both = decoded_batches(encoded_batches(batches, vocabulary, unlike, text, column), vocabulary, column, text)
+        return summary(both) if summary else both
+
+    return docs.mapInArrow(tx.frugal(run, rank_bpe), schema or coded)

@@ -253,7 +253,7 @@ def search_block(docs: DataFrame, block: ItemBlock, text: str, names: tuple[str,
                 columns = [both if c == matches else batch.column(i) for i, c in enumerate(keep)]
                 yield pa.RecordBatch.from_arrays(columns, names=keep)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tx.frugal(run), schema)
 
 
 def item_blocks(benchmark: DataFrame, window: int, block_words: int):
@@ -317,7 +317,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BL
                         names=["item_id", "word", "length", "doc_id", "start"],
                     )
 
-        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tx.frugal(run), schema)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("length", (-F.coalesce("doc_id", F.lit(0))).alias("d"), (-F.col("start")).alias("s"), "doc_id", "start"))
     return found.groupBy("item_id", "word").agg(best.alias("b")).select("item_id", "word", "b.length", "b.doc_id", "b.start")

@@ -253,7 +253,7 @@ def train(docs: DataFrame, learn, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_C
         yield pa.RecordBatch.from_arrays([pa.array([fit(texts, labels).to_bytes()], pa.binary())], names=["model"])
 
     together = sample.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "lang")
-    blob = together.mapInArrow(run, "model binary").first()
+    blob = together.mapInArrow(tx.frugal(run), "model binary").first()
     return Crf.from_bytes(blob[0]) if blob else NO_MODEL
 
 
@@ -317,7 +317,7 @@ def label_words(docs: DataFrame, crf: Crf) -> DataFrame:
                 kind = pa.list_(pa.struct([("word", pa.string()), ("lang", pa.string()), ("probability", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, stop - first), pa.array(lists, kind)], names=["doc_id", "words"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tx.frugal(run), schema)
 
 
 def predict(docs: DataFrame, crf: Crf, lang: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -345,4 +345,4 @@ def predict(docs: DataFrame, crf: Crf, lang: str = "lang_pred", score: str = "sc
                 new = {lang: pa.array([names[k] for k in best.tolist()]), score: pa.array(np.clip(share, 0, 1))}
                 yield tx.with_columns(batch.slice(first, n), keep, new)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tx.frugal(run), schema)

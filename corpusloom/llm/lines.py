@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from . import text as tx
 from .columns import free_name
 from .cuckoo import CuckooFilter
 
@@ -72,7 +73,7 @@ def postings_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 )
 
     source = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    return source.mapInArrow(run, "low long, high long, doc_id long")
+    return source.mapInArrow(tx.frugal(run), "low long, high long, doc_id long")
 
 
 def counted(postings: DataFrame) -> DataFrame:
@@ -243,7 +244,7 @@ def drop_repeated(docs: DataFrame, index: LineIndex, min_chars: int = MIN_CHARS)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines), pa.array(n_dropped)], names=schema.names)
 
     joined = docs.join(drops, F.col("doc_id").cast("long") == F.col(drop_id), "left")
-    return joined.select(*keep, low_name, high_name).mapInArrow(run, schema)
+    return joined.select(*keep, low_name, high_name).mapInArrow(tx.frugal(run), schema)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, inserts: int = INSERTS) -> DataFrame:

@@ -106,7 +106,7 @@ def profiles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, c1 long, c2 long")
+    return rows.mapInArrow(tx.frugal(run), "doc_id long, n_shingles long, c1 long, c2 long")
 
 
 def sequence_hash(words: np.ndarray, bounds: np.ndarray, salt: int) -> np.ndarray:
@@ -127,7 +127,7 @@ def sketches(docs: DataFrame, size: int, hashes: int) -> DataFrame:
                     [batch.column(0).slice(first, stop - first), pa.array(made, pa.binary())], names=["doc_id", "signature"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, signature binary")
+    return docs.select("doc_id", "text").mapInArrow(tx.frugal(run), "doc_id long, signature binary")
 
 
 def band_hashes(signs: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -151,7 +151,7 @@ def band_rows(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(band.ravel()))], names=["doc_id", "bands"]
             )
 
-    return sketches(docs, size, bands * rows).mapInArrow(run, "doc_id long, bands array<long>")
+    return sketches(docs, size, bands * rows).mapInArrow(tx.frugal(run), "doc_id long, bands array<long>")
 
 
 def keep_table(hashes: int, batch: int, threshold: float, miss: float) -> list[int]:
@@ -297,7 +297,7 @@ def walk_groups(dealt: DataFrame, last: str, decide) -> DataFrame:
             yield emit(held)
 
     dealt = dealt.select(*COLUMNS, last).repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    return dealt.mapInArrow(run, "a long, b long, bucket long").distinct()
+    return dealt.mapInArrow(tx.frugal(run), "a long, b long, bucket long").distinct()
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -312,7 +312,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
                     [batch.column(0).slice(first, stop - first), pa.array(blobs, pa.binary())], names=["doc_id", "shingles"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(tx.frugal(run), "doc_id long, shingles binary")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:

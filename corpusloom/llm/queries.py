@@ -106,23 +106,19 @@ def op2_minhash_bayes_near_duplicates(table):
     return neardup.near_duplicates(table("documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def bpe_digest(encoded: DataFrame, vocabulary: bytes) -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 next to the id columns of encoded documents."""
-    decoded = bpe.decode(encoded, vocabulary, text="decoded")
+def bpe_digest(docs: DataFrame, vocabulary: bytes) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of documents, from their ids and decoded texts."""
+    sha = lambda data: hashlib.sha256(data).hexdigest()
 
-    def run(batches):
+    def summary(batches):
         for batch in batches:
-            lists = batch.column(1)
-            digests = [hashlib.sha256(v.values.to_numpy().astype("<u4").data).hexdigest() for v in lists]
-            lengths = pa.array([len(v.values) for v in lists], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lengths, pa.array(digests), batch.column(2)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            doc_id, lists, texts = (batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "ids", "text"))
+            digests = [sha(v.values.to_numpy().astype("<u4").data) for v in lists]
+            columns = [doc_id, pa.array([len(v.values) for v in lists], pa.int64()), pa.array(digests), pa.array([sha(t.as_buffer()) for t in texts])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return decoded.select("doc_id", "ids", F.sha2("decoded", 256).alias("decoded_sha256")).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return bpe.round_trip(rows, vocabulary, summary, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 WORD_BPE = "word_bpe_49k.json"
@@ -132,7 +128,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 @query()
 def op5_rank_array_bpe(table):
     vocabulary = bpe.read_vocabulary(public_tokenizers.path(WORD_BPE))
-    return bpe_digest(bpe.encode(table("documents").select("doc_id", "text"), vocabulary), vocabulary)
+    return bpe_digest(table("documents"), vocabulary)
 
 
 @query()

@@ -6,7 +6,10 @@ one longest text, which is never cut).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,6 +120,31 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     return span_hashes(low, starts, ends), starts, ends, np.searchsorted(starts, offsets)
 
 
+def release() -> None:
+    """Give memory back that Python, Arrow and the C library hold for later use."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frugal(run, *caches):
+    """``run`` over batches; a worker that has ended its partition holds no more than before, as many workers may wait.
+
+    ``caches`` are emptied at the end too.
+    """
+
+    def bounded(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for cache in caches:
+                cache.cache_clear()
+            release()
+
+    return bounded
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated ``range(start, start + length)`` of every pair."""
     total = int(lengths.sum())

@@ -131,7 +131,7 @@ def train(sample: DataFrame, terms: dict[str, list[str]] = IDENTITY_TERMS, fairn
         yield pa.RecordBatch.from_arrays([pa.array([out.getvalue()], pa.binary())], names=["model"])
 
     rows = sample.repartition(1).sortWithinPartitions("doc_id").select("text", F.col("toxic").cast("int"))
-    blob = rows.mapInArrow(run, "model binary").first()
+    blob = rows.mapInArrow(tx.frugal(run), "model binary").first()
     if blob is None:  # no labelled row at all
         return np.zeros(1 << BITS), -40.0
     model = np.load(io.BytesIO(blob[0]))
@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, score double, predicted int")
+    return rows.mapInArrow(tx.frugal(run), "doc_id long, score double, predicted int")
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, learn, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> DataFrame:
