@@ -27,7 +27,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; a line found in several stays only in the smallest of them."""
+    """All documents; a line found in several stays only in the smallest of them.
+
+    Null texts become empty; rows without doc_id keep their lines and count for none; repeated rows stay.
+    """
     prepare(spark)
     kept = lines.dedup_lines(docs)
     if "n_chars" in docs.columns:
@@ -46,16 +49,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of any benchmark item."""
+    """Documents without a passage of any benchmark item; null and empty texts have none and stay, repeated rows too."""
     prepare(spark)
     return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def token_digests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row; a null text counts as empty."""
     prepare(spark)
     vocabulary = bpe.read_vocabulary(public_tokenizers.path(WORD_BPE))
-    return bpe_digest(bpe.encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
+    return bpe_digest(docs, vocabulary)
 
 
 STAGES = [
