@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,33 +36,37 @@ def merge_root(listing: DataFrame, root: DataFrame, key: str = "id") -> DataFram
 def tree_scope(pages: DataFrame, root_id: str) -> DataFrame:
     """Pages whose parent chain reaches the root, with depth and folded title lineage.
 
-    Walks down level by level: a level is one join of the pages with the previous
-    level, so a broken chain or a cycle apart from the root is never reached, and
-    leaving the root out of the children ends a cycle through it. The frontier is
-    written out per level; the adaptive join broadcasts it while it is small and
-    splits a parent that holds a large share of all pages.
+    Pointer doubling: every page knows an ancestor 1, 2, 4, ... steps up and the titles on the way; a round joins
+    the pages with themselves, so the number of rounds is the logarithm of the depth. A page whose chain is broken
+    finds no ancestor and leaves; a cycle apart from the root never ends, so it is given up once the steps are more
+    than there are pages. Of a repeated id the row with the
+    last parent and title counts.
     """
-    nodes = materialize(
-        pages.select("id", "parent_id", T.fold(F.coalesce("title", F.lit(""))).alias("_folded"))
-        .filter((F.col("id") != root_id) & (F.coalesce("parent_id", F.lit("")) != ""))
-    )
-    level = materialize(
-        pages.filter(F.col("id") == root_id).select(
-            "id", F.lit(0).alias("depth"), F.array().cast("array<string>").alias("lineage")
-        )
+    named = pages.select("id", "parent_id", T.fold(F.coalesce("title", F.lit(""))).alias("title"))
+    # A present parent comes after a missing one.
+    last = F.max(F.struct(F.coalesce("parent_id", F.lit("")).alias("up"), "title")).alias("_x")
+    rows = named.where("id is not null").groupBy("id").agg(last)
+    parent, title = F.col("_x.up"), F.col("_x.title")
+    root = F.col("id") == root_id
+    nodes = rows.select(
+        "id", F.when(root, F.lit("")).otherwise(parent).alias("up"), F.when(root, 0).otherwise(1).alias("steps"),
+        F.when(root, F.array().cast("array<string>")).otherwise(F.array(title)).alias("lineage"),
     )
-    levels = []
-    while not level.isEmpty():
-        levels.append(level)
-        above = level.select(F.col("id").alias("parent_id"), "depth", "lineage")
-        level = materialize(
-            nodes.join(above, "parent_id").select(
-                "id",
-                (F.col("depth") + 1).alias("depth"),
-                F.array_append("lineage", F.col("_folded")).alias("lineage"),
-            )
+    state = materialize(nodes.where(~root & (F.col("up") != "")))
+    total, reach, arrived = state.count(), 1, F.col("up") == root_id
+    while reach <= total:  # beyond that, what is left goes round in a cycle
+        todo = state.where(~arrived)
+        if todo.isEmpty():
+            break
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("steps").alias("_steps"), F.col("lineage").alias("_lineage"))
+        # The ancestor's own titles come first; a chain that ends elsewhere finds no ancestor.
+        moved = todo.join(above, "up").select(
+            "id", F.col("_up").alias("up"), (F.col("steps") + F.col("_steps")).alias("steps"), F.concat("_lineage", "lineage").alias("lineage")
         )
-    return reduce(DataFrame.unionByName, levels or [level])
+        state = materialize(state.where(arrived).unionByName(moved))
+        reach *= 2
+    reached = nodes.where(root).unionByName(state.where(arrived))
+    return reached.select("id", F.col("steps").alias("depth"), "lineage")
 
 
 TREE_ORDER = ["depth", "lineage", "position", "id"]

@@ -100,8 +100,14 @@ def crawl_report(results: DataFrame) -> DataFrame:
     ).withColumn("successful", F.col("failure_count") == 0)
 
 
+def optional(df: DataFrame, name: str, kind: str = "string") -> Column:
+    """A column, or null where the source does not deliver it."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(kind)
+
+
 def package_assets(attachments: DataFrame, connector: str) -> DataFrame:
-    """Canonical asset records of the available attachments, with fallbacks."""
+    """Canonical asset records of the available attachments, with fallbacks; version and comment are extensions."""
+    more = F.struct(optional(attachments, "version", "bigint").alias("version"), optional(attachments, "comment").alias("comment"))
     usable = attachments.filter("status = 'available'")
     local = F.col("local_path")
     return usable.select(
@@ -117,6 +123,7 @@ def package_assets(attachments: DataFrame, connector: str) -> DataFrame:
             F.col("page_id").alias("container_external_id"), F.coalesce("url", F.lit("")).alias("url"),
         ).alias("source"),
         F.lit("available").alias("status"),
+        F.struct(more.alias(connector)).alias("extensions"),
     )
 
 
@@ -124,11 +131,16 @@ def package_knowledge(pages: DataFrame, connector: str, ingested_at: str) -> Dat
     """Canonical article records of mirrored pages.
 
     ``pages``: id, title, status, body (converted), source_body, warnings, url,
-    space, parent_id, revision, created_at, updated_at. Assets and relationships
+    space, parent_id, revision, created_at, updated_at; author_id, owner_id and position if known. Assets and relationships
     stay in their edge tables, because one page may own a large share of them;
     :func:`member_rows` puts them in order for export.
     """
     title = F.coalesce("title", F.lit(""))
+    kept = F.struct(
+        optional(pages, "author_id").alias("author_id"), optional(pages, "owner_id").alias("owner_id"),
+        optional(pages, "position", "bigint").alias("position"), F.col("status").alias("source_status"),
+        F.lit("storage").alias("body_representation"), F.col("warnings").alias("transform_warnings"),
+    )
     return pages.select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         T.stable_id(connector, F.col("id")).alias("id"),
@@ -148,10 +160,16 @@ def package_knowledge(pages: DataFrame, connector: str, ingested_at: str) -> Dat
         F.struct(
             T.sha256_text(F.col("source_body")).alias("source"), T.sha256_text(F.col("body")).alias("content")
         ).alias("checksums"),
-        F.struct(F.struct(F.col("warnings").alias("transform_warnings")).alias(connector)).alias("extensions"),
+        no_taxonomy().alias("taxonomy"),
+        F.struct(kept.alias(connector)).alias("extensions"),
     )
 
 
+def no_taxonomy() -> Column:
+    """Tags, products and audiences: the source knows none."""
+    return F.struct(*(F.array().cast("array<string>").alias(n) for n in ("tags", "products", "audiences")))
+
+
 def package_inventory(rows: DataFrame, connector: str, ingested_at: str) -> DataFrame:
     """Canonical records from the inventory alone: empty body, no checksums, url or space."""
     key, title = T.strip(F.col("Page ID")), T.strip(F.col("Title"))
@@ -171,6 +189,8 @@ def package_inventory(rows: DataFrame, connector: str, ingested_at: str) -> Data
             T.iso_text(F.col("Created")).alias("created_at"), T.iso_text(F.col("Updated")).alias("updated_at"),
             F.lit(ingested_at).alias("ingested_at"),
         ).alias("timestamps"),
+        no_taxonomy().alias("taxonomy"),
+        F.struct(F.struct(F.col("Status").alias("source_status")).alias(connector)).alias("extensions"),
     )
 
 
@@ -223,6 +243,25 @@ def manifest_entries(articles: DataFrame, assets: DataFrame) -> DataFrame:
     )
 
 
+def manifest_parts(entries: DataFrame, failures: DataFrame, header: dict, size: int = 10_000) -> DataFrame:
+    """The manifest as records of at most ``size`` ids or failures each: part, json.
+
+    Every part repeats the header, with the counts of the whole, and meets the manifest's own rules; a manifest that
+    fits has one part. ``entries``: kind, id (:func:`manifest_entries`); ``failures``: page_id, attachment_id, message, type.
+    """
+    failed = F.struct("page_id", "attachment_id", "message", "type").alias("failure")
+    rows = entries.select("kind", "id", F.lit(None).cast("struct<page_id:string,attachment_id:string,message:string,type:string>").alias("failure"))
+    rows = rows.unionByName(failures.select(F.lit("zfailure").alias("kind"), F.concat_ws(" ", "page_id", "attachment_id", "message").alias("id"), failed))
+    part = F.floor((F.col("number") - 1) / size).cast("bigint").alias("part")
+    lists = numbered(rows, ["kind", "id"], out="number").groupBy(part).agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "object", F.col("id")))).alias("objects"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "asset", F.col("id")))).alias("assets"),
+        F.collect_list("failure").alias("failures"),
+    )
+    fixed = [F.lit(value).alias(name) for name, value in header.items()]
+    return lists.select("part", F.to_json(F.struct(*fixed, "objects", "assets", "failures")).alias("json"))
+
+
 def embed_images(refs: DataFrame, files: DataFrame) -> DataFrame:
     """Image references (id, src) become data addresses; data: is kept, a missing file gives null."""
     blobs = files.select("src", "content")

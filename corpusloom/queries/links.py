@@ -112,13 +112,15 @@ def image_names(v):
 
 
 TOTALS_SQL = f"""{S.ANCHORS}, imgs AS (SELECT a.page_id, a.pos, regexp_extract(a.url, '^([a-z]+://[^/]+)', 1) || a.href || '.png' AS image_url, coalesce(f.http_status = 200, false) AS ok
-   FROM anchors a LEFT JOIN {{v_fetch}} f ON a.page_id = f.page_id),
+   FROM anchors a LEFT JOIN (SELECT page_id, max_by(coalesce(http_status, 0), event_id) AS http_status FROM {{v_fetch}} GROUP BY page_id) f ON a.page_id = f.page_id),
  totals AS (SELECT p.page_id, p.url, p.html, count(i.page_id) AS image_count, coalesce(string_agg(i.image_url, ' | ' ORDER BY i.pos) FILTER (WHERE NOT i.ok), '') AS failed_images
    FROM pages p LEFT JOIN imgs i ON i.page_id = p.page_id GROUP BY p.page_id, p.url, p.html)"""
 
 
 def _totals(v, *columns):
-    ok = v.v_fetch.select("page_id", (F.coalesce(F.col("http_status"), F.lit(0)) == 200).alias("ok"))
+    # The last response for a page counts.
+    last = F.max_by(F.coalesce(F.col("http_status"), F.lit(0)), "event_id")
+    ok = v.v_fetch.groupBy("page_id").agg((last == 200).alias("ok"))
     found = _images(v).join(ok, "page_id", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
     return C.image_totals(v.pages.select("page_id", *columns), found, "page_id")
 
@@ -226,10 +228,9 @@ def page_references(v):
     return M.page_references(bodies(v, "text_html", "link_html"))
 
 
-@reg.query("resolve_page_links", f"WITH {TITLES_SQL} SELECT m.id, m.text_html || {LINK_OUT} AS body {FROM_MARKUP} WHERE m.link_kind IN ('page', 'missing')")
+@reg.query("resolve_page_links", f"WITH {TITLES_SQL} SELECT m.id, m.text_html || {LINK_OUT} AS body {FROM_MARKUP}")
 def resolve_page_links(v):
-    pages = v.v_markup.filter("link_kind IN ('page', 'missing')").select("id", F.concat("text_html", "link_html").alias("body"))
-    return M.convert(pages, attachments(v), titles(v), kinds=["link"]).select("id", "body")
+    return M.convert(bodies(v, "text_html", "link_html"), attachments(v), titles(v), kinds=["link"], base_url=WIKI).select("id", "body")
 
 
 @reg.query("confluence_links", f"WITH {TITLES_SQL} SELECT m.id, m.text_html || {LINK_OUT} || m.image_html AS body {FROM_MARKUP}")

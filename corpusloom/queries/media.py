@@ -84,18 +84,19 @@ def download_totals(v):
     return R.split_totals(fetched(v), "status = 'downloaded'", "downloaded", "failed")
 
 
-@reg.query("media_resume", f"SELECT page_id FROM {{pages}} WHERE page_id NOT IN (SELECT page_id FROM {{v_fetch}} WHERE {FETCH_SQL} IN ('downloaded', 'skipped_existing'))")
+@reg.query("media_resume", f"SELECT page_id FROM {{pages}} WHERE page_id NOT IN (SELECT page_id FROM (SELECT page_id, max_by({FETCH_SQL}, event_id) AS s FROM {{v_fetch}} GROUP BY page_id) WHERE s IN ('downloaded', 'skipped_existing'))")
 def media_resume(v):
-    return C.open_items(v.pages.select("page_id"), fetched(v), "page_id")
+    last = D.last_wins(fetched(v).select("page_id", "event_id", "status"), "page_id", "event_id")
+    return C.open_items(v.pages.select("page_id"), last, "page_id")
 
 
 @reg.query(
     "media_inventory_csv",
-    f"""SELECT cast(row_number() OVER (ORDER BY ts, page_id) AS varchar) AS sequence, cast(page_id AS varchar) AS attachment_id, {', '.join("'' AS " + c for c in ("title", "listed_filename", "saved_filename", "saved_path", "size_bytes", "sha256", "listed_date", "author", "caption", "alt_text", "description", "edit_url", "downloaded_at_utc"))},
+    f"""SELECT cast(row_number() OVER (ORDER BY ts, event_id) AS varchar) AS sequence, cast(page_id AS varchar) AS attachment_id, {', '.join("'' AS " + c for c in ("title", "listed_filename", "saved_filename", "saved_path", "size_bytes", "sha256", "listed_date", "author", "caption", "alt_text", "description", "edit_url", "downloaded_at_utc"))},
         url AS original_url, {FETCH_SQL} AS status, lower(content_type) AS content_type, coalesce(cast(http_status AS varchar), '') AS http_status, error_class AS error FROM {{v_fetch}}""",
 )
 def media_inventory_csv(v):
-    rows = D.numbered(fetched(v).select("page_id", "url", "ts", "status", "content_type", "http_status", "error_class"), ["ts", "page_id"])
+    rows = D.numbered(fetched(v).select("page_id", "event_id", "url", "ts", "status", "content_type", "http_status", "error_class"), ["ts", "event_id"])
     named = rows.select(
         "sequence", F.col("page_id").alias("attachment_id"), F.col("url").alias("original_url"), "status", F.lower("content_type").alias("content_type"), "http_status", F.col("error_class").alias("error")
     )

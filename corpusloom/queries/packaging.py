@@ -181,6 +181,76 @@ def package_manifest(v):
     return crawl_to_manifest(v.v_tree, tree_pages(v), v.v_attachment, "region-1", "wiki")
 
 
+# ---- the whole crawl: documents as pages, each below the one with an eighth of its number ---------------------------
+
+CRAWL_SQL = """tree AS (SELECT id, seq, lang, space FROM {v_markup}),
+ scope AS (SELECT id, seq, lang, space FROM tree WHERE seq = 0 UNION ALL SELECT t.id, t.seq, t.lang, t.space FROM tree t JOIN scope s ON t.seq > 0 AND t.seq // 8 = s.seq),
+ fine AS (SELECT * FROM scope WHERE space <> 'src9'),
+ files AS (SELECT a.* FROM {v_doc_attachment} a JOIN scope ON scope.id = a.page_id)"""
+
+
+def crawled(v):
+    """Runs the job into a fresh folder; one source of pages cannot be read, one in three is mirrored already."""
+    from ..plans.crawl import crawl
+    from ..session import scratch_path
+    from .links import WIKI
+
+    none = F.lit(None).cast("string")
+    pages = v.v_markup.select(
+        "id", F.when(F.col("seq") > 0, F.concat(F.lit("doc-"), F.floor(F.col("seq") / 8).cast("string"))).alias("parent_id"), "title", F.col("seq").alias("position"),
+        F.when(F.col("lang") == "en", "current").otherwise("draft").alias("status"), F.concat("text_html", "link_html", "image_html", "anchor_html", "macro_html").alias("body"),
+        F.col("seq").cast("string").alias("version"), F.lit("").alias("url"), "space", F.concat(F.lit("/x/"), "id").alias("webui"), F.lit(WIKI).alias("base"),
+        F.lit("2026-01-01T00:00:00Z").alias("created_at"), F.lit("").alias("updated_at"), none.alias("author_id"),
+    )
+    files = v.v_doc_attachment.select(
+        "page_id", "id", "title", "filename", "seq", "status", F.lit("").alias("error"), F.concat(F.lit("attachments/"), "id").alias("local_path"), none.alias("media_type"),
+        F.lit(1).cast("bigint").alias("size_bytes"), F.lit(1).cast("bigint").alias("file_size"), T.sha256_text(F.col("id")).alias("sha256"), F.lit("").alias("url"),
+    )
+    held = v.v_markup.where("seq % 3 = 0").select(F.col("id").alias("page_id"), F.col("seq").cast("string").alias("version"), F.lit(True).alias("has_body"))
+    errors = v.v_markup.where("space = 'src9'").select(F.col("id").alias("page_id"), F.lit("HTTP 500").alias("message"), F.lit("HTTPError").alias("type"))
+    listed = v.nation.select(F.col("n_name").alias("title"), F.concat(F.lit(f"{WIKI}/nation-"), F.col("n_nationkey").cast("string")).alias("url"))
+    out = scratch_path(v.spark, "crawl-job")
+    report = crawl(
+        pages, files, held, listed, out, root_id="doc-0", space_id="docs", connector="wiki", base_url=WIKI,
+        generated_at="2026-01-02T00:00:00+00:00", page_errors=errors,
+    )
+    return out, report
+
+
+@reg.query(
+    "crawl_job",
+    f"""WITH RECURSIVE {CRAWL_SQL} SELECT '1.0' AS schema_version, 'wiki' AS connector, '2026-01-02T00:00:00+00:00' AS generated_at, 'doc-0' AS root_page_id, 'docs' AS space_id,
+        (SELECT count(*) FROM fine) AS object_count, (SELECT count(*) FROM files WHERE status = 'available') AS asset_count, f.n = 0 AS crawl_successful,
+        count(*) AS requested_pages, count(*) FILTER (seq % 3 <> 0) AS mirrored_pages, count(*) FILTER (seq % 3 = 0) AS resumed_pages, f.n AS failure_count
+        FROM scope, (SELECT (SELECT count(*) FROM files WHERE status = 'failed') + (SELECT count(*) FROM scope WHERE space = 'src9') AS n) f GROUP BY f.n""",
+)
+def crawl_job(v):
+    return crawled(v)[1]
+
+
+@reg.query(
+    "crawl_manifest",
+    f"""WITH RECURSIVE {CRAWL_SQL} SELECT 'object' AS kind, 'wiki-' || id AS id FROM fine UNION ALL SELECT 'asset', 'wiki-attachment-' || id FROM files WHERE status = 'available'""",
+)
+def crawl_manifest(v):
+    parts = v.spark.read.json(f"{crawled(v)[0]}/manifest").select("json")
+    lists = parts.select(F.from_json("json", "objects array<string>, assets array<string>").alias("m"))
+    return lists.select(F.explode("m.objects").alias("id")).select(F.lit("object").alias("kind"), "id").unionByName(
+        lists.select(F.explode("m.assets").alias("id")).select(F.lit("asset").alias("kind"), "id")
+    )
+
+
+@reg.query(
+    "crawl_members",
+    f"""WITH RECURSIVE {CRAWL_SQL}, edges AS (SELECT page_id AS page, 'asset' AS kind, 'wiki-attachment-' || id AS target_id, 0 AS rank FROM files WHERE status = 'available'
+          UNION ALL SELECT c.id, 'parent', 'wiki-' || p.id, 1 FROM fine c JOIN fine p ON c.seq > 0 AND c.seq // 8 = p.seq
+          UNION ALL SELECT p.id, 'child', 'wiki-' || c.id, 2 FROM fine c JOIN fine p ON c.seq > 0 AND c.seq // 8 = p.seq)
+        SELECT 'wiki-' || page AS id, kind, row_number() OVER (PARTITION BY page ORDER BY rank, kind, target_id) AS position, target_id FROM edges""",
+)
+def crawl_members(v):
+    return v.spark.read.parquet(f"{crawled(v)[0]}/members")
+
+
 # ---- review ---------------------------------------------------------------
 
 REVIEW_SQL = f"""{TITLES_SQL}, {WARN_SQL}, c AS (SELECT m.id, m.title, {CONVERTED_SQL} AS body {FROM_MARKUP}),

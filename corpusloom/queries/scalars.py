@@ -293,14 +293,14 @@ def strip_heading(v):
 @reg.query(
     "unwrap_code_images",
     """SELECT id, '<p>' || lang || '</p>' || CASE WHEN lang = 'en' THEN '<img alt="' || space || '" src="asset://' || id || '"/>'
-         ELSE '<pre><code>' || space || '</code></pre>' END AS body FROM {v_article}""",
+         ELSE '<pre><code>' || space || '</code></pre>' END || body AS body FROM {v_article}""",
 )
 def unwrap_code_images(v):
     code = F.when(
         F.col("lang") == "en", F.concat(F.lit("\n  !["), "space", F.lit("](asset://"), "id", F.lit(")\n"))
     ).otherwise(F.col("space"))
     markup = F.concat(
-        F.lit("<p>"), F.col("lang"), F.lit("</p><pre><code>"), code, F.lit("</code></pre>")
+        F.lit("<p>"), F.col("lang"), F.lit("</p><pre><code>"), code, F.lit("</code></pre>"), "body"
     )
     return v.v_article.select("id", H.unwrap_code_images(markup).alias("body"))
 

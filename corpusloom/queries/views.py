@@ -123,15 +123,15 @@ SELECT 'r-' || external_id AS remote_id, CASE WHEN space = 'src4' THEN 'moved-'
        CASE WHEN space = 'src12' THEN 'Published' ELSE 'Draft' END AS status,
        CASE WHEN space = 'src13' THEN '' ELSE 'https://desk.example.com/a/' || external_id END AS portal_url, seq
 FROM {v_article} WHERE space NOT IN ('src4', 'src9')""",
-    # Responses seen while fetching: a page address with the outcome of an event.
+    # Responses seen while fetching: every event is the outcome of a request for one of the pages.
     "v_fetch": """
-SELECT page_id, url, html,
+SELECT page_id, event_id, url, html,
        CASE event_type WHEN 'purchase' THEN 404 WHEN 'error' THEN 503 WHEN 'signup' THEN cast(NULL AS int) ELSE 200 END AS http_status,
        CASE WHEN event_type = 'view' AND value >= 10 THEN 'Text/HTML; charset=utf-8' WHEN event_type IN ('view', 'click') THEN 'image/png' ELSE '' END AS content_type,
        CASE WHEN event_type = 'signup' THEN CASE WHEN value >= 10 THEN 'timeout' ELSE 'request' END ELSE '' END AS error_class,
        CASE WHEN value >= 20 THEN 'File does not exist' ELSE html END AS body_text,
        cast(floor(value) AS bigint) AS content_length, cast(floor(value * 2) AS bigint) AS existing_size, event_type, ts, value
-FROM {pages} JOIN {events} ON page_id = event_id""",
+FROM {pages} JOIN (SELECT *, event_id % (SELECT count(*) FROM {pages}) AS asked FROM {events}) AS e ON page_id = asked""",
 }
 
 

@@ -8,19 +8,25 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
-def write_objects(df: DataFrame, path: str, partition: str = "connector", format: str = "parquet", key: str = "id") -> None:
+def write_objects(
+    df: DataFrame, path: str, partition: str = "connector", format: str = "parquet", key: str = "id", buckets: int = 64
+) -> None:
     """Canonical objects by id: written ones replace their predecessors, all others stay.
 
-    Only the partitions of connectors in ``df`` are rewritten.
+    Objects lie in ``buckets`` partitions by hash of their id below each connector; only partitions that hold a
+    written id are read and rewritten, the files of all others stay as they are. ``buckets`` must stay the same
+    for one folder and should grow with the largest connector.
     """
     spark = df.sparkSession
+    df = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         held = spark.read.format(format).load(path)
-        held = held.join(df.select(partition).distinct(), partition, "left_semi").join(df.select(key, partition), [key, partition], "left_anti")
+        touched = df.select(partition, "bucket").distinct()
+        held = held.join(touched, [partition, "bucket"], "left_semi").join(df.select(key, partition), [key, partition], "left_anti")
         # Written out first: the partitions that are read are the ones that are replaced.
         df = materialize(df.unionByName(held, allowMissingColumns=True))
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition, "bucket")
     writer.format(format).save(path)
 
 

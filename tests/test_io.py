@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corpusloom.operators.reports import newest_versions, snapshot_dedup
 from corpusloom.sources import scans as R
 from corpusloom.sources import sinks as W
+from corpusloom.operators import validate as V
+from corpusloom.plans.crawl import crawl
 from corpusloom.streaming import incremental as J
 
 
@@ -55,6 +57,46 @@ def test_objects_are_replaced_by_id(spark, tmp_path):
     assert {(r.id, r.v) for r in spark.read.parquet(path).collect()} == {("a", 2), ("older", 1), ("b", 1)}
 
 
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    path = f"{tmp_path}/objects"
+    df = spark.createDataFrame([(f"id-{i}", "x", 1) for i in range(400)], "id STRING, connector STRING, v INT").coalesce(1)
+    W.write_objects(df, path)
+    before = {str(f) for f in (tmp_path / "objects").rglob("part-*")}
+    W.write_objects(df.limit(10).withColumn("v", F.lit(2)), path)
+    after = {str(f) for f in (tmp_path / "objects").rglob("part-*")}
+    assert len(before) == 64 and len(before - after) <= 10
+    assert spark.read.parquet(path).groupBy("v").count().orderBy("v").collect() == [(1, 390), (2, 10)]
+
+
+def test_crawl_job_keeps_older_objects_and_isolates_bad_pages(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    page = "id STRING, parent_id STRING, title STRING, position BIGINT, status STRING, body STRING, version STRING, url STRING, space STRING, webui STRING, base STRING, created_at STRING, updated_at STRING, author_id STRING"
+    row = lambda i, up, title, body: (i, up, title, 0, "current", body, "1", "", "s", "/x", "https://w.example.com", "2026-01-01T00:00:00Z", None, "a")
+    pages = spark.createDataFrame(
+        [
+            row("1", None, "Start", '<p>see <ac:link><ri:page ri:content-title="Second"/></ac:link></p>'), row("2", "1", "Second", "<p>two</p>"),
+            row("3", "1", "Lost", "<p>x</p>"), row("9", None, "Apart", "<p>y</p>"), row("4", "2", "a" * 60_000, "<p>long title</p>"),
+        ], page,
+    )
+    file = "page_id STRING, id STRING, title STRING, filename STRING, seq BIGINT, status STRING, error STRING, local_path STRING, media_type STRING, size_bytes BIGINT, file_size BIGINT, sha256 STRING, url STRING"
+    files = spark.createDataFrame([("1", "f", "f.png", "", 1, "available", "", "attachments/f", "image/png", 3, 3, "0" * 64, ""), ("2", "g", "g.png", "", 1, "failed", "HTTP 404", "", None, 0, 0, "", "")], file)
+    held = spark.createDataFrame([("2", "1", True)], "page_id STRING, version STRING, has_body BOOLEAN")
+    errors = spark.createDataFrame([("3", "HTTP 500", "HTTPError"), ("9", "HTTP 500", "HTTPError")], "page_id STRING, message STRING, type STRING")
+    listed = spark.createDataFrame([], "title STRING, url STRING")
+    run = lambda p, root: crawl(p, files, held, listed, out, root_id=root, space_id="s", connector="w", base_url="https://w.example.com", generated_at="now", page_errors=errors).first()
+    first = run(pages, "1")
+    assert (first.object_count, first.asset_count, first.requested_pages, first.resumed_pages, first.failure_count, first.crawl_successful) == (3, 1, 4, 1, 2, False)
+    objects = {r.id: json.loads(r.json) for r in spark.read.parquet(f"{out}/objects").collect()}
+    assert set(objects) == {"w-1", "w-2", "w-4"} and objects["w-1"]["content"]["body"] == '<p>see <a href="knowledge://w-2">Second</a></p>'
+    assert objects["w-1"]["extensions"]["w"]["author_id"] == "a" and objects["w-1"]["taxonomy"]["tags"] == []
+    assert {(r.page_id, r.type) for r in spark.read.parquet(f"{out}/failures").collect()} == {("3", "HTTPError"), ("2", "AttachmentDownloadError")}
+    assert [r.target_id for r in spark.read.parquet(f"{out}/members").where("id = 'w-1'").orderBy("position").collect()] == ["w-attachment-f", "w-2"]
+    second = run(pages.withColumn("title", F.when(F.col("id") == "2", "Renamed").otherwise(F.col("title"))), "2")
+    assert second.object_count == 2 and V.violations(spark.read.json(f"{out}/manifest"), "manifest").count() == 0
+    titles = {r.id: r.title for r in spark.read.parquet(f"{out}/objects").collect()}
+    assert (titles["w-1"], titles["w-2"], len(titles)) == ("Start", "Renamed", 3)
+
+
 def test_unreadable_records_stop_the_scan_and_are_listed(spark, tmp_path):
     (tmp_path / "state").mkdir()
     (tmp_path / "state/s.json").write_text('{"category_id": "c", "articles": {"a": {}}}\n{"articles": [broken\n{"articles": [1]}\n')

@@ -18,6 +18,7 @@ from corpusloom.operators import packaging as P
 from corpusloom.operators import reconcile as R
 from corpusloom.operators import similar as N
 from corpusloom.operators import validate as V
+from corpusloom.session import materialize
 
 PAGE = "id STRING, parent_id STRING, title STRING, position BIGINT"
 
@@ -38,6 +39,18 @@ def test_tree_leaves_out_unrelated_and_cycles(spark):
     assert O.discover(pages, "root", -1).count() == 0
 
 
+def test_tree_takes_rounds_by_the_logarithm_of_its_depth(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(O, "materialize", lambda df: rounds.append(1) or materialize(df))
+    n = 3000
+    rows = [(f"p{i}", f"p{i - 1}" if i else None, f"T{i % 7}", 0) for i in range(n)]
+    rows += [("x", "y", "", 0), ("y", "z", "", 0), ("z", "x", "", 0), ("p5", "gone", "A", 0)]  # a cycle apart; a repeated id
+    got = {r.id: r for r in O.tree_scope(spark.createDataFrame(rows, PAGE), "p0").collect()}
+    assert len(got) == n and len(rounds) < 20
+    assert got["p5"].depth == 5 and got[f"p{n - 1}"].depth == n - 1 and got["p3"].lineage == ["t1", "t2", "t3"]
+    assert O.tree_scope(spark.createDataFrame(rows, PAGE), "nobody").count() == 0
+
+
 def test_ids_sort_as_text_and_selection_of_nothing(spark):
     pages = spark.createDataFrame([("r", None, "R", 0), ("10", "r", "x", 1), ("9", "r", "X", 1)], PAGE)
     assert [r.id for r in O.discover(pages, "r").collect()] == ["r", "10", "9"]
