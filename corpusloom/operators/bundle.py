@@ -15,7 +15,7 @@ def bundle_documents(articles: DataFrame) -> DataFrame:
     title = H.escape(F.col("title"))
     footer = F.when(
         F.coalesce("source_url", F.lit("")) != "",
-        F.concat(F.lit('  <p class="source"><a href="'), "source_url", F.lit('">Original page</a></p>\n')),
+        F.concat(F.lit('  <p class="source"><a href="'), H.escape(F.col("source_url")), F.lit('">Original page</a></p>\n')),
     ).otherwise("")
     html = F.concat(
         F.lit('<!doctype html>\n<html lang="en">\n<head>\n  <meta charset="utf-8">\n  <meta name="article-id" content="'),
@@ -27,17 +27,18 @@ def bundle_documents(articles: DataFrame) -> DataFrame:
 
 
 def publisher_manifest(documents: DataFrame, assets: DataFrame, issues: DataFrame) -> DataFrame:
-    """Manifest entries as one long table: section, id, path, sha256, size_bytes, issue.
+    """Manifest entries as one long table: section, id, title (of articles), path, sha256, size_bytes, issue.
 
     The nested lists of a one-row manifest grow with the corpus, so they stay rows;
     :func:`manifest_header` gives the counts.
     """
     none = F.lit(None)
+    untitled = none.cast("string").alias("title")
     return (
-        documents.select(F.lit("article").alias("section"), "id", "path", "sha256", none.cast("bigint").alias("size_bytes"), none.cast("string").alias("issue"))
-        .unionByName(assets.select(F.lit("asset").alias("section"), "id", "path", "sha256", "size_bytes", none.cast("string").alias("issue")))
+        documents.select(F.lit("article").alias("section"), "id", "title", "path", "sha256", none.cast("bigint").alias("size_bytes"), none.cast("string").alias("issue"))
+        .unionByName(assets.select(F.lit("asset").alias("section"), "id", untitled, "path", "sha256", "size_bytes", none.cast("string").alias("issue")))
         .unionByName(
-            issues.select(F.lit("issue").alias("section"), "id", none.cast("string").alias("path"), none.cast("string").alias("sha256"), none.cast("bigint").alias("size_bytes"), "issue")
+            issues.select(F.lit("issue").alias("section"), "id", untitled, none.cast("string").alias("path"), none.cast("string").alias("sha256"), none.cast("bigint").alias("size_bytes"), "issue")
         )
     )
 

@@ -14,11 +14,13 @@ from ..operators import storage as B
 from ..operators import validate as V
 
 
-def review(objects: DataFrame, articles: DataFrame, warnings: DataFrame, asset_refs: DataFrame, assets: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(summary, details) of canonical articles; ``objects`` (json) must be valid first."""
+def review(
+    objects: DataFrame, articles: DataFrame, warnings: DataFrame, asset_refs: DataFrame, assets: DataFrame, relations: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(totals, counts by type, details) of canonical articles; ``objects`` (json) must be valid first."""
     V.require_valid(objects, "knowledge")
     found = A.review_findings(articles, warnings, asset_refs, assets, relations)
-    return A.review_summary(found), A.review_details(articles, asset_refs, relations, found)
+    return A.review_totals(articles, found), A.review_summary(found), A.review_details(articles, asset_refs, relations, found)
 
 
 def publish_bundle(articles: DataFrame, article_paths: DataFrame, assets: DataFrame, asset_paths: DataFrame, asset_refs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,6 +59,6 @@ def bucket_sync(files: DataFrame, remote: DataFrame, categories: DataFrame) -> t
 
 def media_run(listing: DataFrame, inventory: DataFrame, responses: DataFrame) -> DataFrame:
     """Open items joined with their classified responses."""
-    fields = "http_status content_type body_text error_class content_length existing_size".split()
+    fields = ["http_status", "content_type", "body_text", "error_class", "content_length", "existing_size"]
     outcome = C.classify_fetch(*[F.col(c) for c in fields])
     return C.open_items(listing, inventory, "attachment_id").join(responses, "attachment_id", "left").withColumn("status", outcome)

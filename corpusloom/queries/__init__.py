@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = [
-    "scalars", "hierarchy", "links", "validation", "packaging", "publishing", "media", "scans",
+    "scalars", "hierarchy", "links", "validation", "packaging", "publishing", "media", "scans", "jobs",
 ]
 
 

@@ -48,7 +48,10 @@ def import_plan(v):
     return plan(v).select("id", "remote_id", "action")
 
 
-@reg.query("import_totals", f"WITH {RESOLVE_SQL} SELECT count(*) AS article_count, count(*) FILTER (action = 'created') AS created, count(*) FILTER (action = 'updated') AS updated, count(*) FILTER (action = 'skipped') AS skipped FROM plan")
+ORACLES_IMPORT = f"WITH {RESOLVE_SQL} SELECT count(*) AS article_count, count(*) FILTER (action = 'created') AS created, count(*) FILTER (action = 'updated') AS updated, count(*) FILTER (action = 'skipped') AS skipped FROM plan"
+
+
+@reg.query("import_totals", ORACLES_IMPORT)
 def import_totals(v):
     return R.import_totals(plan(v))
 
@@ -116,10 +119,10 @@ def bundle_documents(v):
 
 @reg.query(
     "publisher_manifest",
-    f"""WITH {BUNDLE_SQL}, {DOC_SQL} SELECT 'article' AS section, id, path, sha256(html) AS sha256, NULL AS size_bytes, NULL AS issue FROM docs
-        UNION ALL SELECT 'asset', id, 'assets/' || id || regexp_extract(filename, '^[^.]*(\\..*)$', 1), sha256, size_bytes, NULL FROM {{v_asset}}
-        UNION ALL SELECT 'issue', id, NULL, NULL, NULL, 'unresolved knowledge link doc-' || cast(seq + 1 AS varchar) FROM out WHERE kid IS NULL
-        UNION ALL SELECT 'issue', id, NULL, NULL, NULL, 'unresolved asset link asset-' || cast(seq AS varchar) FROM out WHERE sid IS NULL""",
+    f"""WITH {BUNDLE_SQL}, {DOC_SQL} SELECT 'article' AS section, id, title, path, sha256(html) AS sha256, NULL AS size_bytes, NULL AS issue FROM docs
+        UNION ALL SELECT 'asset', id, NULL, 'assets/' || id || regexp_extract(filename, '^[^.]*(\\..*)$', 1), sha256, size_bytes, NULL FROM {{v_asset}}
+        UNION ALL SELECT 'issue', id, NULL, NULL, NULL, NULL, 'unresolved knowledge link doc-' || cast(seq + 1 AS varchar) FROM out WHERE kid IS NULL
+        UNION ALL SELECT 'issue', id, NULL, NULL, NULL, NULL, 'unresolved asset link asset-' || cast(seq AS varchar) FROM out WHERE sid IS NULL""",
 )
 def publisher_manifest(v):
     assets = v.v_asset.select("id", F.concat(F.lit("assets/"), T.published_asset_name(F.col("id"), F.col("filename"))).alias("path"), "sha256", "size_bytes")
