@@ -10,6 +10,8 @@ anything. Nothing is shuffled until a first violation is picked.
 
 from __future__ import annotations
 
+from json import dumps
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,46 +47,43 @@ def _texts(parts) -> Column:
     return F.array(*[F.lit(p) for p in parts]).cast("array<string>")
 
 
+RULE = (
+    "types array<string>, types_text string, const string, allowed array<string>, allowed_text string, min_length int, pattern string, "
+    "minimum double, distinct_items boolean, required array<string>, known array<string>, head array<string>, tail array<string>, "
+    "head_text string, tail_text string, schema_path array<string>"
+)
+
+
 def rule_table(schema: str) -> tuple[Column, list[tuple], list[tuple]]:
     """The rules of a schema as an array of structs, one for each place of a record, and where the places are.
 
     A place is a path of the record, or a path of the items of one of its lists: (number, path) and
     (list path, [(number, path in an item)]).
     """
-    rules: list[Column] = []
+    rules: list[dict] = []
     places, lists = [], []
 
-    def rule(head: tuple, tail: tuple | None, schema_path: tuple, spec: dict) -> int:
-        options = lambda values: _texts(values) if values is not None else F.lit(None).cast("array<string>")
-        types, allowed = spec.get("types"), spec.get("enum")
+    def rule(head: tuple, tail: tuple, schema_path: tuple, spec: dict) -> int:
+        listed = lambda values: ", ".join(f"'{x}'" for x in values or [])
+        kept = {key: spec.get(key) for key in ("types", "const", "min_length", "pattern", "minimum")}
         rules.append(
-            F.struct(
-                options(types).alias("types"),
-                F.lit(", ".join(f"'{t}'" for t in types or [])).alias("types_text"),
-                F.lit(spec.get("const")).cast("string").alias("const"),
-                options(allowed).alias("allowed"),
-                F.lit(", ".join(f"'{x}'" for x in allowed or [])).alias("allowed_text"),
-                F.lit(spec.get("min_length")).cast("int").alias("min_length"),
-                F.lit(spec.get("pattern")).cast("string").alias("pattern"),
-                F.lit(spec.get("minimum")).cast("double").alias("minimum"),
-                F.lit(bool(spec.get("unique"))).alias("distinct_items"),
-                options(spec.get("required", []) if "fields" in spec else []).alias("required"),
-                options(list(spec["fields"]) if spec.get("closed") else None).alias("known"),
-                _texts(head).alias("head"),
-                _texts(tail or ()).alias("tail"),
-                F.lit(_path(head)).alias("head_text"),
-                F.lit(_path(tail or ())[1:]).alias("tail_text"),
-                _texts(schema_path).alias("schema_path"),
-            )
+            kept
+            | {
+                "types_text": listed(spec.get("types")), "allowed": spec.get("enum"), "allowed_text": listed(spec.get("enum")),
+                "distinct_items": bool(spec.get("unique")), "required": spec.get("required", []) if "fields" in spec else [],
+                "known": list(spec["fields"]) if spec.get("closed") else None, "head": head, "tail": tail,
+                "head_text": _path(head), "tail_text": _path(tail)[1:], "schema_path": schema_path,
+            }
         )
         return len(rules) - 1
 
     for path, schema_path, spec in _nodes(RULES[schema]):
-        places.append((rule(path, None, schema_path, spec), path))
+        places.append((rule(path, (), schema_path, spec), path))
         if "items" in spec:
             below = _nodes(spec["items"], (), (*schema_path, "items"))
             lists.append((path, [(rule(path, tail, found, item), tail) for tail, found, item in below]))
-    return F.array(*rules), places, lists
+    # One short expression, however often it is read: it becomes a constant of the plan.
+    return F.from_json(F.lit(dumps(rules)), f"array<struct<{', '.join(f.replace(' ', ':', 1) for f in RULE.split(', '))}>>"), places, lists
 
 
 def _values(record: Column, places: list[tuple], lists: list[tuple]) -> Column:
@@ -106,33 +105,41 @@ def _values(record: Column, places: list[tuple], lists: list[tuple]) -> Column:
     return F.filter(F.concat(*found), lambda x: x["value"].isNotNull())
 
 
-def _ruled(rules: Column):
-    """Give a value the row of its rule."""
-    return lambda x: F.struct(F.get(rules, x["at"]).alias("rule"), x["place"].alias("place"), x["value"].alias("value"))
+# Each step adds what the next one reads several times: an expression in a lambda runs anew at each use. A value
+# carries the number of its rule only, as steps copy what they carry.
 
 
-def _typed(x: Column) -> Column:
-    """Add the JSON type of a value; a number without fraction is an integer where the rule asks for one."""
-    kind = _type(F.schema_of_variant(x["value"]))
-    number = F.try_variant_get(x["value"], "$", "double")
-    whole = (kind == "number") & F.array_contains(x["rule"]["types"], "integer") & (number == F.floor(number))
-    return F.struct(x["rule"].alias("rule"), x["place"].alias("place"), x["value"].alias("value"), F.when(whole, F.lit("integer")).otherwise(kind).alias("kind"))
-
-
-def _shown(x: Column) -> Column:
-    """Add the text of a value, and its keys where the rules name any."""
-    asked = (x["kind"] == "object") & (x["rule"]["known"].isNotNull() | (F.size(x["rule"]["required"]) > 0))
-    return F.struct(
-        x["rule"].alias("rule"), x["place"].alias("place"), x["value"].alias("value"), x["kind"].alias("kind"),
-        F.when(x["kind"] == "string", x["value"].cast("string")).alias("raw"),
-        F.when((x["kind"] != "object") & (x["kind"] != "string"), F.to_json(x["value"])).alias("json"),
-        F.when(asked, F.map_keys(F.try_variant_get(x["value"], "$", "map<string,variant>"))).alias("keys"),
-    )
+def _tagged(x: Column) -> Column:
+    return F.struct(x["at"].alias("at"), x["place"].alias("place"), x["value"].alias("value"), F.schema_of_variant(x["value"]).alias("tag"))
+
+
+def _kind(x: Column) -> Column:
+    return F.struct(x["at"].alias("at"), x["place"].alias("place"), x["value"].alias("value"), _type(x["tag"]).alias("kind"))
+
+
+def _shown(rules: Column):
+    """Add the text of a value, and its keys where the rules name any; a number without fraction is an integer
+    where the rule asks for one."""
+
+    def shown(x: Column) -> Column:
+        rule, kind = F.get(rules, x["at"]), x["kind"]
+        number = F.try_variant_get(x["value"], "$", "double")
+        whole = (kind == "number") & F.array_contains(rule["types"], "integer") & (number == F.floor(number))
+        asked = (kind == "object") & (rule["known"].isNotNull() | (F.size(rule["required"]) > 0))
+        return F.struct(
+            x["at"].alias("at"), x["place"].alias("place"), x["value"].alias("value"),
+            F.when(whole, F.lit("integer")).otherwise(kind).alias("kind"),
+            F.when(kind == "string", x["value"].cast("string")).alias("raw"),
+            F.when((kind != "object") & (kind != "string"), F.to_json(x["value"])).alias("json"),
+            F.when(asked, F.map_keys(F.try_variant_get(x["value"], "$", "map<string,variant>"))).alias("keys"),
+        )
+
+    return shown
 
 
-def _broken(x: Column, patterns: list[str]) -> Column:
+def _broken(x: Column, rules: Column, patterns: list[str]) -> Column:
     """The rules that one value breaks: array of (rule, path, json_path, schema_path, message)."""
-    rule, kind, raw = x["rule"], x["kind"], x["raw"]
+    rule, kind, raw = F.get(rules, x["at"]), x["kind"], x["raw"]
     shown = F.coalesce(F.concat(F.lit("'"), raw, F.lit("'")), x["json"], F.to_json(x["value"]))
     inside = x["place"].isNotNull()
     path = F.when(inside, F.concat(rule["head"], F.array(x["place"].cast("string")), rule["tail"])).otherwise(rule["head"])
@@ -190,9 +197,9 @@ def checked(df: DataFrame, schema: str, json: str = "json") -> DataFrame:
     patterns = sorted(_patterns(RULES[schema]))
     parsed = df.withColumn("_record", F.try_parse_json(F.col(json)))
     # A one-element explode keeps the steps apart: collapsed into one expression they would run again for each use.
-    values = F.transform(_values(F.col("_record"), places, lists), _ruled(rules))
-    values = F.transform(F.transform(values, _typed), _shown)
-    broken = F.flatten(F.transform(values, lambda x: _broken(x, patterns)))
+    values = F.transform(F.transform(_values(F.col("_record"), places, lists), _tagged), _kind)
+    values = F.transform(values, _shown(rules))
+    broken = F.flatten(F.transform(values, lambda x: _broken(x, rules, patterns)))
     malformed = F.array(
         F.struct(
             F.lit("malformed_json").alias("rule"), _texts([]).alias("path"), F.lit("$").alias("json_path"),
