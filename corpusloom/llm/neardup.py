@@ -391,12 +391,7 @@ def link_groups(
         df.write.parquet(f"{path}/{name}")
         return spark.read.parquet(f"{path}/{name}")
 
-    buckets = stored(band_rows(docs, size, bands, rows), "bands").select("doc_id", F.explode("bands").alias("bucket"))
-    # Buckets of one say nothing; finding the others moves two numbers a bucket, combined before the shuffle.
-    shared = buckets.groupBy("bucket").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("bucket")
-    buckets = stored(buckets.join(shared, "bucket", "left_semi"), "buckets")
-    signed = docs.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi")
-    signs = stored(sketches(signed, size, hashes), "signatures")
+    banded = stored(band_rows(docs, size, bands, rows), "bands")
     least = keep_table(hashes, BATCH, threshold / 100, miss)
 
     def proposing(width: int):
@@ -417,23 +412,42 @@ def link_groups(
         named = components.withColumnRenamed("id", "doc_id")
         return rows.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
+    def mixed(components: DataFrame | None, share: int) -> DataFrame:
+        """(bucket, doc_id, component) of buckets with several components, of one bucket in ``share``.
+
+        Finding them moves two numbers a bucket, combined before the shuffle; buckets of one component say nothing.
+        """
+        rows = labelled(banded, components).select("doc_id", "component", F.explode("bands").alias("bucket"))
+        rows = rows.where(F.pmod("bucket", F.lit(share)) == 0)
+        several = rows.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
+        return rows.join(several, "bucket", "left_semi")
+
+    def signatures(members: DataFrame, known: DataFrame | None, name: str) -> DataFrame:
+        """Full signatures of the members, beside those made before."""
+        wanted = members.select("doc_id").distinct()
+        if known is not None:
+            wanted = wanted.join(known.select("doc_id"), "doc_id", "left_anti")
+        made = stored(sketches(docs.join(wanted, "doc_id", "left_semi"), size, hashes), name)
+        return made if known is None else known.unionByName(made)
+
     def merged(links: DataFrame, components: DataFrame | None) -> DataFrame | None:
         return components if links.isEmpty() else materialize(connected_components(links, components))
 
-    components, bad = None, spark.createDataFrame([], "a long, b long")
+    components, signs, bad = None, None, spark.createDataFrame([], "a long, b long")
     for turn, width in enumerate(WIDTHS):
         # A quarter of the buckets joins most of each group.
-        own = buckets.where(F.pmod("bucket", F.lit(4)) == 0) if turn == 0 else buckets
+        own = stored(mixed(components, 4 if turn == 0 else 1), f"mixed-{turn}")
+        signs = signatures(own, signs, f"signatures-{turn}")
         both = bad.unionByName(bad.select(F.col("b").alias("a"), F.col("a").alias("b")))
         refuted = both.groupBy(F.col("a").alias("doc_id")).agg(F.collect_list("b").alias("refuted"))
-        dealt = grouped(labelled(own, components), turn, group).join(signs, "doc_id").join(refuted, "doc_id", "left")
+        dealt = grouped(own, turn, group).join(signs, "doc_id").join(refuted, "doc_id", "left")
         walked = stored(walk_groups(dealt, "refuted", proposing(width)), f"walked-{turn}")
         checked = stored(verify(walked.where("a is not null").select("a", "b"), docs, size, threshold), f"verified-{turn}")
         components = merged(checked.where("linked").select("a", "b"), components)
         bad = checked.where("not linked").select("a", "b")
     rest = walked.where("bucket is not null").select("bucket").distinct()
     if not rest.isEmpty():
-        dealt = stored(grouped(labelled(buckets.join(rest, "bucket", "left_semi"), components), turn + 1, group), "unfinished")
+        dealt = stored(grouped(labelled(own.join(rest, "bucket", "left_semi").drop("component"), components), turn + 1, group), "unfinished")
         sets = full_sets(docs.join(dealt.select("doc_id").distinct(), "doc_id", "left_semi"), size)
         walked = stored(walk_groups(dealt.join(signs, "doc_id").join(sets, "doc_id"), "shingles", verifying), "links")
         components = merged(walked.where("a is not null").select("a", "b"), components)
