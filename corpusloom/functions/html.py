@@ -53,6 +53,16 @@ def attribute(tag: Column, name: str) -> Column:
     return unescape(F.regexp_replace(quoted, r"""\A["']|["']\z""", ""))
 
 
+def set_attribute(tag: Column, name: str, value: Column) -> Column:
+    """The opening tag with another value of an attribute that it has, however the old one is quoted."""
+    found = (
+        rf"""(?is)\A(<[^\s>]+(?:\s+[^\s=>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?)"""
+        rf"""\s+(?:[\w.-]+:)?{name}\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+    )
+    rest = F.substring(tag, F.length(F.regexp_extract(tag, found, 0)) + 1, F.length(tag))
+    return F.concat(F.regexp_extract(tag, found, 1), F.lit(f' {name}="'), value, F.lit('"'), rest)
+
+
 def escape_text(c: Column) -> Column:
     """Escape what may not stand in text: ampersand and angle brackets."""
     out = F.replace(c, F.lit("&"), F.lit("&amp;"))

@@ -22,7 +22,7 @@ def resolve_file_value(value: Column, page_url: Column) -> tuple[Column, Column]
     raw = T.strip(value)
     origin = F.regexp_extract(page_url, r"\A([a-z]+://[^/]+)", 1)
     url = F.when(T.is_absolute(raw), raw).when(raw.startswith("/"), F.concat(origin, raw)).otherwise("")
-    status = (
+    status = (  # fixed values: the names that readers of the catalogue know
         F.when(T.is_absolute(raw), "direct_url")
         .when(raw.startswith("/"), "relative_url")
         .otherwise("filename_only_unresolved")
@@ -115,7 +115,7 @@ def classify_fetch(
     for marker in missing_markers:
         missing = missing | F.lower(F.coalesce(body_text, F.lit(""))).contains(marker)
     expected = F.coalesce(content_length, F.lit(0))
-    return (
+    return (  # fixed values: the names that readers of the inventory know
         F.when(error_class == "timeout", "timeout")
         .when(F.coalesce(error_class, F.lit("")) != "", "failed")
         .when(http_status == 404, "missing_server_file")

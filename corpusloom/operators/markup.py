@@ -334,10 +334,7 @@ def resolve_tokens(
     )
     # Images and download addresses
     image = _image(T.first_filled(F.col("file"), default=IMAGE_ALT), F.coalesce(uri, F.lit("")))
-    old_href = F.regexp_extract("tok", r"""(?is)\shref\s*=\s*(?:"[^"]*"|'[^']*')""", 0)
-    anchor = F.when(
-        F.col("asset").isNotNull(), F.replace(F.col("tok"), old_href, F.concat(F.lit(' href="'), uri, F.lit('"')))
-    )
+    anchor = F.when(F.col("asset").isNotNull(), H.set_attribute(F.col("tok"), "href", uri))
     what = F.col("kind")
     replacement = F.when(what == "macro", macro).when(what == "link", link).when(what == "image", image).otherwise(anchor)
     warning = (

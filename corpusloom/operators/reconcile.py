@@ -76,9 +76,9 @@ def _with_value(rows: DataFrame) -> DataFrame:
 
 
 def _set_value(new: Column) -> Column:
-    old = F.regexp_extract("tok", r"""(?is)\s(?:href|src)\s*=\s*(?:"[^"]*"|'[^']*')""", 0)
-    name = F.when(F.col("tag") == "img", F.lit(' src="')).otherwise(F.lit(' href="'))
-    return F.when(new.isNotNull(), F.replace(F.col("tok"), old, F.concat(name, H.escape_attribute(new), F.lit('"'))))
+    value = H.escape_attribute(new)
+    changed = F.when(F.col("tag") == "img", H.set_attribute(F.col("tok"), "src", value)).otherwise(H.set_attribute(F.col("tok"), "href", value))
+    return F.when(new.isNotNull(), changed)
 
 
 def rewrite_bundle_links(

@@ -27,16 +27,16 @@ def one(spark, expression):
     return spark.range(1).select(expression.alias("x")).collect()[0][0]
 
 
-def test_tree_leaves_out_unrelated_and_cycles(spark):
+def test_tree_leaves_out_islands_and_cycles(spark):
     rows = [
-        ("root", "grandchild", "Root", 0),  # a cycle through the root must end
-        ("child", "root", "Child", 0), ("grandchild", "child", "Leaf", 0), ("unrelated", None, "Other", 0),
-        ("a", "b", "A", 0), ("b", "a", "B", 0), ("orphan", "gone", "O", 0),
+        ("home", "faq", "Welcome", 0),  # a cycle through the start must end
+        ("guide", "home", "Guide", 0), ("faq", "guide", "Questions", 0), ("island", None, "Elsewhere", 0),
+        ("ping", "pong", "Ping", 0), ("pong", "ping", "Pong", 0), ("lost", "nowhere", "Lost", 0),
     ]
     pages = spark.createDataFrame(rows, PAGE)
-    assert [r.id for r in O.discover(pages, "root").collect()] == ["root", "child", "grandchild"]
-    assert [r.id for r in O.discover(pages, "root", 2).collect()] == ["root", "child"]
-    assert O.discover(pages, "root", -1).count() == 0
+    assert [r.id for r in O.discover(pages, "home").collect()] == ["home", "guide", "faq"]
+    assert [r.id for r in O.discover(pages, "home", 2).collect()] == ["home", "guide"]
+    assert O.discover(pages, "home", -1).count() == 0
 
 
 def test_tree_takes_rounds_by_the_logarithm_of_its_depth(spark, monkeypatch):
@@ -363,3 +363,18 @@ def test_anchors_without_end_tags(spark):
     assert [(r.pos, r.href, r.label) for r in rows.orderBy("pos").collect()] == [
         (1, "/1", "one"), (2, "/2", "two"), (3, "", ""), (4, "/4", "in a block"),
     ]
+
+
+def test_links_are_rewritten_however_they_are_quoted(spark):
+    body = "<a data-href='no' href=knowledge://b#x>one</a><img alt=\"p\" SRC='asset://f'><a href = \"knowledge://gone\">three</a>"
+    rows = spark.createDataFrame([("a", body)], "id STRING, body STRING")
+    paths = spark.createDataFrame([("b", "b.html")], "target_id STRING, path STRING")
+    done, issues = R.rewrite_bundle_links(rows, paths, spark.createDataFrame([("f", "f.png")], "target_id STRING, path STRING"))
+    assert done.first().body == (
+        "<a data-href='no' href=\"b.html#x\">one</a><img alt=\"p\" src=\"../assets/f.png\"><a href = \"knowledge://gone\">three</a>"
+    )
+    assert [r.issue for r in issues.collect()] == ["unresolved knowledge link gone"]
+    urls = spark.createDataFrame([("b.html", "https://d.example.com/1?a&b")], "filename STRING, url STRING")
+    files = spark.createDataFrame([], "id STRING, filename STRING, asset_url STRING")
+    done, missed = R.rewrite_answer_links(spark.createDataFrame([("a", "<a href=kb/b.html#s>x</a>")], "id STRING, body STRING"), urls, files)
+    assert done.first().body == '<a href="https://d.example.com/1?a&amp;b#s">x</a>' and missed.count() == 0
