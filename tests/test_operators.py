@@ -257,6 +257,19 @@ def test_links_of_a_bucket_join_whole_chains(spark, small):
     assert components((r.id, r.candidate_of) for r in got) == components(pairs) and len(components(pairs)) == 3
 
 
+def test_a_bucket_of_unlike_members_takes_few_rounds(spark, monkeypatch):
+    sets = [list(range(at * 20, at * 20 + 20)) for at in range(150)]
+    sets += [sets[at][:-1] + [-at - 1] for at in (3, 3, 40, 149)]  # copies of three, one of them twice
+    rounds, write = [], N.staged
+    monkeypatch.setattr(N, "staged", lambda df, name: rounds.append(name) or write(df, name))
+    features = spark.createDataFrame(list(enumerate(sets)), "id BIGINT, feature ARRAY<BIGINT>")
+    members = spark.createDataFrame([(7, i) for i in range(len(sets))], "bucket BIGINT, id BIGINT")
+    got = N.linked_candidates(members, features, N.jaccard, 0.7).collect()
+    links = {(r.candidate_of, r.id) for r in got}
+    assert {(3, 150), (3, 151), (40, 152), (149, 153)} <= links <= {(3, 150), (3, 151), (150, 151), (40, 152), (149, 153)}
+    assert rounds.count("live") < 16
+
+
 def test_exact_copies_are_candidates_of_their_first(spark):
     rows = [(3, "one text"), (1, "one text"), (2, "other words here now"), (4, None), (5, None), (6, "one text")]
     got = N.near_duplicates(spark.createDataFrame(rows, "id BIGINT, text STRING")).collect()
