@@ -324,6 +324,27 @@ def test_lookups_of_known_ids_gather_none(spark):
         assert "Aggregate" not in table._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_records_told_by_shape_break_no_rule(spark):
+    good = {
+        "schema_version": "1.0", "id": "a", "title": "T", "slug": "t-1", "status": "draft", "content": {"format": "html", "body": ""},
+        "source": {"connector": "c", "external_id": "1", "revision": None}, "timestamps": {"ingested_at": "x"},
+        "taxonomy": {"tags": []}, "extensions": {"c": {"n": {"deep": [1]}}},
+    }
+    odd = [
+        {"slug": "No"}, {"status": "x"}, {"title": ""}, {"title": None}, {"id": 7}, {"extra: STRING, id": "x"}, {"zz": 1}, {"extensions": []},
+        {"content": {"format": "html"}}, {"content": {"format": "html", "body": "", "a": 1}}, {"taxonomy": {"tags": [None]}}, {"taxonomy": {"tags": ["", ""]}},
+        {"source": {"connector": "c", "external_id": "1", "extensions": {"c": 1}}}, {"source": None}, {"assets": {}}, {"schema_version": 1.0},
+    ]
+    fine = [{}, {"taxonomy": {"tags": ["a"]}}, {"extensions": {"a>, b": 1.5}}, {"source": {"connector": "c", "external_id": "1", "revision": 5}}]
+    rows = [(True, json.dumps(good | x)) for x in fine] + [(False, json.dumps(good | x)) for x in odd]
+    rows += [(False, json.dumps({k: x for k, x in good.items() if k != key})) for key in ("id", "slug", "source", "timestamps")]
+    df = spark.createDataFrame(rows, "good BOOLEAN, json STRING")
+    sure = F.coalesce(V._surely_valid(F.try_parse_json("json"), "knowledge"), F.lit(False)).alias("sure")
+    got = V.flagged(df, "knowledge").select("good", "is_valid", "json", sure).collect()
+    assert all(r.good == r.is_valid and r.is_valid >= r.sure for r in got), [r for r in got if r.good != r.is_valid or r.is_valid < r.sure]
+    assert {json.loads(r.json) == good for r in got if r.sure} == {True, False} and sum(r.sure for r in got) == 2
+
+
 def test_similar_vectors_against_brute_force(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
