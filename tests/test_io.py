@@ -1,11 +1,16 @@
 """Scans of one-file-per-record folders, sinks and streams on temporary folders."""
 
 import json
+from hashlib import sha256
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.reports import newest_versions, snapshot_dedup
+from corpusloom.queries import collect
+from corpusloom.queries.scans import _page_folders
+from corpusloom.queries.views import Views
 from corpusloom.sources import scans as R
 from corpusloom.sources import sinks as W
 from corpusloom.operators import validate as V
@@ -32,6 +37,24 @@ def test_mirror_layout(spark, tmp_path):
     assert [(r.page_id, r.id, r.status) for r in sorted(rows, key=lambda r: r.seq)] == [("1", "a", "available"), ("1", "b", None)]
 
 
+def test_bodies_of_a_folder_of_pages(spark, tmp_path):
+    put(tmp_path / "pages/one two/body.html", "<p>one\ntwo</p>")
+    put(tmp_path / "pages/2/body.html", "x")
+    put(tmp_path / "pages/2/page.json", {"id": "2"})
+    rows = sorted(tuple(r) for r in R.bodies(spark, f"{tmp_path}/pages", "*.html").collect())
+    assert rows == [("2", "x"), ("one two", "<p>one\ntwo</p>")]
+
+
+def test_page_folders_are_shared_by_tasks(spark, tmp_path):
+    spark.range(300).selectExpr("id as page_id", "'<p>' || id as html").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    view = Views(spark, str(tmp_path))
+    path = _page_folders(view, "shared")
+    names = [f.name.split("-")[1] for f in Path(path.removeprefix("file:")).rglob("part-*.txt")]
+    assert len(names) == 300 and len(set(names)) > 1
+    rows = collect()[0]["scan_bodies"](spark, str(tmp_path)).collect()
+    assert {(r.page_id, r.sha256) for r in rows} == {(str(i), sha256(f"<p>{i}".encode()).hexdigest()) for i in range(300)}
+
+
 def test_inventory_with_byte_order_mark(spark, tmp_path):
     put(tmp_path / "pages.csv", "﻿Page ID,Title\n 7 ,\n8,\"a \"\"b\"\"\nc\"\n")
     rows = R.inventory_csv(spark, f"{tmp_path}/pages.csv").orderBy("Page ID").collect()
