@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import numpy as np
 import pytest
@@ -421,3 +422,27 @@ def test_links_are_rewritten_however_they_are_quoted(spark):
     files = spark.createDataFrame([], "id STRING, filename STRING, asset_url STRING")
     done, missed = R.rewrite_answer_links(spark.createDataFrame([("a", "<a href=kb/b.html#s>x</a>")], "id STRING, body STRING"), urls, files)
     assert done.first().body == '<a href="https://d.example.com/1?a&amp;b#s">x</a>' and missed.count() == 0
+
+
+def test_review_reads_a_long_run_of_blanks_in_linear_time(spark):
+    blank = " \t　\x85 " * 40_000
+    bodies = {"mid": f"a{blank}b", "blank": blank, "none": "", "one": "　x", "null": None}
+    articles = spark.createDataFrame([*bodies.items()], "id STRING, body STRING")
+    nothing = spark.createDataFrame([], "id STRING, warning STRING, asset_id STRING, target_id STRING")
+    start = time.perf_counter()
+    got = A.review_findings(articles, nothing.select("id", "warning"), nothing.select("id", "asset_id"), nothing.select("id"), nothing.select("id", "target_id"))
+    assert sorted(map(tuple, got.collect())) == [("blank", "empty_body"), ("none", "empty_body")]
+    assert time.perf_counter() - start < 30
+
+
+def test_tokens_are_cut_whatever_their_case_and_nesting(spark):
+    body = (
+        "x < y<A>a</a><abbr>t<a href='1'>b</a><AC:LINK a>l<a>m</AC:Link ><ac:image/>p</ac:image><ac:macro-x>"
+        "<ac:macro n='<'>1<ac:structured-macro/>2<ac:macro>3</ac:macro>4</ac:structured-macro ></ac:macro>z<ac:macro>open"
+    )
+    got = spark.createDataFrame([(body,)], "body STRING").select(M.cut(F.col("body")).alias("c")).head().c
+    assert got[1::2] == [
+        "<A>", "<a href='1'>", "<AC:LINK a>l<a>m</AC:Link >",
+        "<ac:macro n='<'>1<ac:structured-macro/>2<ac:macro>3</ac:macro>4</ac:structured-macro >", "<ac:macro>open",
+    ]
+    assert "".join(got) == body
