@@ -364,6 +364,28 @@ def test_similar_vectors_against_brute_force(spark):
     assert {(r.id, r.candidate_of): r.cosine for r in got} == pytest.approx({(a, b): c for a, b, c, _, _ in expected})
 
 
+def test_similar_vectors_at_the_threshold_and_tasks_by_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    axis, other = np.eye(8)[:2]
+    # Cosines of 0.4 with the first row, give or take far less than single precision tells; then ties and a crowd.
+    odd = [0.4 * axis + np.sqrt(1 - 0.16) * other, (0.4 + 1e-9) * axis + other * np.sqrt(1 - (0.4 + 1e-9) ** 2), (0.4 - 1e-9) * axis + other * np.sqrt(1 - (0.4 - 1e-9) ** 2)]
+    rows = np.concatenate([[axis], odd, np.repeat(rng.standard_normal((2, 8)), 30, axis=0), 1e-30 * rng.standard_normal((17, 8))])
+    table = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "id LONG, feature ARRAY<DOUBLE>")
+    unit = rows / np.abs(rows).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    score = np.round(unit @ unit.T, 12)
+    expected = set()
+    for i, near in enumerate(score):
+        order = sorted((-x, j) for j, x in enumerate(near) if j != i and x >= 0.4)
+        expected |= {(i, j, at + 1, len(order)) for at, (_, j) in enumerate(order[:6])}
+    kind, tasks = type(table), []
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a: tasks.append(self.rdd.getNumPartitions()) or run(self, *a))
+    got = N.similar_vectors(table, 8, 0.4, k=6, block=10).collect()
+    assert {(r.id, r.candidate_of, r.rank, r.n_similar) for r in got} == expected and {r.candidate_of for r in got if r.id == 0} >= {1, 2}
+    assert 3 not in {r.candidate_of for r in got if r.id == 0} and tasks == [9]  # nine blocks, each in one task
+
+
 PAGES = [
     "<p>one<p>two <b>bold</b><br>more",
     "<body><ul><li>a<ul><li>x</li></ul>rest<li>b</ul>after<div>in <p>p</p> out</div>",
