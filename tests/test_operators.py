@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import html as H
 from corpusloom.functions import text as T
 from corpusloom.operators import audit as A
+from corpusloom.operators import buckets as B
 from corpusloom.operators import dedupe as D
 from corpusloom.operators import hierarchy as O
 from corpusloom.operators import links as L
@@ -271,6 +272,41 @@ def test_a_bucket_of_unlike_members_takes_few_rounds(spark, monkeypatch):
     assert rounds.count("live") < 16
 
 
+def test_tasks_take_the_turns_of_a_bucket_as_rounds_do(spark, monkeypatch):
+    # Three classes of drifting copies, members that are unlike all others, and an id that has two sets.
+    rng = random.Random(5)
+    sets = [[rng.randrange(10**9) for _ in range(40)] for _ in range(120)]
+    for base in (0, 50, 100):
+        for i in range(30):
+            sets.append([rng.randrange(10**9) if x == i else v for x, v in enumerate(sets[base if i < 15 else -1])])
+    order = list(range(len(sets)))
+    rng.shuffle(order)
+    rows = [(at, sets[i]) for at, i in enumerate(order)] + [(7, sets[50])]
+    features = spark.createDataFrame(rows, "id BIGINT, feature ARRAY<BIGINT>")
+    in_buckets = [(b, at) for b in (1, 2) for at in range(len(sets)) if b == 1 or at % 3] + [(3, 5), (2, None)]
+    members = spark.createDataFrame(in_buckets, "bucket BIGINT, id BIGINT")
+    rounds, write = [], N.staged
+    monkeypatch.setattr(N, "staged", lambda df, name: rounds.append(name) or write(df, name))
+    links = lambda: sorted(map(tuple, N.linked_candidates(members, features, N.jaccard, 0.7, 8).collect()))
+    in_tasks = links()
+    assert rounds.count("live") == 1 and len(in_tasks) > 80
+    monkeypatch.setattr(N, "TASK_MEMBERS", 0)
+    assert links() == in_tasks and rounds.count("live") > 4
+
+
+def test_bitmaps_leave_out_no_pair(spark):
+    rng = random.Random(9)
+    sets = [rng.sample(range(10**12), n) for n in (1, 3, 40, 90, 130, 700)]
+    near = [s[: len(s) - len(s) // 8] + rng.sample(range(10**12), len(s) // 10) for s in sets]
+    rows = list(enumerate(sets + near)) + [(99, None), (100, [])]
+    sketches = spark.createDataFrame(rows, "id BIGINT, feature ARRAY<BIGINT>").mapInArrow(B.sketch, "id BIGINT, n INT, bits BINARY")
+    assert {r.id: r.n for r in sketches.collect()} == {i: len(s or []) for i, s in rows}
+    pairs = [(a, b) for b in range(12) for a in range(b)]
+    score = lambda a, b: len(set(a) & set(b)) / len(set(a) | set(b))
+    found = N._possible(spark.createDataFrame(pairs, "low BIGINT, high BIGINT"), sketches, 0.7, "bigint")
+    assert {tuple(r) for r in found.collect()} == {p for p in pairs if score(rows[p[0]][1], rows[p[1]][1]) >= 0.7} != set()
+
+
 def test_exact_copies_are_candidates_of_their_first(spark):
     rows = [(3, "one text"), (1, "one text"), (2, "other words here now"), (4, None), (5, None), (6, "one text")]
     got = N.near_duplicates(spark.createDataFrame(rows, "id BIGINT, text STRING")).collect()
