@@ -1,6 +1,8 @@
 """Scans of one-file-per-record folders, sinks and streams on temporary folders."""
 
+import gzip
 import json
+import uuid
 from hashlib import sha256
 from pathlib import Path
 
@@ -55,6 +57,45 @@ def test_page_folders_are_shared_by_tasks(spark, tmp_path):
     assert {(r.page_id, r.sha256) for r in rows} == {(str(i), sha256(f"<p>{i}".encode()).hexdigest()) for i in range(300)}
 
 
+def test_pages_that_share_an_id_share_a_file(spark, tmp_path):
+    rows = [(1, "a é\r\n"), (1, None), (2, ""), (None, "n"), (3, "x" * 100_000)]
+    spark.createDataFrame(rows, "page_id BIGINT, html STRING").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    path = _page_folders(Views(spark, str(tmp_path)), "shared").removeprefix("file:")
+    files = {f.parent.name: f.read_bytes().decode() for f in Path(path).rglob("*") if f.is_file()}
+    assert files.pop("page=1") in ("a é\r\n\n\n", "\na é\r\n\n")
+    assert files == {"page=2": "\n", "page=3": "x" * 100_000 + "\n", "page=__HIVE_DEFAULT_PARTITION__": "n\n"}
+
+
+def test_bodies_are_the_same_by_any_reader(spark, tmp_path):
+    for i, text in enumerate(("é\r\nx\n", "\ufeffa\x00b", "\n\n")):
+        for end in ("txt", "text"):
+            (tmp_path / f"pages/a+{i} %41").mkdir(parents=True, exist_ok=True)
+            (tmp_path / f"pages/a+{i} %41/body.{end}").write_bytes(text.encode())
+    (tmp_path / "pages/zip").mkdir()
+    (tmp_path / "pages/zip/body.text.gz").write_bytes(gzip.compress(b"packed"))
+    plain, other = (sorted(map(tuple, R.bodies(spark, f"{tmp_path}/pages", f"*.{end}").collect())) for end in ("txt", "text"))
+    assert plain == other and len(plain) == 3
+    assert [tuple(r) for r in R.bodies(spark, f"{tmp_path}/pages", "*.gz").collect()] == [("zip", "packed")]
+
+
+def test_many_folders_are_listed_and_read_by_few_tasks(spark, tmp_path):
+    spark.range(600).selectExpr("id as page_id", "'<p>' || id as html").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    path = _page_folders(Views(spark, str(tmp_path)), "many")
+    key, jobs = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.sparkContext.statusTracker()
+    spark.conf.set(key, 700)
+    try:
+        for read in (lambda: R.bodies(spark, path, "*.txt"), lambda: R.binaries(spark, path)):
+            group = uuid.uuid4().hex
+            spark.sparkContext.setJobGroup(group, "listing")
+            assert read().count() == 600
+            stages = [jobs.getStageInfo(s) for j in jobs.getJobIdsForGroup(group) for s in jobs.getJobInfo(j).stageIds]
+            assert 0 < max(s.numTasks for s in stages if s) <= R.FILE_WAVES * spark.sparkContext.defaultParallelism
+        assert spark.conf.get(key) == "700"
+    finally:
+        spark.conf.unset(key)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_inventory_with_byte_order_mark(spark, tmp_path):
     put(tmp_path / "pages.csv", "﻿Page ID,Title\n 7 ,\n8,\"a \"\"b\"\"\nc\"\n")
     rows = R.inventory_csv(spark, f"{tmp_path}/pages.csv").orderBy("Page ID").collect()
