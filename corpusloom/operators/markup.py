@@ -365,10 +365,15 @@ def warnings(resolved: DataFrame, key: str = "id") -> DataFrame:
 
 def convert(bodies: DataFrame, attachments: DataFrame, titles: DataFrame, *, key: str = "id", body: str = "body", **options) -> DataFrame:
     """Bodies with every token resolved, plus ``warnings`` in order of first occurrence."""
+    return rebuilt(bodies, replacements(bodies, attachments, titles, key=key, body=body, **options), key=key, body=body)
+
+
+def replacements(bodies: DataFrame, attachments: DataFrame, titles: DataFrame, *, key: str = "id", body: str = "body", **options) -> DataFrame:
+    """(key, _new, _warned) of every document that has tokens: what stands in their places, and warnings."""
     resolved = resolve_tokens(bodies, attachments, titles, key=key, body=body, **options)
     stage = F.create_map(*[F.lit(x) for kv in STAGE.items() for x in kv])
     # Only one document's own tokens meet here; their number is bounded by its text.
-    per_doc = resolved.groupBy(key).agg(
+    return resolved.groupBy(key).agg(
         F.array_sort(
             F.collect_list(F.when(F.col("idx") == 0, F.struct("pos", F.coalesce("replacement", "tok").alias("new"))))
         ).alias("_new"),
@@ -381,11 +386,15 @@ def convert(bodies: DataFrame, attachments: DataFrame, titles: DataFrame, *, key
             )
         ).alias("_warned"),
     )
+
+
+def rebuilt(bodies: DataFrame, per_doc: DataFrame, *, key: str = "id", body: str = "body") -> DataFrame:
+    """Bodies with their tokens replaced (:func:`replacements`), plus ``warnings``."""
     texts = F.filter(cut(F.col(body)), lambda _, i: i % 2 == 0)
-    rebuilt = H.interleave(texts, F.col("_new.new"))
+    whole = H.interleave(texts, F.col("_new.new"))
     return (
         bodies.join(per_doc, key, "left")
-        .withColumn(body, F.when(F.col("_new").isNull(), F.col(body)).otherwise(rebuilt))
+        .withColumn(body, F.when(F.col("_new").isNull(), F.col(body)).otherwise(whole))
         .withColumn(
             "warnings",
             F.coalesce(F.array_distinct(F.col("_warned.warning")), F.array().cast("array<string>")),

@@ -16,6 +16,7 @@ from corpusloom.queries.views import Views
 from corpusloom.sources import scans as R
 from corpusloom.sources import sinks as W
 from corpusloom.operators import validate as V
+from corpusloom.plans import crawl as C
 from corpusloom.plans.crawl import crawl
 from corpusloom.streaming import incremental as J
 
@@ -161,6 +162,29 @@ def test_crawl_job_keeps_older_objects_and_isolates_bad_pages(spark, tmp_path):
     assert (titles["w-1"], titles["w-2"], len(titles)) == ("Start", "Renamed", 3)
 
 
+def test_a_crawl_drops_its_scratch_tables_and_shuffles_no_body_for_the_inventory(spark, tmp_path, monkeypatch):
+    words = "id parent_id title status body version url space webui base created_at updated_at author_id".split()
+    rows = [{w: "x" for w in words} | {"id": str(i), "parent_id": "0" if i else None, "body": f"<p>{i} <ac:link><ri:page ri:content-title='x'/></ac:link></p>", "position": i} for i in range(9)]
+    pages = spark.createDataFrame(rows, ", ".join(f"{w} string" for w in words) + ", position bigint")
+    texts = "page_id id title filename status error local_path media_type sha256 url".split()
+    files = spark.createDataFrame([], ", ".join(f"{w} string" for w in texts) + ", seq bigint, size_bytes bigint, file_size bigint")
+    held = spark.createDataFrame([], "page_id string, version string, has_body boolean")
+    plans, scratch, key = [], [], "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    monkeypatch.setattr(C, "write_inventory", lambda df, path: plans.append((df, spark.conf.get(key))) or W.write_inventory(df, path))
+    monkeypatch.setattr(C, "scratch_path", lambda spark, name: scratch.append(f"{tmp_path}/{name}-{len(scratch)}") or scratch[-1])
+    before = spark.conf.get(key, None)
+    about = {"root_id": "0", "space_id": "s", "connector": "w", "base_url": "https://w.example.com", "generated_at": "now"}
+    assert crawl(pages, files, held, spark.createDataFrame([], "title string, url string"), f"{tmp_path}/out", **about).first().object_count == 9
+    left = [spark.read.parquet(path).columns for path in scratch if Path(path).exists()]
+    assert scratch and not {"json", "body", "_new"} & {c for columns in left for c in columns}
+    assert plans[0][1] == "true" and spark.conf.get(key, None) == before
+    # Checksums are made below the joins.
+    above, *below = plans[0][0]._jdf.queryExecution().optimizedPlan().toString().split("Join")
+    assert "sha2(" not in above and "sha2(" in "".join(below)
+    sums = {r["Page ID"]: r["Content SHA256"] for r in spark.read.csv(f"{tmp_path}/out/inventory/csv", header=True).collect()}
+    assert sums == {r["id"]: sha256(r["body"].encode()).hexdigest() for r in rows}
+
+
 def test_unreadable_records_stop_the_scan_and_are_listed(spark, tmp_path):
     (tmp_path / "state").mkdir()
     (tmp_path / "state/s.json").write_text('{"category_id": "c", "articles": {"a": {}}}\n{"articles": [broken\n{"articles": [1]}\n')
