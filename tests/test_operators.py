@@ -313,6 +313,14 @@ def test_exact_copies_are_candidates_of_their_first(spark):
     assert sorted((r.id, r.candidate_of, r.jaccard) for r in got) == [(3, 1, 1.0), (6, 1, 1.0)]
 
 
+def test_near_duplicates_drop_the_shuffles_of_each_step(spark, monkeypatch):
+    key, write, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", N.staged, []
+    monkeypatch.setattr(N, "staged", lambda df, name: seen.append(df.sparkSession.conf.get(key)) or write(df, name))
+    before = spark.conf.get(key, None)
+    assert N.near_duplicates(spark.createDataFrame([(1, "a b c d"), (2, "e f g h")], "id BIGINT, text STRING")).count() == 0
+    assert seen and set(seen) == {"true"} and spark.conf.get(key, None) == before
+
+
 def test_text_of_many_adjacent_tags(spark):
     html = F.lit("<td>a</td>" + "<td></td>" * 50_000 + " <b> b</b>")
     assert one(spark, H.tag_text(html)) == "a b"
